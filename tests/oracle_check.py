@@ -1,0 +1,93 @@
+"""Run registered Spark queries next to their DuckDB oracles and compare.
+
+Order-insensitive; doubles compared after rounding to 9 significant digits.
+Usage: python tests/oracle_check.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.9g}")
+    if isinstance(v, (list, tuple)):
+        return tuple(norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, norm(x)) for k, x in v.items()))
+    if hasattr(v, "asDict"):
+        return norm(v.asDict(recursive=True))
+    return v
+
+
+def canon(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(norm(r[i]) for i in order) for r in rows]
+    return sorted(out, key=repr)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    srows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    cur = con.execute(sql)
+    dcols = [d[0] for d in cur.description]
+    drows = cur.fetchall()
+    ok_cols = sorted(sdf.columns) == sorted(dcols)
+    a, b = canon(sdf.columns, srows), canon(dcols, drows)
+    ok = ok_cols and a == b
+    detail = ""
+    if not ok:
+        if not ok_cols:
+            detail = f"cols spark={sorted(sdf.columns)} duck={sorted(dcols)}"
+        else:
+            diff_a = [r for r in a if r not in b][:3]
+            diff_b = [r for r in b if r not in a][:3]
+            detail = f"rows {len(a)} vs {len(b)}; spark-only {diff_a}; duck-only {diff_b}"
+    return ok, len(srows), t1 - t0, detail
+
+
+def main(argv):
+    sys.path.insert(0, ".")
+    from __spark_entry__ import oracle_sql, queries
+    from orderlens.session import local_session
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:]
+    spark = local_session()
+    con = duck(sf_dir)
+    qs, os_ = queries(), oracle_sql()
+    bad = 0
+    for name in (names or list(qs)):
+        if name not in os_:
+            print(f"{name:34s} NO-ORACLE")
+            continue
+        try:
+            ok, n, dt, detail = compare(spark, con, name, qs[name], os_[name], sf_dir)
+        except Exception as e:  # noqa: BLE001
+            ok, n, dt, detail = False, -1, 0.0, f"ERROR {type(e).__name__}: {str(e)[:300]}"
+        bad += not ok
+        print(f"{name:34s} {'OK ' if ok else 'BAD'} rows={n:<6d} {dt:6.2f}s {detail}", flush=True)
+    print(f"mismatches: {bad}")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
