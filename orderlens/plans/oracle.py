@@ -168,3 +168,127 @@ ORACLE["extremes"] = _with(_M_ID, " UNION ALL ".join(
     f"SELECT '{f}' AS finding, restaurant_id, restaurant_name, {c} AS value FROM m WHERE {c} = (SELECT {a}({c}) FROM m)"
     for f, c, a in [("highest_kpt", "avg_kpt", "MAX"), ("highest_aov", "avg_order_value", "MAX"),
                     ("lowest_rating", "avg_rating", "MIN")]))
+
+
+# --- profiling and cleaning ----------------------------------------------------
+from orderlens.schema import (  # noqa: E402
+    CATEGORICAL, COLUMNS, FINANCIAL, MISSING_TOKENS, NUMERIC, RAW_COLUMNS, STATUS_DEPENDENT, TEXT,
+)
+
+_TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in MISSING_TOKENS)
+# DuckDB spellings of the timestamp layouts tried by ``to_ts`` (same order).
+_TS_FORMATS = ("['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%d', "
+               "'%I:%M %p, %B %d %Y', '%d-%m-%Y %H:%M', '%m/%d/%Y %H:%M']")
+
+
+def _miss(c: str) -> str:
+    return f"({c} IS NULL OR {c} IN ({_TOKENS}))"
+
+
+def _dbl(s: str) -> str:
+    return f"CASE WHEN isfinite(TRY_CAST({s} AS DOUBLE)) THEN TRY_CAST({s} AS DOUBLE) END"
+
+
+def _clean_text(c: str) -> str:
+    return strip(f"CASE WHEN NOT {_miss(c)} THEN {c} END")
+
+
+def _clean_value(c: str) -> str:
+    s = _clean_text(c)
+    if c in NUMERIC:
+        return _dbl(s)
+    if c == "order_placed_at":
+        return f"try_strptime({s}, {_TS_FORMATS})"
+    return s
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+_CLEAN_SELECT = ", ".join(
+    [f"{_clean_value(c)} AS {c}" for c in RAW_COLUMNS]
+    + [f"{_clean_text('order_placed_at')} AS order_placed_at_raw",
+       "(false OR " + " OR ".join(f"COALESCE({_clean_value(c)} < 0, false)" for c in FINANCIAL)
+       + ") AS flag_negative_financial"])
+CLEAN = f"clean AS (SELECT {_CLEAN_SELECT} FROM raw)"
+
+ORACLE["shape"] = _with(RAW, f"SELECT COUNT(*) AS rows, {len(RAW_COLUMNS)} AS columns FROM raw")
+ORACLE["schema_check"] = _with(
+    RAW + ',\nexp("column") AS (VALUES ' + ", ".join(f"('{c}')" for c in RAW_COLUMNS) + "),\n"
+    'act AS (SELECT column_name AS "column" FROM (DESCRIBE SELECT * FROM raw))',
+    'SELECT e."column", CASE WHEN a."column" IS NULL THEN \'missing\' ELSE \'ok\' END AS status '
+    'FROM exp e LEFT JOIN act a ON e."column" = a."column" '
+    'UNION ALL SELECT a."column", \'unexpected\' FROM act a WHERE a."column" NOT IN (SELECT "column" FROM exp)')
+ORACLE["missing_report"] = _with(RAW, _union([
+    f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {_miss(c)} THEN 1 ELSE 0 END) AS BIGINT) AS missing_count, "
+    f"ROUND(CAST(SUM(CASE WHEN {_miss(c)} THEN 1 ELSE 0 END) AS DOUBLE) * 100 / COUNT(*), 2) AS missing_pct, "
+    f"'string' AS dtype FROM raw" for c in RAW_COLUMNS]))
+ORACLE["missing_rate_by_status"] = _with(RAW, _union([
+    f"SELECT order_status, '{c}' AS \"column\", ROUND(AVG(CASE WHEN {_miss(c)} THEN 1.0E0 ELSE 0.0E0 END), 3) "
+    f"AS missing_rate FROM raw WHERE NOT {_miss('order_status')} GROUP BY order_status" for c in STATUS_DEPENDENT]))
+
+
+def _num_audit(c: str, col_alias: str = "non_numeric") -> str:
+    p = f"TRY_CAST({strip(c)} AS DOUBLE)"
+    v = _dbl(strip(c))
+    return (f"SELECT '{c}' AS \"column\", CAST(COALESCE(SUM(CASE WHEN NOT {_miss(c)} AND {p} IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) "
+            f"AS {col_alias}, MIN({v}) AS min, MAX({v}) AS max, "
+            f"CAST(COALESCE(SUM(CASE WHEN {v} < 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS negatives FROM raw")
+
+
+ORACLE["numeric_audit"] = _with(RAW, _union([_num_audit(c) for c in NUMERIC]))
+ORACLE["coercion_failures"] = _with(RAW, _union([
+    f"SELECT '{c}' AS \"column\", CAST(COALESCE(SUM(CASE WHEN NOT {_miss(strip(c))} AND TRY_CAST({strip(c)} AS DOUBLE) IS NULL "
+    f"THEN 1 ELSE 0 END), 0) AS BIGINT) AS failed FROM raw" for c in NUMERIC]))
+ORACLE["rating_out_of_range"] = _with(
+    RAW, f"SELECT CAST(SUM(CASE WHEN {_dbl(strip('rating'))} < 1 OR {_dbl(strip('rating'))} > 5 THEN 1 ELSE 0 END) AS BIGINT) "
+         "AS out_of_range FROM raw")
+_TS = f"try_strptime({strip('CAST(order_placed_at AS VARCHAR)')}, {_TS_FORMATS})"
+ORACLE["timestamp_audit"] = _with(
+    RAW, f"SELECT CAST(SUM(CASE WHEN NOT {_miss('order_placed_at')} THEN 1 ELSE 0 END) AS BIGINT) AS present, "
+         f"COUNT({_TS}) AS parsed, "
+         f"CAST(SUM(CASE WHEN NOT {_miss('order_placed_at')} AND {_TS} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unparseable, "
+         f"MIN({_TS}) AS min_ts, MAX({_TS}) AS max_ts FROM raw")
+_PAIRS = "pairs AS (" + _union([f"SELECT '{c}' AS \"column\", CASE WHEN NOT {_miss(c)} THEN {c} END AS value FROM raw"
+                                for c in CATEGORICAL]) + ")"
+ORACLE["categorical_top15"] = _with(
+    RAW + ",\n" + _PAIRS + ',\ncounts AS (SELECT "column", value, COUNT(*) AS count FROM pairs GROUP BY "column", value)',
+    'SELECT * FROM (SELECT "column", value, count, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, '
+    "value ASC NULLS FIRST) AS rank FROM counts) WHERE rank <= 15")
+_ALLPAIRS = "pairs AS (" + _union([f"SELECT '{c}' AS \"column\", CASE WHEN NOT {_miss(c)} THEN {c} END AS value FROM raw"
+                                   for c in RAW_COLUMNS]) + ")"
+ORACLE["distinct_counts"] = _with(RAW + ",\n" + _ALLPAIRS,
+                                  'SELECT "column", COUNT(DISTINCT value) AS distinct_values FROM pairs GROUP BY "column"')
+ORACLE["text_audit"] = _with(RAW, _union([
+    f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN contains({c}, ',') THEN 1 ELSE 0 END) AS BIGINT) AS with_comma, "
+    f"CAST(SUM(CASE WHEN contains({c}, '\"') THEN 1 ELSE 0 END) AS BIGINT) AS with_quote FROM raw" for c in TEXT]))
+ORACLE["strip_strings"] = _with(RAW, "SELECT " + ", ".join(f"{strip(c)} AS {c}" for c in RAW_COLUMNS) + " FROM raw")
+ORACLE["coerce_numeric"] = _with(RAW, "SELECT order_id, " + ", ".join(f"{_clean_value(c)} AS {c}" for c in NUMERIC)
+                                 + " FROM raw")
+ORACLE["parse_timestamp"] = _with(RAW, f"SELECT {_clean_text('order_id')} AS order_id, "
+                                       f"{_clean_value('order_placed_at')} AS order_placed_at, "
+                                       f"{_clean_text('order_placed_at')} AS order_placed_at_raw FROM raw")
+ORACLE["negative_flag"] = _with(RAW + ",\n" + CLEAN, "SELECT flag_negative_financial, COUNT(*) AS rows FROM clean "
+                                                     "GROUP BY flag_negative_financial")
+ORACLE["clean_orders"] = _with(RAW + ",\n" + CLEAN, "SELECT * FROM clean")
+ORACLE["missing_after_clean"] = _with(RAW + ",\n" + CLEAN, "SELECT * FROM (" + _union([
+    f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_count, "
+    f"ROUND(CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS DOUBLE) * 100 / COUNT(*), 2) AS missing_pct, "
+    f"'{'double' if c in NUMERIC else 'timestamp_ntz' if c == 'order_placed_at' else 'boolean' if c == 'flag_negative_financial' else 'string'}' "
+    f"AS dtype FROM clean" for c in COLUMNS]) + ') ORDER BY missing_count DESC, \"column\" LIMIT 15')
+ORACLE["before_after_diff"] = _with(RAW, _union([
+    f"SELECT '{c}' AS \"column\", "
+    f"CAST(SUM(CASE WHEN NOT {_miss(c)} AND {strip(c)} <> {c} THEN 1 ELSE 0 END) AS BIGINT) AS stripped_cells, "
+    f"CAST(SUM(CASE WHEN {c} IS NOT NULL AND ({_clean_value(c)}) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulled_cells "
+    f"FROM raw" for c in RAW_COLUMNS]))
+ORACLE["preview_top_n"] = _with(RAW, "SELECT * FROM raw ORDER BY order_id LIMIT 5")
+ORACLE["reject_empty_keys"] = _with(RAW + ",\n" + CLEAN, f"SELECT COUNT(*) AS rows FROM clean WHERE length({strip('restaurant_id')}) > 0")
+ORACLE["csv_round_trip"] = ORACLE["clean_orders"]
+ORACLE["typed_orders_orc"] = ORACLE["clean_orders"]
+ORACLE["kv_tsv_source"] = _with(",\n".join([FO, _keyed("restaurant_id"), _metrics("restaurant_id", False)]),
+                                "SELECT restaurant_id, restaurant_name, CAST(order_count AS DOUBLE) AS order_count, "
+                                "total_revenue, avg_order_value, avg_kpt, avg_rider_wait FROM m")
+ORACLE["plain_tsv_source"] = ORACLE["perf_by_restaurant_id"]
+ORACLE["reject_short_rows"] = _with(RAW, "SELECT COUNT(*) FILTER (WHERE CAST(order_id AS BIGINT) % 37 <> 0) AS accepted_rows, "
+                                         "COUNT(*) FILTER (WHERE CAST(order_id AS BIGINT) % 37 = 0) AS rejected_rows FROM raw")

@@ -113,3 +113,104 @@ register("top3_ratings")(lambda s, d: fnd.top_ratings(_card(s, d, "restaurant_id
 register("volume_share")(lambda s, d: fnd.volume_share(_card(s, d, "restaurant_name")))
 register("slow_kitchens")(lambda s, d: fnd.slow_kitchens(_card(s, d, "restaurant_id")))
 register("extremes")(lambda s, d: fnd.extremes(_card(s, d, "restaurant_id")))
+
+
+# --- profiling and cleaning of the dirty all-string staging table ------------
+from orderlens.operators import clean as cl  # noqa: E402
+from orderlens.operators import profile as pr  # noqa: E402
+from orderlens.schema import RAW_COLUMNS  # noqa: E402
+from orderlens.sources import csv as csvio  # noqa: E402
+from orderlens.sources import kv_tsv, tables  # noqa: E402
+from orderlens.sources.fixtures import food_orders_raw  # noqa: E402
+from orderlens.sources.reports import file_usage  # noqa: E402
+from orderlens.session import scratch_path  # noqa: E402
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return food_orders_raw(spark, sf_dir)
+
+
+register("shape")(lambda s, d: pr.shape(_raw(s, d)))
+register("schema_check")(lambda s, d: pr.schema_check(s, _raw(s, d).columns, RAW_COLUMNS))
+register("missing_report")(lambda s, d: pr.missing_report(_raw(s, d)))
+register("missing_rate_by_status")(lambda s, d: pr.missing_rate_by_status(_raw(s, d)))
+register("numeric_audit")(lambda s, d: pr.numeric_audit(_raw(s, d)))
+register("coercion_failures")(lambda s, d: pr.coercion_failures(cl.strip_strings(_raw(s, d))))
+register("rating_out_of_range")(lambda s, d: pr.rating_out_of_range(_raw(s, d)))
+register("timestamp_audit")(lambda s, d: pr.timestamp_audit(_raw(s, d)))
+register("categorical_top15")(lambda s, d: pr.categorical_top(_raw(s, d), k=15))
+register("distinct_counts")(lambda s, d: pr.distinct_counts(_raw(s, d)))
+register("text_audit")(lambda s, d: pr.text_audit(_raw(s, d)))
+register("strip_strings")(lambda s, d: cl.strip_strings(_raw(s, d)))
+register("coerce_numeric")(lambda s, d: cl.coerce_numeric(cl.strip_strings(cl.null_missing_tokens(_raw(s, d))))
+                           .select("order_id", *[c for c in cl.NUMERIC]))
+register("parse_timestamp")(lambda s, d: cl.parse_timestamp(cl.strip_strings(cl.null_missing_tokens(_raw(s, d))))
+                            .select("order_id", "order_placed_at", "order_placed_at_raw"))
+register("negative_flag")(lambda s, d: pr.flagged_rows(cl.clean_orders(_raw(s, d))))
+register("clean_orders")(lambda s, d: cl.clean_orders(_raw(s, d)))
+register("missing_after_clean")(lambda s, d: pr.missing_report(cl.clean_orders(_raw(s, d)), tokens=None, top=15))
+register("before_after_diff")(lambda s, d: pr.cleaning_diff(_raw(s, d)))
+register("preview_top_n")(lambda s, d: tables.preview(_raw(s, d), 5, order_by="order_id"))
+register("reject_empty_keys")(lambda s, d: tables.row_count(cl.reject_empty_keys(cl.clean_orders(_raw(s, d)))))
+
+
+# --- sources and sinks: write what Spark derives from the tables, read it back --
+@register("csv_round_trip")
+def _csv_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Clean table -> CSV (31 headers) -> staging read -> typed projection."""
+    path = scratch_path(s, "clean_csv")
+    csvio.write_clean_csv(cl.clean_orders(_raw(s, d)), path)
+    back = csvio.read_staging(s, path).drop(csvio.CORRUPT)
+    return cl.type_orders(back)
+
+
+@register("typed_orders_orc")
+def _typed_orc(s: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(s, "orders_orc")
+    tables.save_typed(cl.clean_orders(_raw(s, d)), path=path, fmt="orc")
+    return tables.read_typed(s, path, "orc")
+
+
+@register("kv_tsv_source")
+def _kv_tsv(s: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(s, "perf_kv_tsv")
+    kv_tsv.write_tsv(perf.restaurant_performance(_orders(s, d), "restaurant_id"), path, style="kv")
+    return kv_tsv.read_kv_tsv(s, path)
+
+
+@register("plain_tsv_source")
+def _plain_tsv(s: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(s, "perf_tsv")
+    kv_tsv.write_tsv(perf.restaurant_performance(_orders(s, d), "restaurant_id"), path, style="plain")
+    return kv_tsv.read_plain_tsv(s, path)
+
+
+SHORT_ROW_EVERY = 37  # every 37th order is written with only its first 20 fields
+
+
+@register("reject_short_rows")
+def _reject_short_rows(s: SparkSession, d: str) -> DataFrame:
+    """Raw text with a header line and truncated records -> accepted / rejected."""
+    raw = _raw(s, d)
+    opts = {"quote": '"', "escape": '"'}
+    full = F.to_csv(F.struct(*raw.columns), opts)
+    short = F.to_csv(F.struct(*raw.columns[:20]), opts)
+    cut = (F.col("order_id").cast("bigint") % SHORT_ROW_EVERY) == 0
+    lines = raw.select(F.when(cut, short).otherwise(full).alias("value"))
+    header = s.createDataFrame([(",".join(raw.columns),)], "value string")
+    path = scratch_path(s, "raw_text")
+    header.unionByName(lines).write.mode("overwrite").text(path)
+    df = csvio.read_csv(s, path, _raw_schema(raw), header=False)
+    df = csvio.skip_header_rows(df, "restaurant_id", "restaurant_id")
+    accepted, rejected = csvio.split_rejects(df, min_fields=26)
+    return (accepted.agg(F.count(F.lit(1)).alias("accepted_rows"))
+            .crossJoin(rejected.agg(F.count(F.lit(1)).alias("rejected_rows"))))
+
+
+def _raw_schema(raw: DataFrame):
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in raw.columns])
+
+
+register("input_file_usage")(lambda s, d: file_usage(s, d, glob="*.parquet").select(
+    F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes"))
