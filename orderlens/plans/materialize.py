@@ -15,6 +15,14 @@ from orderlens.session import work_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and return a DataFrame reading the written copy."""
+    """Compute ``df`` once and return a DataFrame reading the written copy.
+
+    The input is persisted while the checkpoint is written (a reliable RDD
+    checkpoint otherwise recomputes its lineage a second time) and released
+    as soon as the written copy exists."""
     work_dir(df.sparkSession)  # make sure a checkpoint folder is set
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

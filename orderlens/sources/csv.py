@@ -64,11 +64,16 @@ def split_rejects(df: DataFrame, min_fields: int = 26) -> tuple[DataFrame, DataF
     """(accepted, rejected): records with fewer than ``min_fields`` fields are
     rejected (kept aside, not silently dropped); longer or shorter records
     that still reach ``min_fields`` are accepted with their parsed fields."""
-    n = F.when(F.col(CORRUPT).isNotNull(), field_count(F.col(CORRUPT)))
+    first = df.columns[0]
+    # Spark refuses a scan whose only column is the corrupt record; the
+    # coalesce (a no-op under the guard) keeps a data column in every plan.
+    text = F.coalesce(F.col(CORRUPT), F.col(first))
+    n = F.when(F.col(CORRUPT).isNotNull(), field_count(text))
     tagged = df.withColumn("_fields", n)
     ok = F.col("_fields").isNull() | (F.col("_fields") >= min_fields)
     accepted = tagged.filter(ok).drop("_fields", CORRUPT)
-    rejected = tagged.filter(~ok).select(F.col(CORRUPT).alias("record"), F.col("_fields").alias("fields"))
+    rejected = tagged.filter(~ok).select(F.col(first).alias("first_field"), F.col(CORRUPT).alias("record"),
+                                         F.col("_fields").alias("fields"))
     return accepted, rejected
 
 
