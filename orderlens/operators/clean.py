@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.functions.expr import DEFAULT_TS_FORMATS, any_negative, is_missing, strip_ws, to_double, to_ts
+from orderlens.functions.expr import (
+    DEFAULT_TS_FORMATS, any_negative, finite_or_null, is_missing, strip_ws, to_double, to_ts,
+)
 from orderlens.schema import COLUMNS, FINANCIAL, HEADER_TO_COLUMN, MISSING_TOKENS, NUMERIC
 
 
@@ -84,12 +86,24 @@ def clean_orders(staging: DataFrame, formats: Iterable[str] = DEFAULT_TS_FORMATS
     """Raw 29-column strings -> the 31-column clean table.
 
     missing tokens -> NULL, strip, coerce the 12 numeric columns, parse the
-    timestamp (raw text kept), flag negative amounts; positional order kept."""
+    timestamp (raw text kept), flag negative amounts; positional order kept.
+    One map-only pass in three projections: clean text once per cell, parse
+    the typed columns from it once, then derive the flag from typed values
+    (each stage reads the previous one's columns instead of re-deriving)."""
     df = staging
     if any(c in HEADER_TO_COLUMN and c not in COLUMNS for c in df.columns):
         df = rename_headers(df)
-    df = strip_strings(null_missing_tokens(df, tokens))
-    df = negative_flag(parse_timestamp(coerce_numeric(df), formats=formats))
+    strings = set(_string_cols(df))
+    text = df.select(*[strip_ws(F.when(~is_missing(c, tokens), F.col(c))).alias(c) if c in strings
+                       else F.col(c) for c in df.columns])
+    parsed = text.select(*[
+        F.col(c).cast("string").try_cast("double").alias(c) if c in NUMERIC
+        else to_ts(c, formats).alias(c) if c == "order_placed_at"
+        else F.col(c) for c in text.columns],
+        F.col("order_placed_at").cast("string").alias("order_placed_at_raw"))
+    typed = parsed.select(*[finite_or_null(F.col(c)).alias(c) if c in NUMERIC else F.col(c)
+                            for c in parsed.columns])
+    df = negative_flag(typed)
     ordered = [c for c in COLUMNS if c in df.columns] + [c for c in df.columns if c not in COLUMNS]
     return df.select(*ordered)
 

@@ -16,43 +16,66 @@ from orderlens.functions.expr import finite_or_null, r2, safe_ratio, strip_ws, v
 KEYS = ("restaurant_id", "restaurant_name")
 
 
-def _keyed(orders: DataFrame, key: str) -> DataFrame:
-    """Trim id and name; rows without a key are not orders of any restaurant."""
+def _check_key(key: str) -> None:
     if key not in KEYS:
         raise ValueError(f"key must be one of {KEYS}, got {key!r}")
-    o = orders.withColumn(key, strip_ws(key))
-    if key == "restaurant_id":
-        o = o.withColumn("restaurant_name", strip_ws("restaurant_name"))
-    return o.filter(F.length(F.col(key)) > 0)
 
 
-def _perf_aggs(digits: int | None) -> list:
+def _rollup(orders: DataFrame, key: str, digits: int | None, with_ratings: bool) -> DataFrame:
+    """Two-level aggregation that trims keys per distinct key, not per order.
+
+    Level 1 groups the fact table by the raw key text (and raw name when
+    keyed by id) with sums and counts: no string work per row, and map-side
+    combine leaves each task one row per distinct raw key.  Level 2 trims
+    those few keys, drops empty ones and merges the partial sums, so padded
+    spellings of one key (' 2 ' and '2') end in the same group.
+    """
+    _check_key(key)
+    raw_keys = [key] + (["restaurant_name"] if key == "restaurant_id" else [])
+    total = finite_or_null(F.col("total"))
+    kpt = valid_minutes("kpt_duration_minutes")
+    wait = valid_minutes("rider_wait_time_minutes")
+    parts = [F.count(F.lit(1)).alias("_n"), F.sum(total).alias("_rev"),
+             F.sum(kpt).alias("_kpt_s"), F.count(kpt).alias("_kpt_n"),
+             F.sum(wait).alias("_wait_s"), F.count(wait).alias("_wait_n")]
+    if with_ratings:
+        parts += [F.sum("rating").alias("_r_s"), F.count("rating").alias("_r_n")]
+    l1 = orders.groupBy(*raw_keys).agg(*parts)
+    l1 = l1.select(*[strip_ws(k).alias(k) for k in raw_keys], *[c for c in l1.columns if c.startswith("_")])
+    l1 = l1.filter(F.length(F.col(key)) > 0)
+    merged = [F.sum(c).alias(c) for c in l1.columns if c.startswith("_")]
+    if key == "restaurant_id":
+        merged = [F.max("restaurant_name").alias("restaurant_name")] + merged
+    g = l1.groupBy(key).agg(*merged)
+
     rnd = (lambda c: r2(c, digits)) if digits is not None else (lambda c: c)
-    rev = F.coalesce(F.sum(finite_or_null(F.col("total"))), F.lit(0.0))
-    return [
-        F.count(F.lit(1)).alias("order_count"),
+    rev = F.coalesce(F.col("_rev"), F.lit(0.0))
+    out = [key] + (["restaurant_name"] if key == "restaurant_id" else []) + [
+        F.col("_n").alias("order_count"),
         rnd(rev).alias("total_revenue"),
-        rnd(safe_ratio(rev, F.count(F.lit(1)))).alias("avg_order_value"),
-        rnd(F.avg(valid_minutes("kpt_duration_minutes"))).alias("avg_kpt"),
-        rnd(F.avg(valid_minutes("rider_wait_time_minutes"))).alias("avg_rider_wait"),
+        rnd(safe_ratio(rev, F.col("_n"))).alias("avg_order_value"),
+        rnd(safe_ratio(F.col("_kpt_s"), F.col("_kpt_n"))).alias("avg_kpt"),
+        rnd(safe_ratio(F.col("_wait_s"), F.col("_wait_n"))).alias("avg_rider_wait"),
     ]
+    if with_ratings:
+        out += [r2(safe_ratio(F.col("_r_s"), F.col("_r_n"))).alias("avg_rating"),
+                F.when(F.col("_r_n") > 0, F.col("_r_n")).alias("num_ratings")]
+    return g.select(*out)
 
 
 def restaurant_performance(orders: DataFrame, key: str = "restaurant_id",
                            digits: int | None = 2) -> DataFrame:
     """Count, revenue, all-order AOV, mean valid KPT and wait per restaurant.
 
+    * keys (and, keyed by id, names) are trimmed; rows without a key belong
+      to no restaurant and are skipped;
     * revenue sums finite totals; a restaurant with none has revenue 0;
     * AOV divides revenue by *all* orders (cancelled and total-less included);
     * KPT / wait average only finite, non-negative minutes; NULL if none;
     * keyed by id, the name is ``max(name)`` (deterministic representative).
     Values are rounded half-up to ``digits`` like the two-decimal text output.
     """
-    o = _keyed(orders, key)
-    aggs = _perf_aggs(digits)
-    if key == "restaurant_id":
-        aggs = [F.max("restaurant_name").alias("restaurant_name")] + aggs
-    return o.groupBy(key).agg(*aggs).orderBy(key)
+    return _rollup(orders, key, digits, with_ratings=False).orderBy(key)
 
 
 def rating_metrics(orders: DataFrame, key: str = "restaurant_name") -> DataFrame:
@@ -65,22 +88,13 @@ def rating_metrics(orders: DataFrame, key: str = "restaurant_name") -> DataFrame
 
 def restaurant_metrics(orders: DataFrame, key: str = "restaurant_name",
                        digits: int | None = 2) -> DataFrame:
-    """Performance and rating metrics in ONE scan and ONE shuffle.
+    """Performance and rating metrics in ONE scan of the fact table.
 
     Equal to ``combine(restaurant_performance(o), rating_metrics(o))`` (a left
     join on the key), without scanning the fact table twice or joining:
     a restaurant without ratings gets NULL ``avg_rating`` and ``num_ratings``.
     """
-    o = _keyed(orders, key)
-    r = F.col("rating")
-    n_r = F.count(r)
-    aggs = _perf_aggs(digits) + [
-        r2(F.avg(r)).alias("avg_rating"),
-        F.when(n_r > 0, n_r).alias("num_ratings"),
-    ]
-    if key == "restaurant_id":
-        aggs = [F.max("restaurant_name").alias("restaurant_name")] + aggs
-    return o.groupBy(key).agg(*aggs)
+    return _rollup(orders, key, digits, with_ratings=True)
 
 
 def combine(perf: DataFrame, ratings: DataFrame, key: str = "restaurant_name") -> DataFrame:

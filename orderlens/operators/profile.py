@@ -92,18 +92,24 @@ def missing_rate_by_status(df: DataFrame, cols: Sequence[str] = STATUS_DEPENDENT
 
 def numeric_audit(df: DataFrame, cols: Sequence[str] = NUMERIC,
                   tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
-    """Per numeric column: values present but not numeric, min, max, negatives."""
+    """Per numeric column: values present but not numeric, min, max, negatives.
+
+    Each cell is parsed once in a projection; the aggregate then reads plain
+    columns (the parse is not repeated for every statistic)."""
     cols = _present(cols, df)
+    cells = df.select(*[c for i, col in enumerate(cols) for c in (
+        (~is_missing(F.col(col).cast("string"), tokens)).alias(f"_p{i}"),
+        strip_ws(F.col(col).cast("string")).try_cast("double").alias(f"_x{i}"))])
+    cells = cells.select(*[c for i in range(len(cols)) for c in (
+        (F.col(f"_p{i}") & F.col(f"_x{i}").isNull()).alias(f"_bad{i}"),
+        finite_or_null(F.col(f"_x{i}")).alias(f"_v{i}"))])
     aggs = []
-    for i, c in enumerate(cols):
-        raw = F.col(c).cast("string")
-        present = ~is_missing(raw, tokens)
-        parsed = strip_ws(raw).try_cast("double")
-        v = finite_or_null(parsed)
-        aggs += [F.sum((present & parsed.isNull()).cast("long")).alias(f"_x{i}"),
+    for i in range(len(cols)):
+        v = F.col(f"_v{i}")
+        aggs += [F.sum(F.col(f"_bad{i}").cast("long")).alias(f"_x{i}"),
                  F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}"),
                  F.sum((v < 0).cast("long")).alias(f"_neg{i}")]
-    wide = df.agg(*aggs)
+    wide = cells.agg(*aggs)
     n = range(len(cols))
     return _unpivot_row(wide, {"non_numeric": [f"_x{i}" for i in n], "min": [f"_lo{i}" for i in n],
                                "max": [f"_hi{i}" for i in n], "negatives": [f"_neg{i}" for i in n]}, cols) \
