@@ -1,7 +1,9 @@
 """Named queries: ``(spark, sf_dir) -> DataFrame`` over the driver tables.
 
 Every query reads the whole driver tables through the order-table mapping
-(``sources.fixtures``) and runs one library operator on it.  Computed
+(``sources.fixtures``), landed once per application as a typed Parquet copy
+(``plans.landing``, the CTAS step of the original workflow), and runs one
+library operator on it.  Computed
 columns carry the same names as the DuckDB oracle (``plans.oracle``).
 """
 
@@ -17,7 +19,7 @@ from orderlens.operators import performance as perf
 from orderlens.operators import queries as q
 from orderlens.operators import reconcile as rec
 from orderlens.operators import scorecard as sc
-from orderlens.sources.fixtures import food_orders
+from orderlens.plans.landing import raw_staging, typed_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -31,7 +33,9 @@ def register(name: str):
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return food_orders(spark, sf_dir)
+    """The typed order table: derived from the driver tables once per
+    application and scanned by every query (see ``plans.landing``)."""
+    return typed_orders(spark, sf_dir)
 
 
 def _card(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
@@ -121,13 +125,13 @@ from orderlens.operators import profile as pr  # noqa: E402
 from orderlens.schema import RAW_COLUMNS  # noqa: E402
 from orderlens.sources import csv as csvio  # noqa: E402
 from orderlens.sources import kv_tsv, tables  # noqa: E402
-from orderlens.sources.fixtures import food_orders_raw  # noqa: E402
 from orderlens.sources.reports import file_usage  # noqa: E402
 from orderlens.session import scratch_path  # noqa: E402
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return food_orders_raw(spark, sf_dir)
+    """The dirty staging table, landed once per application like a raw file."""
+    return raw_staging(spark, sf_dir)
 
 
 register("shape")(lambda s, d: pr.shape(_raw(s, d)))
