@@ -1,0 +1,91 @@
+"""Exact medians whose single-task state is size-checked.
+
+Spark's exact ``median`` (``percentile``) is partially aggregated, but its
+final merge holds every distinct value in one buffer.  ``median_row`` counts
+the values first and uses it only up to ``small`` values (a proven bound).
+Beyond that it selects the median exactly without gathering the column:
+
+1. ``percentile_approx`` brackets ranks (n-1)/2 (its rank error is at most
+   n/accuracy, so [lo, hi] around 0.5 +- 2/accuracy holds the median);
+2. one distributed pass counts the values below ``lo``, inside the bracket,
+   and the distinct values inside it (verifying the bracket);
+3. only the distinct in-bracket values with their counts — checked to be at
+   most ``max_candidates`` — are ranked to pick the middle value(s).
+The result interpolates exactly as ``percentile(x, 0.5)`` does (mean of the
+two middle values for an even count).
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+SMALL_EXACT = 1_000_000
+MAX_CANDIDATES = 1_000_000
+BASE_ACCURACY = 10_000
+
+
+def _interpolate(n: int, v1: float, v2: float) -> float:
+    pos = (n - 1) * 0.5
+    lower, higher = math.floor(pos), math.ceil(pos)
+    if higher == lower or v1 == v2:
+        return float(v1)
+    return (higher - pos) * v1 + (pos - lower) * v2
+
+
+def bracketed_median(df: DataFrame, col: str, n: int | None = None,
+                     max_candidates: int = MAX_CANDIDATES) -> float | None:
+    """Exact median of ``col`` (NULLs ignored) without a whole-column buffer."""
+    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    if n is None:
+        n = vals.count()
+    if n == 0:
+        return None
+    k1, k2 = (n - 1) // 2, n // 2
+    x = F.col("x")
+    # bracket width ~ 4n/accuracy rows: pick accuracy so it stays well under the cap
+    accuracy = max(BASE_ACCURACY, int(8 * n / max_candidates) + 1)
+    delta = 2.0 / accuracy
+    for _ in range(6):
+        lo_q, hi_q = max(0.0, 0.5 - delta), min(1.0, 0.5 + delta)
+        lo, hi = vals.agg(F.percentile_approx(x, [lo_q, hi_q], accuracy)).first()[0]
+        inside = (x >= lo) & (x <= hi)
+        s = vals.agg(F.sum((x < lo).cast("long")).alias("below"),
+                     F.sum(inside.cast("long")).alias("inside"),
+                     F.count_distinct(F.when(inside, x)).alias("distinct_inside")).first()
+        below, n_in, d_in = s.below or 0, s.inside or 0, s.distinct_inside or 0
+        holds = below <= k1 and below + n_in > k2
+        if holds and d_in <= max_candidates:
+            cand = vals.filter(inside).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+            # one task over at most ``max_candidates`` rows (checked above)
+            w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            cand = cand.withColumn("cum", F.sum("c").over(w) + F.lit(below))
+            r = cand.agg(F.min(F.when(F.col("cum") > k1, x)).alias("v1"),
+                         F.min(F.when(F.col("cum") > k2, x)).alias("v2")).first()
+            return _interpolate(n, r.v1, r.v2)
+        if holds:  # right bracket, too many distinct values in it: sharpen the sketch
+            accuracy *= 4
+            delta = 2.0 / accuracy
+        else:  # a miss cannot happen under the sketch's guarantee; widen defensively
+            delta *= 4
+    raise RuntimeError(f"median bracket for {col!r} did not converge")
+
+
+def median_row(df: DataFrame, cols: dict[str, str], small: int = SMALL_EXACT) -> DataFrame:
+    """One-row DataFrame ``{alias: exact median of column}``.
+
+    Columns with at most ``small`` values use the built-in exact aggregate
+    (lazy, one final buffer of at most ``small`` values); larger ones use
+    ``bracketed_median``."""
+    counts = df.agg(*[F.count(c).alias(a) for a, c in cols.items()]).first()
+    big = {a for a in cols if counts[a] > small}
+    if not big:
+        return df.agg(*[F.median(c).alias(a) for a, c in cols.items()])
+    values = {a: bracketed_median(df, cols[a], counts[a]) for a in big}
+    rest = [a for a in cols if a not in big]
+    if rest:
+        values.update(df.agg(*[F.median(cols[a]).alias(a) for a in rest]).first().asDict())
+    schema = ", ".join(f"`{a}` double" for a in cols)
+    return df.sparkSession.createDataFrame([tuple(values[a] for a in cols)], schema)

@@ -6,9 +6,10 @@ aggregate of exactly one row, joined to every metric row with a broadcast
 of that single row; nothing is windowed over an unpartitioned frame.
 The metric rows are checkpointed once (``scorecard``), so the fact table is
 aggregated once however many scalar branches read the result.
-Medians are exact (``median`` = ``percentile(x, 0.5)``, mean of the middle
-two for an even count), computed with partial aggregation over the
-per-restaurant table.
+Medians are exact (mean of the middle two for an even count): the built-in
+``median`` while the column has at most ``small`` values (its one final
+buffer is size-checked), a bracketed exact selection beyond that
+(``functions.median``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.expr import r2, safe_ratio
+from orderlens.functions.median import SMALL_EXACT, median_row
 from orderlens.plans.materialize import materialize
 
 
@@ -39,26 +41,26 @@ def efficiency_ratio(metrics: DataFrame) -> DataFrame:
         r2(safe_ratio(F.col("total_revenue"), F.col("avg_kpt") * F.col("order_count"))))
 
 
-def median_impute(metrics: DataFrame) -> DataFrame:
+def _with_medians(df: DataFrame, cols: dict[str, str], small: int) -> DataFrame:
+    """Attach exact medians (a one-row frame, broadcast) to every row."""
+    return df.crossJoin(F.broadcast(median_row(df, cols, small)))
+
+
+def median_impute(metrics: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
     """``*_clean`` helper columns: missing rating/KPT/wait -> column median."""
-    m = _with_scalars(metrics,
-                      F.median("avg_rating").alias("_m_rating"),
-                      F.median("avg_kpt").alias("_m_kpt"),
-                      F.median("avg_rider_wait").alias("_m_wait"))
+    m = _with_medians(metrics, {"_m_rating": "avg_rating", "_m_kpt": "avg_kpt",
+                                "_m_wait": "avg_rider_wait"}, small)
     return (m.withColumn("avg_rating_clean", F.coalesce("avg_rating", "_m_rating"))
              .withColumn("avg_kpt_clean", F.coalesce("avg_kpt", "_m_kpt"))
              .withColumn("avg_wait_clean", F.coalesce("avg_rider_wait", "_m_wait"))
              .drop("_m_rating", "_m_kpt", "_m_wait"))
 
 
-def flags(cleaned: DataFrame) -> DataFrame:
+def flags(cleaned: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
     """Bottleneck = KPT and wait strictly above their medians;
     growth = rating at/above median with order count below median."""
-    m = _with_scalars(cleaned,
-                      F.median("avg_kpt_clean").alias("_m_kpt"),
-                      F.median("avg_wait_clean").alias("_m_wait"),
-                      F.median("avg_rating_clean").alias("_m_rating"),
-                      F.median("order_count").alias("_m_count"))
+    m = _with_medians(cleaned, {"_m_kpt": "avg_kpt_clean", "_m_wait": "avg_wait_clean",
+                                "_m_rating": "avg_rating_clean", "_m_count": "order_count"}, small)
     return (m.withColumn("kpt_flag", F.col("avg_kpt_clean") > F.col("_m_kpt"))
              .withColumn("wait_flag", F.col("avg_wait_clean") > F.col("_m_wait"))
              .withColumn("bottleneck", F.col("kpt_flag") & F.col("wait_flag"))
@@ -75,13 +77,13 @@ SCORECARD_COLUMNS = [
 ]
 
 
-def scorecard(metrics: DataFrame) -> DataFrame:
+def scorecard(metrics: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
     """The 17-column scorecard (plus ``restaurant_id`` when present).
 
     The metrics are materialised once: the revenue total and the two median
     levels each read them, and the fact-table aggregate must run only once."""
     metrics = materialize(metrics)
-    s = flags(median_impute(efficiency_ratio(revenue_share(metrics))))
+    s = flags(median_impute(efficiency_ratio(revenue_share(metrics)), small), small)
     cols = (["restaurant_id"] if "restaurant_id" in metrics.columns else []) + SCORECARD_COLUMNS
     return s.select(*cols)
 

@@ -1,0 +1,42 @@
+"""The bracketed exact median equals the built-in exact median."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from orderlens.functions.median import bracketed_median, median_row
+from orderlens.operators import performance as perf
+from orderlens.operators import scorecard as sc
+from orderlens.plans.landing import typed_orders
+from tests.conftest import SF_SMALL
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=60))
+def test_bracketed_equals_builtin(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    want = df.agg(F.median("v")).first()[0]
+    got = bracketed_median(df, "v", max_candidates=7)
+    assert (got is None and want is None) or got == pytest.approx(want, rel=0, abs=1e-12)
+
+
+def test_large_path_on_a_skewed_column(spark):
+    # a third of the rows hold one value, the rest are spread out
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(7.0))
+                                   .otherwise(F.col("id").cast("double") * 0.37).alias("v"))
+    want = df.agg(F.median("v")).first()[0]
+    assert median_row(df, {"m": "v"}, small=0).first().m == pytest.approx(want, abs=1e-12)
+
+
+def test_scorecard_same_with_either_median_path(spark):
+    m = perf.restaurant_metrics(typed_orders(spark, SF_SMALL), "restaurant_id")
+    a = sorted(map(tuple, sc.scorecard(m).collect()))
+    b = sorted(map(tuple, sc.scorecard(m, small=0).collect()))
+    assert a == b
+
+
+def test_too_many_candidates_sharpens_the_bracket(spark):
+    df = spark.range(20000).select((F.col("id") * 1.0).alias("v"))
+    want = df.agg(F.median("v")).first()[0]
+    assert bracketed_median(df, "v", max_candidates=3) == want
