@@ -51,7 +51,8 @@ def volume_share(card: DataFrame) -> DataFrame:
 def group_volume_share(card: DataFrame, names: DataFrame) -> DataFrame:
     """Combined order share (percent, 3 dp) of a set of restaurants."""
     tot = card.agg(F.sum("order_count").alias("_tot"))
-    sel = card.join(names.select("restaurant_name").distinct(), "restaurant_name", "left_semi")
+    keys = _ids(names) or ["restaurant_name"]
+    sel = card.join(names.select(*keys).distinct(), keys, "left_semi")
     return (sel.agg(F.sum("order_count").alias("orders"), F.count(F.lit(1)).alias("restaurants"))
             .crossJoin(F.broadcast(tot))
             .select("restaurants", F.col("orders").cast("bigint").alias("orders"),

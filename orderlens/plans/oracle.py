@@ -292,3 +292,18 @@ ORACLE["kv_tsv_source"] = _with(",\n".join([FO, _keyed("restaurant_id"), _metric
 ORACLE["plain_tsv_source"] = ORACLE["perf_by_restaurant_id"]
 ORACLE["reject_short_rows"] = _with(RAW, "SELECT COUNT(*) FILTER (WHERE CAST(order_id AS BIGINT) % 37 <> 0) AS accepted_rows, "
                                          "COUNT(*) FILTER (WHERE CAST(order_id AS BIGINT) % 37 = 0) AS rejected_rows FROM raw")
+
+# --- remaining report shapes ----------------------------------------------------
+ORACLE["q01_with_title"] = _with(FO, "SELECT '--- Q1: Total Orders ---' AS query_title, COUNT(*) AS total_orders FROM fo")
+ORACLE["timestamp_samples"] = _with(RAW, f"SELECT order_id, order_placed_at FROM raw WHERE NOT {_miss('order_placed_at')} "
+                                         "ORDER BY order_id LIMIT 10")
+_TYPES = {**{c: "string" for c in COLUMNS}, **{c: "double" for c in NUMERIC},
+          "order_placed_at": "timestamp_ntz", "flag_negative_financial": "boolean"}
+ORACLE["column_types_clean"] = ("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{_TYPES[c]}')" for c in COLUMNS)
+                                + ') AS t("column", dtype)')
+ORACLE["top3_volume_share"] = _with(
+    _M_ID + ",\ntop AS (SELECT restaurant_id FROM m WHERE avg_rating IS NOT NULL "
+            "ORDER BY avg_rating DESC, restaurant_id, restaurant_name LIMIT 3)",
+    "SELECT COUNT(*) AS restaurants, CAST(SUM(order_count) AS BIGINT) AS orders, "
+    "ROUND(CAST(SUM(order_count) AS DOUBLE) * 100 / (SELECT SUM(order_count) FROM m), 3) AS volume_share_pct "
+    "FROM m WHERE restaurant_id IN (SELECT restaurant_id FROM top)")

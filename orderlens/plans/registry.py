@@ -218,3 +218,15 @@ def _raw_schema(raw: DataFrame):
 
 register("input_file_usage")(lambda s, d: file_usage(s, d, glob="*.parquet").select(
     F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes"))
+
+
+# --- remaining report shapes ----------------------------------------------------
+register("q01_with_title")(lambda s, d: q.with_title(q.total_orders(_orders(s, d)), q.TITLES["q01"]))
+register("timestamp_samples")(lambda s, d: pr.timestamp_samples(_raw(s, d), n=10))
+register("column_types_clean")(lambda s, d: pr.column_types(cl.clean_orders(_raw(s, d))))
+
+
+@register("top3_volume_share")
+def _top3_share(s: SparkSession, d: str) -> DataFrame:
+    card = _card(s, d, "restaurant_id")
+    return fnd.group_volume_share(card, fnd.top_ratings(card, 3))

@@ -27,6 +27,25 @@ SESSION_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized from the input volume for a cluster run.
+
+    Scan splits of ``partition_bytes``; an initial shuffle width that gives
+    every core several tasks and keeps each shuffle partition near the
+    advisory size, which AQE then coalesces (small stages) or splits (skew)
+    from runtime statistics."""
+    initial = max(2 * executor_cores, -(-input_bytes // partition_bytes))
+    return {
+        **SESSION_CONF,
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "orderlens", extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)

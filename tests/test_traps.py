@@ -123,3 +123,12 @@ def test_q12_having_on_unrounded_mean(spark):
     got = q.high_performing_restaurants(_orders(spark, rows), min_orders=3, min_rating=4.0).collect()
     assert got == []  # mean 3.9995 < 4.0 although it rounds to 4.0
     assert not math.isnan(0.0)
+
+
+def test_cluster_conf_scales_with_input():
+    from orderlens.session import cluster_conf
+    small = cluster_conf(1 << 30, executor_cores=8)
+    big = cluster_conf(100 << 40, executor_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
