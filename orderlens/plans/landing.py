@@ -38,14 +38,29 @@ def _fingerprint(sf_dir: str) -> tuple:
     return tuple(stats)
 
 
+def write_table(df: DataFrame, name: str) -> str:
+    """Write ``df`` as Parquet under the shared work folder; return the path.
+
+    A result with fewer partitions than the application has cores (a small
+    input whose join streamed a small side) is spread over all cores first,
+    so later scans are not limited to one file; a cluster-sized result
+    already has more partitions and is written without an extra shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def _land(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     sf_dir = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, name, sf_dir, _fingerprint(sf_dir))
     with _LOCK:
         path = _LANDED.get(key)
         if path is None:
-            path = scratch_path(spark, name)
-            build(spark, sf_dir).write.mode("overwrite").parquet(path)
+            path = write_table(build(spark, sf_dir), name)
             _LANDED[key] = path
     return spark.read.parquet(path)
 

@@ -1,0 +1,36 @@
+"""Partitioning decisions that depend on measured sizes, never on hopes.
+
+* ``broadcast_if_small`` hints a broadcast only after counting the rows
+  (a proven bound); above the bound nothing is hinted and the planner's
+  shuffle join (sort-merge, AQE skew splitting) applies.
+* ``spread_small`` spreads an input that arrives in fewer partitions than
+  the application has cores (e.g. one Parquet row group) so per-row work
+  runs on every core; inputs of cluster size already have more partitions
+  and pass through without a shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have to be broadcast (each row is a few short columns,
+# so the broadcast stays in the tens of MB).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
+                       bound: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    ``bound`` is a table whose row count bounds ``df``'s from above (e.g. the
+    base table of a chain of many-to-one joins); counting a bare table reads
+    no column data, only file metadata."""
+    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    n = (bound if bound is not None else df).count()
+    return F.broadcast(df) if n <= limit else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

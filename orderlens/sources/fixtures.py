@@ -6,16 +6,18 @@ on Spark and on DuckDB, so the oracle queries can inline the same mapping.
 
 Join plan: the two fixed-size dimensions (nation, region) join ``customer``
 first; the widened customer side then joins ``orders`` on the customer key.
-No broadcast hint is forced: the planner broadcasts a side only below
-``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks at runtime from
-real shuffle sizes), otherwise it shuffles both sides (sort-merge), and the
-AQE skew rule splits a hot customer key across tasks.
+That side is broadcast only after a row count proves it small
+(``plans.partitioning``); otherwise nothing is hinted and the planner shuffles
+both sides (sort-merge), with the AQE skew rule splitting a hot customer key
+across tasks.  The fact table is thus always the streamed side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.plans.partitioning import broadcast_if_small, spread_small
+
 # (column, SQL expression over aliases o, c, n, r) for the typed order table.
 FOOD_ORDERS_MAPPING: list[tuple[str, str]] = [
     ("restaurant_id", "CAST(n.n_nationkey AS STRING)"),
@@ -88,13 +90,17 @@ def mapping_sql(mapping: list[tuple[str, str]]) -> str:
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = lambda t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
     o = read("orders").alias("o")
-    c = read("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("c")
+    customer = read("customer")
+    c = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("c")
     n = read("nation").select("n_nationkey", "n_name", "n_regionkey").alias("n")
     r = read("region").select("r_regionkey", "r_name").alias("r")
-    # dimensions first: customer x (nation x region) is a customer-sized side
+    # dimensions first: customer x (nation x region) is a customer-sized side,
+    # broadcast only when its row count is under a fixed bound
     dim = (c.join(n, c["c_nationkey"] == n["n_nationkey"])
             .join(r, n["n_regionkey"] == r["r_regionkey"]))
-    return o.join(dim, o["o_custkey"] == c["c_custkey"])
+    # many-to-one joins: the customer table's row count bounds the side's rows
+    side = broadcast_if_small(dim, bound=customer)
+    return spread_small(o).join(side, o["o_custkey"] == c["c_custkey"])
 
 
 def _select(df: DataFrame, mapping: list[tuple[str, str]]) -> DataFrame:

@@ -56,7 +56,11 @@ def test_per_column_top_k_limits_before_the_shuffle(spark):
     assert "Partial" in p[partial:] and p.count("WindowGroupLimit") == 2
 
 
-def test_join_falls_back_to_sort_merge_without_broadcast(spark):
+def test_customer_side_broadcast_only_below_the_row_bound(spark, monkeypatch):
+    from orderlens.plans import partitioning
+    p = plan(food_orders(spark, SF_SMALL), "simple")
+    assert "BroadcastHashJoin [o_custkey" in p and "BuildRight" in p  # orders streamed
+    monkeypatch.setattr(partitioning, "MAX_BROADCAST_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
