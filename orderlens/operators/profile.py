@@ -171,9 +171,21 @@ def categorical_top(df: DataFrame, cols: Sequence[str] = CATEGORICAL, k: int = 1
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None,
-                    tokens: Sequence[str] | None = MISSING_TOKENS) -> DataFrame:
-    """Exact number of distinct non-missing values per column."""
+                    tokens: Sequence[str] | None = MISSING_TOKENS, approximate: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
+    """Number of distinct non-missing values per column.
+
+    Exact by default: (column, value) pairs are de-duplicated per task, then
+    shuffled and counted, so an id-like column ships its distinct values.
+    ``approximate`` instead keeps one HyperLogLog sketch per column in a
+    single wide aggregate (relative error ``rsd``): no value is shuffled."""
     cols = list(cols) if cols is not None else df.columns
+    if approximate:
+        def v(c):
+            s = F.col(c).cast("string")
+            return F.when(~is_missing(s, tokens), s) if tokens is not None else s
+        wide = df.agg(*[F.approx_count_distinct(v(c), rsd).alias(f"_d{i}") for i, c in enumerate(cols)])
+        return _unpivot_row(wide, {"distinct_values": [f"_d{i}" for i in range(len(cols))]}, cols)
     return (_value_pairs(df, cols, tokens).groupBy("column")
             .agg(F.count_distinct("value").alias("distinct_values")))
 

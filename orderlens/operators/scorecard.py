@@ -88,16 +88,21 @@ def scorecard(metrics: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
     return s.select(*cols)
 
 
+def _ids(card: DataFrame) -> list[str]:
+    return [c for c in ("restaurant_id",) if c in card.columns]
+
+
 def bottlenecks(card: DataFrame) -> DataFrame:
-    """Bottleneck report rows."""
+    """Bottleneck report rows (with ``restaurant_id`` when the card has it)."""
     return (card.filter(F.col("bottleneck"))
-            .select("restaurant_name", "order_count", "avg_kpt", "avg_rider_wait", "avg_rating"))
+            .select(*_ids(card), "restaurant_name", "order_count", "avg_kpt", "avg_rider_wait",
+                    "avg_rating"))
 
 
 def growth_opportunities(card: DataFrame) -> DataFrame:
-    """Growth-opportunity report rows."""
+    """Growth-opportunity report rows (with ``restaurant_id`` when present)."""
     return (card.filter(F.col("growth_opportunity"))
-            .select("restaurant_name", "order_count", "revenue_share_pct", "avg_rating",
+            .select(*_ids(card), "restaurant_name", "order_count", "revenue_share_pct", "avg_rating",
                     "avg_order_value"))
 
 

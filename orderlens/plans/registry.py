@@ -82,15 +82,8 @@ register("efficiency_ratio")(lambda s, d: sc.efficiency_ratio(perf.restaurant_me
                              .select("restaurant_id", "efficiency_ratio"))
 register("median_impute")(lambda s, d: _card(s, d, "restaurant_id")
                           .select("restaurant_id", "avg_rating_clean", "avg_kpt_clean", "avg_wait_clean"))
-register("bottlenecks")(lambda s, d: _with_id(sc.bottlenecks, _card(s, d, "restaurant_id")))
-register("growth_opportunities")(lambda s, d: _with_id(sc.growth_opportunities, _card(s, d, "restaurant_id")))
-
-
-def _with_id(report, card: DataFrame) -> DataFrame:
-    """Run a name-level report on an id-keyed card, keeping the id column."""
-    cols = report(card).columns
-    flag = "bottleneck" if report is sc.bottlenecks else "growth_opportunity"
-    return card.filter(F.col(flag)).select("restaurant_id", *cols)
+register("bottlenecks")(lambda s, d: sc.bottlenecks(_card(s, d, "restaurant_id")))
+register("growth_opportunities")(lambda s, d: sc.growth_opportunities(_card(s, d, "restaurant_id")))
 
 
 @register("executive_summary")

@@ -140,3 +140,22 @@ def test_typed_table_and_catalog(spark, tmp_dir):
     assert os.path.exists(os.path.join(tmp_dir, "ext"))  # external: files stay
     spark.catalog.setCurrentDatabase("default")
     assert tables.describe(df).count() == 2
+
+
+def test_record_before_after_and_types(spark, raw29):
+    raw = cl.rename_headers(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    clean = cl.clean_orders(raw)
+    rows = {r.column: r for r in cl.record_before_after(raw, clean, "order_id", "9").collect()}
+    assert rows["restaurant_name"].raw_value == " Swaad\t" and rows["restaurant_name"].clean_value == "Swaad"
+    assert rows["bill_subtotal"].raw_value == "abc" and rows["bill_subtotal"].clean_value is None
+    types = dict((r.column, r.dtype) for r in pr.column_types(clean).collect())
+    assert types["total"] == "double" and types["flag_negative_financial"] == "boolean"
+    assert "default" in [r.database for r in tables.list_databases(spark).collect()]
+
+
+def test_distinct_counts_approximate_close_to_exact(spark, raw29):
+    raw = cl.rename_headers(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    exact = {r.column: r.distinct_values for r in pr.distinct_counts(raw).collect()}
+    approx = {r.column: r.distinct_values for r in pr.distinct_counts(raw, approximate=True).collect()}
+    assert exact.keys() == approx.keys() and exact["order_id"] == 10
+    assert all(abs(exact[c] - approx[c]) <= 1 for c in exact)
