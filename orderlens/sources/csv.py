@@ -99,5 +99,6 @@ def write_clean_csv(clean: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 def from_csv_column(df: DataFrame, col: str, schema: str | T.StructType) -> DataFrame:
     """Parse CSV text held in a column into a struct column ``parsed``."""
-    ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    ddl = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return df.withColumn("parsed", F.from_csv(F.col(col), ddl, DIALECT))

@@ -159,3 +159,12 @@ def test_distinct_counts_approximate_close_to_exact(spark, raw29):
     approx = {r.column: r.distinct_values for r in pr.distinct_counts(raw, approximate=True).collect()}
     assert exact.keys() == approx.keys() and exact["order_id"] == 10
     assert all(abs(exact[c] - approx[c]) <= 1 for c in exact)
+
+
+def test_from_csv_column_and_typed_schema(spark, raw29):
+    from orderlens.schema import ORDERS_TYPED, RAW_29
+    lines = spark.createDataFrame([(_raw_row(1),)], "line string")
+    parsed = csvio.from_csv_column(lines, "line", RAW_29).select("parsed.*")
+    assert parsed.columns == RAW_HEADERS and parsed.first()["Instructions"] == 'ring, then say "hi"'
+    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    assert [(f.name, f.dataType) for f in clean.schema.fields] == [(f.name, f.dataType) for f in ORDERS_TYPED.fields]
