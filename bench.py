@@ -9,17 +9,21 @@ Stages, as the original pipeline runs them:
   profile    — data-quality reports and cleaning of the dirty staging table.
 Each query: one warm-up, then the median of three timed runs; a run forces
 full execution with the ``noop`` sink (nothing collected to the driver).
+Spark's event log (written to a scratch folder) gives, per query, the shuffle
+bytes written and the tasks run in its last timed run.
 Prints ONE JSON line.  Env: BENCH_SF_DIR (default /root/testdata/sf0.1),
 BENCH_CPUS (default 8).
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 
@@ -39,7 +43,12 @@ def main() -> None:
     from orderlens.session import local_session
     from orderlens.sources.fixtures import food_orders, food_orders_raw
 
-    spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8), app="orderlens-bench")
+    log_dir = tempfile.mkdtemp(prefix="orderlens-eventlog-")
+    spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8), app="orderlens-bench",
+                          extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                                 "spark.eventLog.compress": "false",
+                                 "spark.eventLog.rolling.enabled": "false"})
+    ctx = spark.sparkContext
 
     def run(df) -> None:
         df.write.format("noop").mode("overwrite").save()
@@ -93,10 +102,13 @@ def main() -> None:
     for name, make in plan.items():
         run(make())  # warm-up
         runs = []
-        for _ in range(repeats):
+        for i in range(repeats):
+            if i == repeats - 1:  # the last timed run is the one measured in the event log
+                ctx.setJobGroup(name, name)
             t0 = time.perf_counter()
             run(make())
             runs.append(time.perf_counter() - t0)
+        ctx.setJobGroup("", "")
         timings[name] = statistics.median(runs)
 
     m = re.search(r"sf([0-9.]+)$", sf_dir)
@@ -109,8 +121,45 @@ def main() -> None:
         "cpus": cpus,
     }
     spark.stop()
+    out.update(shuffle_stats(log_dir, list(plan)))
     print(json.dumps(out))
 
 
+def shuffle_stats(log_dir: str, names: list[str]) -> dict:
+    """Per query (job group): shuffle bytes written and tasks run, read from
+    Spark's event log of the last timed run."""
+    group_of_stage: dict[int, str] = {}
+    written: dict[str, int] = {n: 0 for n in names}
+    tasks: dict[str, int] = {n: 0 for n in names}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        name = os.path.basename(path)
+        if os.path.isdir(path) or name.startswith(".") or name.startswith("appstatus"):
+            continue
+        if name.endswith(".zstd"):
+            import io
+
+            import zstandard
+            stream = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(open(path, "rb")), "utf-8")
+        else:
+            stream = open(path, encoding="utf-8")
+        with stream as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group in written:
+                        for sid in ev.get("Stage IDs", []):
+                            group_of_stage[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = group_of_stage.get(ev.get("Stage ID"))
+                    if group is None:
+                        continue
+                    tasks[group] += 1
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    written[group] += int(m.get("Shuffle Bytes Written", 0))
+    return {"shuffle_write_bytes": written, "tasks": tasks}
+
+
 if __name__ == "__main__":
     main()

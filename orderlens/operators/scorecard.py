@@ -4,8 +4,8 @@ Input is a metrics table with one row per restaurant (``restaurant_metrics``
 or literal rows).  Platform scalars (revenue total, medians) are a global
 aggregate of exactly one row, joined to every metric row with a broadcast
 of that single row; nothing is windowed over an unpartitioned frame.
-The metric rows are checkpointed once (``scorecard``), so the fact table is
-aggregated once however many scalar branches read the result.
+The metric rows are written once (``scorecard`` -> ``plans.materialize``), so
+the fact table is aggregated once however many scalar branches read them.
 Medians are exact (mean of the middle two for an even count): the built-in
 ``median`` while the column has at most ``small`` values (its one final
 buffer is size-checked), a bracketed exact selection beyond that
@@ -82,7 +82,7 @@ def scorecard(metrics: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
 
     The metrics are materialised once: the revenue total and the two median
     levels each read them, and the fact-table aggregate must run only once."""
-    metrics = materialize(metrics)
+    metrics = materialize(metrics, "restaurant_metrics")
     s = flags(median_impute(efficiency_ratio(revenue_share(metrics)), small), small)
     cols = (["restaurant_id"] if "restaurant_id" in metrics.columns else []) + SCORECARD_COLUMNS
     return s.select(*cols)

@@ -2,27 +2,25 @@
 
 A per-restaurant table referenced by N scalar branches would otherwise be
 recomputed from the fact table N times (each branch prunes different
-columns, so exchange reuse does not apply).  A reliable ``checkpoint`` writes
-it once to the shared folder named by ``spark.checkpoint.dir`` and survives
-executor loss; ``localCheckpoint`` (executor-local) is never used.
+columns, so exchange reuse does not apply).  ``materialize`` writes it once
+as a Parquet table under the shared folder named by ``spark.checkpoint.dir``
+and returns a DataFrame over the written copy: the lineage is cut, the copy
+survives executor loss, and — unlike an RDD checkpoint, which keeps every
+shuffle partition — the write is sized by AQE, so a 25-row table is one file
+and a large one is split into advisory-sized files.  ``localCheckpoint``
+(executor-local) is never used.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from orderlens.session import work_dir
+from orderlens.session import scratch_path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and return a DataFrame reading the written copy.
-
-    The input is persisted while the checkpoint is written (a reliable RDD
-    checkpoint otherwise recomputes its lineage a second time) and released
-    as soon as the written copy exists."""
-    work_dir(df.sparkSession)  # make sure a checkpoint folder is set
-    df.persist()
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Compute ``df`` once and return a DataFrame reading the written copy."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

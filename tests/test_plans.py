@@ -74,7 +74,7 @@ def test_customer_side_broadcast_only_below_the_row_bound(spark, monkeypatch):
 def test_scorecard_reads_the_fact_table_once(orders):
     card = sc.scorecard(perf.restaurant_metrics(orders, "restaurant_id"))
     p = plan(card, "simple")
-    assert "FileScan" not in p and "ExistingRDD" in p  # branches read the checkpoint
+    assert "orders_typed" not in p and "restaurant_metrics" in p  # branches read the written copy
     assert card.count() == 25
 
 
