@@ -4,7 +4,6 @@ JSON reports, typed tables, catalog, file usage."""
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from orderlens.operators import clean as cl
 from orderlens.operators import profile as pr
