@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orderlens.schema import STAGING_31
 
 
 def save_typed(df: DataFrame, table: str | None = None, path: str | None = None,
@@ -64,3 +67,17 @@ def preview(df: DataFrame, n: int = 5, order_by: str | None = None) -> DataFrame
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
+
+
+def create_staging_table(spark: SparkSession, name: str, path: str,
+                         schema: T.StructType = STAGING_31, multiline: bool = True) -> DataFrame:
+    """External all-STRING staging table over a CSV folder, declared in SQL.
+
+    The files stay where they are (dropping the table keeps them); the CSV
+    dialect is the same RFC-4180 one the DataFrame reader uses."""
+    cols = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING csv "
+              f"OPTIONS (header 'true', sep ',', quote '\"', escape '\"', multiLine '{str(multiline).lower()}') "
+              f"LOCATION '{path}'")
+    return spark.table(name)

@@ -167,3 +167,15 @@ def test_from_csv_column_and_typed_schema(spark, raw29):
     assert parsed.columns == RAW_HEADERS and parsed.first()["Instructions"] == 'ring, then say "hi"'
     clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
     assert [(f.name, f.dataType) for f in clean.schema.fields] == [(f.name, f.dataType) for f in ORDERS_TYPED.fields]
+
+
+def test_sql_staging_table_equals_reader(spark, raw29, tmp_dir):
+    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    out = os.path.join(tmp_dir, "clean_for_sql")
+    csvio.write_clean_csv(clean, out)
+    staged = tables.create_staging_table(spark, "orders_raw_text_t", out)
+    via_reader = csvio.read_staging(spark, out).drop(csvio.CORRUPT)
+    assert staged.columns == via_reader.columns
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, via_reader.collect()))
+    tables.drop_table(spark, "orders_raw_text_t")
+    assert any(f.endswith(".csv") for f in os.listdir(out))  # external: files stay
