@@ -79,11 +79,15 @@ def restaurant_performance(orders: DataFrame, key: str = "restaurant_id",
 
 
 def rating_metrics(orders: DataFrame, key: str = "restaurant_name") -> DataFrame:
-    """Rounded mean rating and number of ratings per key (rated orders only)."""
+    """Rounded mean rating and number of ratings per key (rated orders only).
+
+    Aggregated on the raw key text first, then trimmed and merged per
+    distinct key (no string work per order)."""
     r = F.col("rating")
-    o = orders.withColumn(key, strip_ws(key))
-    return (o.filter(r.isNotNull()).groupBy(key)
-            .agg(r2(F.avg(r)).alias("avg_rating"), F.count(r).alias("num_ratings")))
+    l1 = (orders.filter(r.isNotNull()).groupBy(key)
+          .agg(F.sum(r).alias("_s"), F.count(r).alias("_n")))
+    l2 = l1.withColumn(key, strip_ws(key)).groupBy(key).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    return l2.select(key, r2(F.col("_s") / F.col("_n")).alias("avg_rating"), F.col("_n").alias("num_ratings"))
 
 
 def restaurant_metrics(orders: DataFrame, key: str = "restaurant_name",

@@ -19,13 +19,25 @@ METRIC_COLUMNS = ("order_count", "total_revenue", "avg_kpt", "avg_rider_wait")
 def expected_metrics(orders: DataFrame, key: str = "restaurant_name") -> DataFrame:
     """The validator's recomputation: every row counts, revenue sums finite
     totals (0 if none), KPT and wait average all present values — negative
-    minutes included, unlike the roll-up."""
-    o = orders.withColumn(key, strip_ws(key))
-    return o.groupBy(key).agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.coalesce(F.sum(finite_or_null(F.col("total"))), F.lit(0.0)).alias("total_revenue"),
-        F.avg(finite_or_null(F.col("kpt_duration_minutes"))).alias("avg_kpt"),
-        F.avg(finite_or_null(F.col("rider_wait_time_minutes"))).alias("avg_rider_wait"),
+    minutes included, unlike the roll-up.
+
+    Aggregated on the raw key text first, then trimmed and merged per
+    distinct key (no string work per order)."""
+    total = finite_or_null(F.col("total"))
+    kpt = finite_or_null(F.col("kpt_duration_minutes"))
+    wait = finite_or_null(F.col("rider_wait_time_minutes"))
+    l1 = orders.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(total).alias("_rev"),
+        F.sum(kpt).alias("_ks"), F.count(kpt).alias("_kn"),
+        F.sum(wait).alias("_ws"), F.count(wait).alias("_wn"))
+    l2 = (l1.withColumn(key, strip_ws(key)).groupBy(key)
+          .agg(*[F.sum(c).alias(c) for c in ("_n", "_rev", "_ks", "_kn", "_ws", "_wn")]))
+    return l2.select(
+        key,
+        F.col("_n").alias("order_count"),
+        F.coalesce(F.col("_rev"), F.lit(0.0)).alias("total_revenue"),
+        F.try_divide(F.col("_ks"), F.col("_kn")).alias("avg_kpt"),
+        F.try_divide(F.col("_ws"), F.col("_wn")).alias("avg_rider_wait"),
     )
 
 
