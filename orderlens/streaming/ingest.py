@@ -16,18 +16,34 @@ from orderlens.schema import RAW_29
 from orderlens.sources.csv import CORRUPT, DIALECT, _with_corrupt, split_rejects
 
 
-def start_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint_dir: str,
-                 fmt: str = "parquet", available_now: bool = True, min_fields: int = 26,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes every file present
-    at start (in bounded batches) and stops."""
+def _raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None):
     r = (spark.readStream.options(**DIALECT).option("header", True).option("multiLine", True)
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.schema(_with_corrupt(RAW_29)).csv(raw_dir)
-    accepted, _ = split_rejects(raw, min_fields)
-    w = (clean_orders(accepted).writeStream.format(fmt).option("checkpointLocation", checkpoint_dir)
+    return r.schema(_with_corrupt(RAW_29)).csv(raw_dir)
+
+
+def _start(df, fmt: str, out_dir: str, checkpoint_dir: str, available_now: bool) -> StreamingQuery:
+    w = (df.writeStream.format(fmt).option("checkpointLocation", checkpoint_dir)
          .option("path", out_dir).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def start_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint_dir: str,
+                 fmt: str = "parquet", available_now: bool = True, min_fields: int = 26,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the clean-rows stream; with ``available_now`` it processes every
+    file present at start (in bounded batches) and stops."""
+    accepted, _ = split_rejects(_raw_stream(spark, raw_dir, max_files_per_trigger), min_fields)
+    return _start(clean_orders(accepted), fmt, out_dir, checkpoint_dir, available_now)
+
+
+def start_reject_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint_dir: str,
+                        available_now: bool = True, min_fields: int = 26,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Companion stream keeping records with fewer than ``min_fields`` fields
+    (JSON, own checkpoint), as the batch path keeps its reject table."""
+    _, rejected = split_rejects(_raw_stream(spark, raw_dir, max_files_per_trigger), min_fields)
+    return _start(rejected, "json", out_dir, checkpoint_dir, available_now)

@@ -9,7 +9,7 @@ from orderlens.plans.end_to_end import run_end_to_end
 from orderlens.schema import COLUMN_TO_HEADER
 from orderlens.sources import csv as csvio
 from orderlens.sources.fixtures import food_orders_raw
-from orderlens.streaming.ingest import start_ingest
+from orderlens.streaming.ingest import start_ingest, start_reject_ingest
 from tests.conftest import SF_SMALL
 
 
@@ -46,3 +46,20 @@ def test_streaming_ingest(spark, tmp_dir):
     assert got.count() == n
     batch = cl.clean_orders(food_orders_raw(spark, SF_SMALL))
     assert sorted(map(tuple, got.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_streaming_rejects(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing_short")
+    os.makedirs(landing)
+    from orderlens.schema import RAW_HEADERS
+    header = ",".join(f'"{h}"' if "," in h else h for h in RAW_HEADERS)
+    full = ",".join(["1", "A"] + [""] * 27)
+    with open(os.path.join(landing, "part-0.csv"), "w") as f:
+        f.write("\n".join([header, full, "2,B,only,three", full]) + "\n")
+    rej = start_reject_ingest(spark, landing, os.path.join(tmp_dir, "rej"), os.path.join(tmp_dir, "ck_rej"))
+    ok = start_ingest(spark, landing, os.path.join(tmp_dir, "ok"), os.path.join(tmp_dir, "ck_ok"))
+    rej.awaitTermination(120)
+    ok.awaitTermination(120)
+    rows = spark.read.json(os.path.join(tmp_dir, "rej")).collect()
+    assert len(rows) == 1 and rows[0].fields == 4 and rows[0].first_field == "2"
+    assert spark.read.parquet(os.path.join(tmp_dir, "ok")).count() == 2
