@@ -77,12 +77,14 @@ SCORECARD_COLUMNS = [
 ]
 
 
-def scorecard(metrics: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
+def scorecard(metrics: DataFrame, small: int = SMALL_EXACT, materialized: bool = False) -> DataFrame:
     """The 17-column scorecard (plus ``restaurant_id`` when present).
 
     The metrics are materialised once: the revenue total and the two median
-    levels each read them, and the fact-table aggregate must run only once."""
-    metrics = materialize(metrics, "restaurant_metrics")
+    levels each read them, and the fact-table aggregate must run only once.
+    Pass ``materialized=True`` when ``metrics`` already reads a written copy."""
+    if not materialized:
+        metrics = materialize(metrics, "restaurant_metrics")
     s = flags(median_impute(efficiency_ratio(revenue_share(metrics)), small), small)
     cols = (["restaurant_id"] if "restaurant_id" in metrics.columns else []) + SCORECARD_COLUMNS
     return s.select(*cols)

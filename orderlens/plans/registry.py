@@ -20,6 +20,7 @@ from orderlens.operators import queries as q
 from orderlens.operators import reconcile as rec
 from orderlens.operators import scorecard as sc
 from orderlens.plans.landing import raw_staging, typed_orders
+from orderlens.plans.landing import restaurant_metrics as landed_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -38,8 +39,13 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_orders(spark, sf_dir)
 
 
+def _metrics(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Per-restaurant metrics, aggregated once per application (``plans.landing``)."""
+    return landed_metrics(spark, sf_dir, key)
+
+
 def _card(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return sc.scorecard(perf.restaurant_metrics(_orders(spark, sf_dir), key))
+    return sc.scorecard(_metrics(spark, sf_dir, key), materialized=True)
 
 
 # --- Q1-Q12 -----------------------------------------------------------------
@@ -76,9 +82,9 @@ def _scorecard_join(s: SparkSession, d: str) -> DataFrame:
     return sc.scorecard(m)
 
 
-register("revenue_share")(lambda s, d: sc.revenue_share(perf.restaurant_metrics(_orders(s, d), "restaurant_id"))
+register("revenue_share")(lambda s, d: sc.revenue_share(_metrics(s, d, "restaurant_id"))
                           .select("restaurant_id", "total_revenue", "revenue_share_pct"))
-register("efficiency_ratio")(lambda s, d: sc.efficiency_ratio(perf.restaurant_metrics(_orders(s, d), "restaurant_id"))
+register("efficiency_ratio")(lambda s, d: sc.efficiency_ratio(_metrics(s, d, "restaurant_id"))
                              .select("restaurant_id", "efficiency_ratio"))
 register("median_impute")(lambda s, d: _card(s, d, "restaurant_id")
                           .select("restaurant_id", "avg_rating_clean", "avg_kpt_clean", "avg_wait_clean"))
