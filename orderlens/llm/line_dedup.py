@@ -43,25 +43,24 @@ def _line_hash(line):
 
 def _with_chunks(rows: DataFrame, window: int, divisor: int) -> DataFrame:
     """Adds lines (array) and chunks (array of start, n)."""
-    def rolled(x, i):
-        acc = x
-        for back in range(1, window):
-            # every factor is below 2**31, so products stay within 63 bits
-            power = pow(BASE, back, MODULUS)
-            before = F.when(i >= back, F.get(F.col("_h"), (i - back).cast("int"))).otherwise(F.lit(0))
-            acc = (acc + before * F.lit(power)) % F.lit(MODULUS)
-        return acc
-
+    # arrays are combined by position with shifted copies of themselves: a lambda
+    # that refers to a whole array would have it evaluated anew for every element
     rows = rows.withColumn("_lines", F.split("_text", "\n", -1))
     rows = rows.withColumn("_h", F.transform("_lines", _line_hash))
-    rows = rows.withColumn("_r", F.transform("_h", rolled))
-    last = F.size("_lines") - 1
-    rows = rows.withColumn("_ends", F.filter(
-        F.transform("_r", lambda r, i: F.when((r % divisor == 0) | (i == last), i).otherwise(F.lit(-1))),
-        lambda e: e >= 0))
-    return rows.withColumn("_chunks", F.transform("_ends", lambda e, j: F.struct(
-        F.when(j > 0, F.get(F.col("_ends"), (j - 1).cast("int")) + 1).otherwise(F.lit(0)).alias("start"),
-        e.alias("end"))))
+    rolled = F.col("_h")
+    for back in range(1, window):
+        # every factor is below 2**31, so products stay within 63 bits
+        power = pow(BASE, back, MODULUS)
+        before = F.concat(F.array_repeat(F.lit(0).cast("bigint"), back), F.col("_h"))
+        rolled = F.zip_with(rolled, F.slice(before, F.lit(1), F.size("_h")),
+                            lambda x, p: (x + p * F.lit(power)) % F.lit(MODULUS))
+    marks = F.transform(rolled, lambda r, i: F.when(r % divisor == 0, i).otherwise(F.lit(-1)))
+    rows = rows.withColumn("_ends", F.array_union(
+        F.filter(marks, lambda e: e >= 0), F.array(F.size("_lines") - 1)))
+    starts = F.concat(F.array(F.lit(0)), F.transform("_ends", lambda e: e + 1))
+    return rows.withColumn("_chunks", F.zip_with(
+        F.slice(starts, F.lit(1), F.size("_ends")), "_ends",
+        lambda start, end: F.struct(start.alias("start"), end.alias("end"))))
 
 
 def _chunk_text(start, end):
