@@ -19,7 +19,7 @@ Defined cases: a null text counts as empty and matches nothing; an item that is
 null or has no characters beyond white space matches nothing; items with one
 and the same text are all reported; a null item id is reported as null;
 repeated rows give repeated results; empty tables give no rows, or rows without
-hits; further columns of the documents pass through (``hits`` wins a clash).
+hits; further columns of the documents pass through (the hits win a clash).
 """
 
 from __future__ import annotations
@@ -141,14 +141,14 @@ class Matcher:
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                    item_text_col: str = "text", max_error: float = MAX_ERROR, block_chars: int = BLOCK_CHARS,
-                   keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``hits``: array of (item_id, distance) of the items found,
+                   keep_text: bool = True, name: str = "hits") -> DataFrame:
+    """``docs`` with ``name``: array of (item_id, distance) of the items found,
     by item id.  ``keep_text=False`` leaves the text column out."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(item_text_col).cast("string").alias("t"))
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-total // (block_chars // 2)))
-    out = docs.drop("hits").withColumn("hits", F.array().cast(HITS))
+    out = docs.drop(name).withColumn(name, F.array().cast(HITS))
     block_of = F.pmod(F.xxhash64("id", "t"), F.lit(blocks))
     for k in range(blocks):
         block = spark.sparkContext.broadcast(
@@ -163,7 +163,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
                 if blocks > 1:
                     found = [sorted(h.as_py() + f, key=lambda x: (x["item_id"] is not None, x["item_id"]))
                              for h, f in zip(hits, found)]
-                arrays = [batch.column(batch.schema.get_field_index(c)) for c in columns if c != "hits"]
+                arrays = [batch.column(batch.schema.get_field_index(c)) for c in columns if c != name]
                 yield pa.record_batch([*arrays, pa.array(found, HITS_ARROW)], names=columns)
 
         out = out.mapInArrow(run, out.select(*columns).schema)

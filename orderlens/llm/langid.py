@@ -16,7 +16,7 @@ Defined cases: a null text or one without a letter is ``und`` with score 0;
 rows whose language is null are not learned from; without any labelled row
 every text is ``und``; repeated rows give repeated results; an empty table
 gives no rows; further columns pass through in ``identify`` unless they clash
-with lang_pred and score.
+with the two names given.
 """
 
 from __future__ import annotations
@@ -240,9 +240,10 @@ def fit(rows: DataFrame, **options) -> Network:
     return train(training_sample(rows), **options)
 
 
-def identify(docs: DataFrame, net: Network, text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with lang_pred and score; ``keep_text=False`` leaves the text out."""
-    docs = docs.drop("lang_pred", "score")
+def identify(docs: DataFrame, net: Network, text_col: str = "text", keep_text: bool = True,
+             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and its score under ``names``; ``keep_text=False`` leaves the text out."""
+    docs = docs.drop(*names)
     columns = [c for c in docs.columns if keep_text or c != text_col]
     shared = docs.sparkSession.sparkContext.broadcast((net.langs, net.weights))
 
@@ -252,9 +253,9 @@ def identify(docs: DataFrame, net: Network, text_col: str = "text", keep_text: b
             labels, scores = own.documents(batch.column(batch.schema.get_field_index(text_col)).to_pylist())
             yield pa.record_batch([*[batch.column(batch.schema.get_field_index(c)) for c in columns],
                                    pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
-                                  names=[*columns, "lang_pred", "score"])
+                                  names=[*columns, *names])
 
-    schema = docs.select(*columns, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = docs.select(*columns, F.lit("").alias(names[0]), F.lit(0.0).alias(names[1])).schema
     return docs.mapInArrow(run, schema)
 
 

@@ -73,14 +73,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id (bigint) and fp, the fingerprint as a signed long."""
+    """doc_id (bigint), fp, the fingerprint as a signed long, and text_hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)],
+                                  names=["doc_id", "fp", "text_hash"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.xxhash64(text_col).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint, text_hash bigint")
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +127,7 @@ def link_edges(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     bucket: int = BUCKET) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id: one row per input row."""
+    """doc_id, fingerprint (hex), component_id, text_hash (xxhash64 of the text as it is): a row per input row."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct_prints")
     roots = components(link_edges(distinct.select("fp"), bucket)).withColumnRenamed("node", "fp")
@@ -134,7 +136,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = members.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
