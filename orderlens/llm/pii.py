@@ -12,8 +12,8 @@ a span adjust its score.
   (13 digits passing Luhn, kept only if its score reaches ``keep_at``; so does
   ``ssn``, three-two-four digits, which has no checksum and lives on context).
 * Score: a prior by kind, plus ``CONTEXT_BONUS`` if one of the kind's words is
-  within ``CONTEXT_CHARS`` characters before or after the span, minus
-  ``CONTEXT_MALUS`` if a word that speaks against it is.
+  within ``CONTEXT_CHARS`` characters before or after the span (as far as the
+  kind's next match), minus ``CONTEXT_MALUS`` if a word that speaks against it is.
 
 Positions come from the texts between matches: split by the pattern, add up the
 lengths.  A pattern runs only on texts that hold its trigger character.
@@ -93,63 +93,89 @@ def _valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str, text: Column, keep_at: float) -> Column:
-    """array<struct<start, rank, stop, kind, score>> of the kind's confirmed spans."""
+_PLACED = "array<struct<start:bigint,stop:bigint,found:string,around:string>>"
+
+
+def _found(kind: str) -> dict[str, Column]:
+    """The kind's matches, and the texts before, between and behind them."""
     trigger, pattern = PATTERNS[kind]
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(found.alias("found"), F.slice(gaps, 1, F.size(found)).alias("gap"))
+    text = F.col("text")
+    has = text.contains(trigger) if trigger else text.rlike("[0-9][0-9\\x20-]{11}")
+    return {f"_{kind}_found": F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(
+        F.array().cast("array<string>")),
+        f"_{kind}_gaps": F.when(has, F.split(text, pattern, -1)).otherwise(F.array(F.lit("")))}
+
+
+def _zipped(kind: str) -> Column:
+    found, gaps = F.col(f"_{kind}_found"), F.col(f"_{kind}_gaps")
+    return F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"),
+                        F.slice(gaps, F.lit(2), F.size(found)).alias("after"))
+
+
+def _length(x: Column) -> Column:
+    return (F.length(x["gap"]) + F.length(x["found"])).cast("bigint")
+
 
-    def length(x):
-        return (F.length(x["gap"]) + F.length(x["found"])).cast("bigint")
+def _runs(kind: str) -> Column:
+    """The matches in runs of ``RUN``, so that placing a text's matches stays linear."""
+    zipped = F.col(f"_{kind}_zip")
+    last = F.greatest(F.floor((F.size(zipped) - 1) / RUN), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(zipped, k * RUN + 1, F.lit(RUN)))
 
-    def placed_run(run, at):
-        # the running end and the spans so far; runs are bounded, so appending stays cheap
+
+def _ends(kind: str) -> Column:
+    return F.transform(F.col(f"_{kind}_runs"), lambda run: F.aggregate(
+        run, F.lit(0).cast("bigint"), lambda a, x: a + _length(x)))
+
+
+def _starts(kind: str) -> Column:
+    ends = F.col(f"_{kind}_ends")
+    return F.transform(ends, lambda _, k: F.aggregate(
+        F.slice(ends, F.lit(1), k), F.lit(0).cast("bigint"), lambda a, e: a + e))
+
+
+def _placed(kind: str) -> Column:
+    def place(run, at):
+        # the running end and the spans so far; a run is bounded, so appending stays cheap
         return F.aggregate(
-            run, F.struct(at.alias("at"), F.array().cast("array<struct<start:bigint,stop:bigint,found:string>>").alias("spans")),
+            run, F.struct(at.alias("at"), F.array().cast(_PLACED).alias("spans")),
             lambda acc, x: F.struct(
-                (acc["at"] + length(x)).alias("at"),
+                (acc["at"] + _length(x)).alias("at"),
                 F.concat(acc["spans"], F.array(F.struct(
-                    (acc["at"] + F.length(x["gap"])).alias("start"), (acc["at"] + length(x)).alias("stop"),
-                    x["found"].alias("found")))).alias("spans")),
+                    (acc["at"] + F.length(x["gap"])).alias("start"), (acc["at"] + _length(x)).alias("stop"),
+                    x["found"].alias("found"),
+                    F.concat_ws(" ", F.right(x["gap"], F.lit(CONTEXT_CHARS)),
+                                F.left(x["after"], F.lit(CONTEXT_CHARS))).alias("around")))).alias("spans")),
             lambda acc: acc["spans"])
 
-    zero = F.lit(0).cast("bigint")
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(zipped) - 1) / RUN).cast("int")),
-                       lambda k: F.slice(zipped, k * RUN + 1, F.lit(RUN)))
-    ends = F.transform(runs, lambda run: F.aggregate(run, zero, lambda a, x: a + length(x)))
-    placed = F.flatten(F.transform(runs, lambda run, k: placed_run(
-        run, F.aggregate(F.slice(ends, F.lit(1), k), zero, lambda a, e: a + e))))
-    placed = F.when(F.size(found) > 0, placed).otherwise(
-        F.array().cast("array<struct<start:bigint,stop:bigint,found:string>>"))
+    return F.flatten(F.zip_with(f"_{kind}_runs", f"_{kind}_starts", place))
+
 
+def _spans(kind: str, keep_at: float) -> Column:
+    """array<struct<start, rank, stop, kind, score>> of the kind's confirmed spans."""
     def scored(s):
-        before = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0).cast("bigint"))
-        around = F.concat_ws(
-            " ", F.substring(text, (before + 1).cast("int"), (s["start"] - before).cast("int")),
-            F.substring(text, (s["stop"] + 1).cast("int"), F.lit(CONTEXT_CHARS)))
-        around = F.translate(around, UPPER, LOWER)
+        around = F.translate(s["around"], UPPER, LOWER)
         near = F.when(around.rlike(rf"(?<![a-z])(?:{CONTEXT[kind]})"), CONTEXT_BONUS).otherwise(0.0)
         against = F.when(around.rlike(rf"(?<![a-z])(?:{AGAINST[kind]})"), CONTEXT_MALUS).otherwise(0.0)
         # the bonus of a kind without a strong proof weighs more: context is all it has
         weight = 3.0 if kind in ("ssn", "card13") else 1.0
         return F.least(F.greatest(F.lit(PRIOR[kind]) + near * weight - against * weight, F.lit(0.0)), F.lit(1.0))
 
-    spans = F.transform(F.filter(placed, lambda s: _valid(kind, s["found"])), lambda s: F.struct(
+    spans = F.transform(F.filter(F.col(f"_{kind}_placed"), lambda s: _valid(kind, s["found"])), lambda s: F.struct(
         s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["stop"].alias("stop"),
         F.lit(kind).alias("kind"), scored(s).alias("score")))
-    if kind not in BASE_KINDS:
-        spans = F.filter(spans, lambda s: s["score"] >= keep_at)
-    none = F.array().cast("array<struct<start:bigint,rank:int,stop:bigint,kind:string,score:double>>")
-    has = text.contains(trigger) if trigger else text.rlike("[0-9][0-9\\x20-]{11}")
-    return F.when(has, spans).otherwise(none)
+    return spans if kind in BASE_KINDS else F.filter(spans, lambda s: s["score"] >= keep_at)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = KEEP_AT) -> DataFrame:
     """doc_id and spans: array of (start, rank, stop, kind, score), by start, then kind."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumns({f"_{k}": _spans(k, F.col("text"), keep_at) for k in KINDS})
-    return rows.select("doc_id", F.array_sort(F.concat(*[f"_{k}" for k in KINDS])).alias("spans"))
+    # one projection a step: each step's arrays are used more than once by the next, so they are
+    # computed once a text and never inside a lambda
+    rows = rows.withColumns({c: e for k in KINDS for c, e in _found(k).items()})
+    for name, step in (("zip", _zipped), ("runs", _runs), ("ends", _ends), ("starts", _starts), ("placed", _placed)):
+        rows = rows.withColumns({f"_{k}_{name}": step(k) for k in KINDS})
+    return rows.select("doc_id", F.array_sort(F.concat(*[_spans(k, keep_at) for k in KINDS])).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:
