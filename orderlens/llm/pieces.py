@@ -50,7 +50,8 @@ MODEL = "piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.5
 SEED = 17
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 3 << 20
+DENSE = 3  # prefixes shorter than this are looked up in a dense table
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 SCHEMA = ("doc_id bigint, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, "
@@ -94,12 +95,47 @@ class Vocabulary:
                 state = child[key]
             piece_of[state] = i
             score_of[state] = -alpha * math.log1p(min(max(-model.get_score(i), 0.0), n))
+        self._number(child, piece_of, score_of, n, alpha)
+        self.control = {i for i in range(n) if model.is_control(i)}
+
+    def _number(self, child: dict[int, int], piece_of: list, score_of: list, n: int, alpha: float) -> None:
+        """Arrays of the trie; states of prefixes shorter than ``DENSE`` come first and have rows of a
+        dense table over the commonest characters, the others are found by binary search."""
+        depth = [0] * len(piece_of)
+        for key, state in child.items():  # parents come before their children
+            depth[state] = depth[key >> 21] + 1
+        order = sorted(range(len(depth)), key=lambda s: (depth[s] >= DENSE, s))
+        new = {s: k for k, s in enumerate(order)}
+        child = {new[key >> 21] << 21 | key & 0x1FFFFF: new[state] for key, state in child.items()}
+        piece_of, score_of = [piece_of[s] for s in order], [score_of[s] for s in order]
         self.keys = np.array(sorted(child), dtype=np.int64)
-        self.next = np.array([child[k] for k in sorted(child)], dtype=np.int64)
+        self.next = np.array([child[k] for k in sorted(child)], dtype=np.int32)
         self.piece_of = np.array(piece_of, dtype=np.int32)
         self.score_of = np.array(score_of)
         self.byte_score = -alpha * math.log1p(n)
-        self.control = {i for i in range(n) if model.is_control(i)}
+        common = [c for c in range(0x250) if c != 0x24F] + [ord(SPACE)]
+        self.column = np.full(0x110000, len(common), dtype=np.int16)
+        self.column[common] = np.arange(len(common))
+        self.dense = np.full((sum(d < DENSE for d in depth), len(common) + 1), -1, dtype=np.int32)
+        for key, state in child.items():
+            if key >> 21 < len(self.dense) and self.column[key & 0x1FFFFF] < len(common):
+                self.dense[key >> 21, self.column[key & 0x1FFFFF]] = state
+        self.common = len(common)
+
+    def step(self, state: np.ndarray, codes: np.ndarray, columns: np.ndarray, size: int) -> np.ndarray:
+        """The next states after one more character; -1 where there is none.  All
+        states belong to prefixes of ``size`` characters."""
+        if size >= DENSE:
+            return self._search(state, codes)
+        out = self.dense[state, columns]
+        rare = np.flatnonzero(columns == self.common)
+        out[rare] = self._search(state[rare], codes[rare])
+        return out
+
+    def _search(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        key = state.astype(np.int64) << 21 | codes
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[found] == key, self.next[found], -1)
 
     def decode(self, ids) -> str:
         """The text of piece ids; bytes that are no UTF-8 become U+FFFD."""
@@ -147,15 +183,15 @@ class Lattice:
         ends = np.cumsum(lengths)
         self.codes, self.start_of = codes, ends - lengths
         self.end = np.repeat(ends, lengths)  # of the unit of each position
+        columns = vocab.column[codes]
         starts, sizes, pieces, scores = [], [], [], []
-        at, state = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
+        at, state = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int32)
         bare = np.ones(len(codes), dtype=bool)
         size = 0
         while len(at):
-            key = state << 21 | codes[at + size]
-            found = np.minimum(np.searchsorted(vocab.keys, key), len(vocab.keys) - 1)
-            ok = vocab.keys[found] == key
-            at, state = at[ok], vocab.next[found[ok]]
+            state = vocab.step(state, codes[at + size], columns[at + size], size)
+            ok = np.flatnonzero(state >= 0)
+            at, state = at[ok], state[ok]
             size += 1
             piece = vocab.piece_of[state]
             has = piece >= 0
