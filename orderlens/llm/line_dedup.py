@@ -83,8 +83,9 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     chunks = materialize(chunks, "line_chunks")
     place = F.struct("_id", "_row", "start")
     # one document repeated under one id counts once: its rows are alike in every column here
-    repeated = (chunks.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"))
+    # (written first: an aggregate's output could not be re-dealt, and the join with a hot digest is split by AQE)
+    repeated = materialize(chunks.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                           .where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"), "line_firsts")
     found = materialize(chunks.join(repeated, "digest")
                         .select("_id", "_row", "digest", "start", "end",
                                 place.eqNullSafe(F.col("first")).alias("stays")), "line_repeats")
@@ -95,8 +96,8 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
                .withColumn("_lines", F.split("_text", "\n", -1))
                .select("_lines", F.explode("parts").alias("p"))
                .select(F.col("p.digest").alias("digest"), _chunk_text(F.col("p.start"), F.col("p.end")).alias("chunk")))
-    alike = (fetched.groupBy("digest").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b"))
-             .where("a = b").select("digest"))
+    alike = materialize(fetched.groupBy("digest").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b"))
+                        .where("a = b").select("digest"), "line_alike")
     cut = (found.where(~F.col("stays")).join(alike, "digest")
            .groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "end")).alias("_cut"))
            .select(F.col("_id").alias("_cid"), F.col("_row").alias("_crow"), "_cut"))
