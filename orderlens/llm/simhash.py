@@ -111,7 +111,8 @@ def link_edges(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) whose components
     are those of all links at up to two bits."""
     keys = materialize(prints.mapInArrow(_keys, "key bigint, fp bigint"), "golay_keys")
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written first: the join with a crowded key can then be split by AQE
+    sizes = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "golay_sizes")
     shared = materialize(keys.join(sizes, "key"), "golay_shared")
     small = shared.where(F.col("n") <= bucket)
     pairs = (small.select("key", F.col("fp").alias("a"))
@@ -134,7 +135,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     members = materialize(members, "print_roots")
     least = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = members.select("fp", "root").join(least, "root").select("fp", "component_id")
+    least = materialize(least, "component_ids")
+    classes = materialize(members.select("fp", "root").join(least, "root").select("fp", "component_id"), "print_classes")
     return prints.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash")
 
