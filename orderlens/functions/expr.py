@@ -24,15 +24,18 @@ WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 # Timestamp layouts tried in order; the first that parses wins.  The source
 # format is not fixed, so the list is a parameter of ``to_ts``.
+# Single pattern letters take one or two digits; brackets are optional parts.
 DEFAULT_TS_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "hh:mm a, MMMM dd yyyy",
-    "dd-MM-yyyy HH:mm",
-    "MM/dd/yyyy HH:mm",
+    "yyyy-M-d H:mm:ss[.SSSSSS]",
+    "yyyy-M-d'T'H:mm:ss[.SSSSSS]",
+    "yyyy-M-d H:mm",
+    "yyyy-M-d",
+    "h:mm a, MMMM d yyyy",
+    "d-M-yyyy H:mm",
+    "M/d/yyyy H:mm",
 )
+# Layouts with an offset of their own: the instant, as UTC wall time.
+OFFSET_TS_FORMATS = ("yyyy-M-d'T'H:mm:ss[.SSSSSS]XXX", "yyyy-M-d H:mm:ss[.SSSSSS]XXX")
 
 
 def col_(c: ColumnOrName) -> Column:
@@ -55,18 +58,32 @@ def finite_or_null(v: Column) -> Column:
     return F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(v)
 
 
-def to_double(c: ColumnOrName) -> Column:
-    """Lenient numeric parse: invalid text, NaN and infinities -> NULL.
+def parse_number(text: Column) -> Column:
+    """Text -> DOUBLE, NULL where it is no decimal number (never raises).
+
+    The JVM's parser also takes type suffixes (``12d``, ``5F``) and hexadecimal
+    floats (``0x1p3``); such text is no number here.  Infinities pass."""
+    last = F.right(text, F.lit(1))
+    plain = ~last.isin("d", "D", "f", "F") & ~text.contains("x") & ~text.contains("X")
+    return F.when(plain | F.lower(F.right(text, F.lit(3))).eqNullSafe("inf"), text.try_cast("double"))
 
-    ``try_cast`` never raises under ANSI mode (a plain CAST of '' does)."""
-    return finite_or_null(col_(c).cast("string").try_cast("double"))
+
+def to_double(c: ColumnOrName) -> Column:
+    """Lenient numeric parse: invalid text, NaN and infinities -> NULL."""
+    return finite_or_null(parse_number(strip_ws(col_(c).cast("string"))))
 
 
 def to_ts(c: ColumnOrName, formats: Iterable[str] = DEFAULT_TS_FORMATS) -> Column:
-    """Parse a timestamp trying several layouts; unparseable -> NULL."""
+    """Parse a timestamp trying several layouts; unparseable -> NULL.
+
+    Text is read as UTC and turned into wall time from the count of
+    microseconds, so the session's time zone and its clock changes play no part."""
     c = col_(c)
-    parsed = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    parsed = [F.try_to_timestamp(F.concat(c, F.lit(" Z")), F.lit(f"{fmt} XXX")) for fmt in formats]
+    parsed += [F.try_to_timestamp(c, F.lit(fmt)) for fmt in OFFSET_TS_FORMATS]
+    seconds = F.unix_micros(F.coalesce(*parsed)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
 def valid_minutes(c: ColumnOrName) -> Column:

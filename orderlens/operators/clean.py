@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.functions.expr import (
-    DEFAULT_TS_FORMATS, any_negative, finite_or_null, is_missing, strip_ws, to_double, to_ts,
+    DEFAULT_TS_FORMATS, any_negative, finite_or_null, is_missing, parse_number, strip_ws, to_double, to_ts,
 )
 from orderlens.schema import COLUMNS, FINANCIAL, HEADER_TO_COLUMN, MISSING_TOKENS, NUMERIC
 
@@ -97,7 +97,7 @@ def clean_orders(staging: DataFrame, formats: Iterable[str] = DEFAULT_TS_FORMATS
     text = df.select(*[strip_ws(F.when(~is_missing(c, tokens), F.col(c))).alias(c) if c in strings
                        else F.col(c) for c in df.columns])
     parsed = text.select(*[
-        F.col(c).cast("string").try_cast("double").alias(c) if c in NUMERIC
+        parse_number(F.col(c).cast("string")).alias(c) if c in NUMERIC
         else to_ts(c, formats).alias(c) if c == "order_placed_at"
         else F.col(c) for c in text.columns],
         F.col("order_placed_at").cast("string").alias("order_placed_at_raw"))

@@ -39,7 +39,8 @@ def _rollup(orders: DataFrame, key: str, digits: int | None, with_ratings: bool)
              F.sum(kpt).alias("_kpt_s"), F.count(kpt).alias("_kpt_n"),
              F.sum(wait).alias("_wait_s"), F.count(wait).alias("_wait_n")]
     if with_ratings:
-        parts += [F.sum("rating").alias("_r_s"), F.count("rating").alias("_r_n")]
+        rating = finite_or_null(F.col("rating"))
+        parts += [F.sum(rating).alias("_r_s"), F.count(rating).alias("_r_n")]
     l1 = orders.groupBy(*raw_keys).agg(*parts)
     l1 = l1.select(*[strip_ws(k).alias(k) for k in raw_keys], *[c for c in l1.columns if c.startswith("_")])
     l1 = l1.filter(F.length(F.col(key)) > 0)
@@ -83,7 +84,7 @@ def rating_metrics(orders: DataFrame, key: str = "restaurant_name") -> DataFrame
 
     Aggregated on the raw key text first, then trimmed and merged per
     distinct key (no string work per order)."""
-    r = F.col("rating")
+    r = finite_or_null(F.col("rating"))
     l1 = (orders.filter(r.isNotNull()).groupBy(key)
           .agg(F.sum(r).alias("_s"), F.count(r).alias("_n")))
     l2 = l1.withColumn(key, strip_ws(key)).groupBy(key).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))

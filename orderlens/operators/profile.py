@@ -15,7 +15,9 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.expr import DEFAULT_TS_FORMATS, finite_or_null, is_missing, strip_ws, to_ts
+from orderlens.functions.expr import (
+    DEFAULT_TS_FORMATS, finite_or_null, is_missing, parse_number, strip_ws, to_double, to_ts,
+)
 from orderlens.schema import CATEGORICAL, MISSING_TOKENS, NUMERIC, STATUS_DEPENDENT, TEXT
 
 
@@ -99,7 +101,7 @@ def numeric_audit(df: DataFrame, cols: Sequence[str] = NUMERIC,
     cols = _present(cols, df)
     cells = df.select(*[c for i, col in enumerate(cols) for c in (
         (~is_missing(F.col(col).cast("string"), tokens)).alias(f"_p{i}"),
-        strip_ws(F.col(col).cast("string")).try_cast("double").alias(f"_x{i}"))])
+        parse_number(strip_ws(F.col(col).cast("string"))).alias(f"_x{i}"))])
     cells = cells.select(*[c for i in range(len(cols)) for c in (
         (F.col(f"_p{i}") & F.col(f"_x{i}").isNull()).alias(f"_bad{i}"),
         finite_or_null(F.col(f"_x{i}")).alias(f"_v{i}"))])
@@ -125,7 +127,7 @@ def coercion_failures(df: DataFrame, cols: Sequence[str] = NUMERIC,
 
 def rating_out_of_range(df: DataFrame, col: str = "rating", lo: float = 1.0, hi: float = 5.0) -> DataFrame:
     """Ratings outside [lo, hi] (after numeric coercion)."""
-    r = finite_or_null(strip_ws(F.col(col).cast("string")).try_cast("double"))
+    r = to_double(F.col(col))
     return df.agg(F.sum(((r < lo) | (r > hi)).cast("long")).alias("out_of_range"))
 
 
@@ -213,16 +215,21 @@ def cleaning_diff(raw: DataFrame, formats: Iterable[str] = DEFAULT_TS_FORMATS,
     """Before/after comparison for the whole table: per column, the cells
     whose text cleaning stripped and the cells it turned into NULL.
 
-    Cleaning is a per-row projection, so raw and clean values are computed
-    side by side in one aggregate pass: no join, no shuffle."""
-    from orderlens.operators.clean import cleaned_value
+    Cleaning is a per-row projection: each cell is tested and stripped once,
+    parsed once from the stripped text, and the marks are then counted in one
+    aggregate pass (no join; one partial row a task is shuffled)."""
     cols = raw.columns
-    aggs = []
-    for i, c in enumerate(cols):
-        r = F.col(c).cast("string")
-        stripped = ~is_missing(r, tokens) & (strip_ws(r) != r)
-        nulled = r.isNotNull() & cleaned_value(c, formats, tokens).isNull()
-        aggs += [F.sum(stripped.cast("long")).alias(f"_s{i}"), F.sum(nulled.cast("long")).alias(f"_z{i}")]
     n = range(len(cols))
-    return _unpivot_row(raw.agg(*aggs), {"stripped_cells": [f"_s{i}" for i in n],
+    text = raw.select(*[F.col(c).cast("string").alias(f"_r{i}") for i, c in enumerate(cols)])
+    text = text.select("*", *[F.when(~is_missing(f"_r{i}", tokens), strip_ws(f"_r{i}")).alias(f"_t{i}") for i in n])
+
+    def value(i: int, c: str):
+        t = F.col(f"_t{i}")
+        return to_double(t) if c in NUMERIC else to_ts(t, formats) if c == "order_placed_at" else t
+
+    marks = text.select(*[m for i, c in enumerate(cols) for m in (
+        (F.col(f"_t{i}") != F.col(f"_r{i}")).alias(f"_m{i}"),
+        (F.col(f"_r{i}").isNotNull() & value(i, c).isNull()).alias(f"_n{i}"))])
+    aggs = [a for i in n for a in (F.count_if(f"_m{i}").alias(f"_s{i}"), F.count_if(f"_n{i}").alias(f"_z{i}"))]
+    return _unpivot_row(marks.agg(*aggs), {"stripped_cells": [f"_s{i}" for i in n],
                                          "nulled_cells": [f"_z{i}" for i in n]}, cols)

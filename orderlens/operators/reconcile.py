@@ -8,7 +8,7 @@ only one side are reported instead of skipped silently.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions.expr import abs_diff_or_zero, finite_or_null, pct_diff, strip_ws
@@ -72,27 +72,35 @@ def reconcile(actual: DataFrame, expected: DataFrame, key: str = "restaurant_nam
     return out
 
 
-def validation_report(rec: DataFrame | None) -> DataFrame | None:
-    """Report document: ``status`` and the matched rows as an array of structs.
+REPORT_ENTRY = ("restaurant_name string, side string, count_match boolean, revenue_diff_pct double, "
+                "kpt_diff_minutes double, wait_diff_minutes double")
+REPORT_SCHEMA = f"status string, metrics_validation array<struct<{REPORT_ENTRY.replace(' string', ':string').replace(' boolean', ':boolean').replace(' double', ':double')}>>"
 
-    SKIPPED_NO_CLEAN_DATA when there is nothing to compare against; MISMATCH
-    when a tolerance was applied and some row fails it or a key is unmatched;
-    else SUCCESS.  One row; the array holds one entry per restaurant."""
-    if rec is None:
-        return None
-    has_tol = "within_tolerance" in rec.columns
+
+def validation_report(rec: DataFrame, key: str = "restaurant_name") -> DataFrame:
+    """Report document: ``status`` and every compared key as an array of structs.
+
+    Keys on one side only are kept, with their ``side`` and no differences.
+    MISMATCH when a key is unmatched or, with a tolerance, a row fails it; else
+    SUCCESS.  One row; the array holds one entry per restaurant."""
     bad = F.col("side") != "both"
-    if has_tol:
+    if "within_tolerance" in rec.columns:
         bad = bad | ~F.col("within_tolerance")
-    entry = F.struct("restaurant_name", "count_match", "revenue_diff_pct", "kpt_diff_minutes",
-                     "wait_diff_minutes") if "restaurant_name" in rec.columns else F.struct(*rec.columns)
-    return rec.agg(
-        F.when(F.lit(has_tol) & (F.sum(bad.cast("int")) > 0), "MISMATCH").otherwise("SUCCESS").alias("status"),
-        F.sort_array(F.collect_list(F.when(F.col("side") == "both", entry))).alias("metrics_validation"),
-    )
+    entry = F.struct(F.col(key).alias("restaurant_name"), "side", "count_match", "revenue_diff_pct", "kpt_diff_minutes",
+                     "wait_diff_minutes")
+    return rec.agg(F.when(F.count_if(bad) > 0, "MISMATCH").otherwise("SUCCESS").alias("status"),
+                   F.sort_array(F.collect_list(entry)).alias("metrics_validation"))
+
 
+def _status_report(spark: SparkSession, status: str) -> DataFrame:
+    return spark.createDataFrame([(status, [])], REPORT_SCHEMA)
 
-def skipped_report(spark) -> DataFrame:
+
+def skipped_report(spark: SparkSession) -> DataFrame:
     """The report when no clean data is available."""
-    return spark.createDataFrame([("SKIPPED_NO_CLEAN_DATA", [])],
-                                 "status string, metrics_validation array<struct<restaurant_name:string>>")
+    return _status_report(spark, "SKIPPED_NO_CLEAN_DATA")
+
+
+def error_report(spark: SparkSession, error: Exception) -> DataFrame:
+    """The report when the comparison itself failed."""
+    return _status_report(spark, f"ERROR: {error}")

@@ -1,15 +1,18 @@
 """Scorecard: revenue share, efficiency, median imputation, flags, summary.
 
 Input is a metrics table with one row per restaurant (``restaurant_metrics``
-or literal rows).  Platform scalars (revenue total, medians) are a global
-aggregate of exactly one row, joined to every metric row with a broadcast
-of that single row; nothing is windowed over an unpartitioned frame.
+or literal rows).  Everything platform-wide (revenue total, four medians) is ONE
+global aggregate of exactly one row, joined to every metric row with a
+broadcast of that single row; nothing is windowed over an unpartitioned frame.
 The metric rows are written once (``scorecard`` -> ``plans.materialize``), so
-the fact table is aggregated once however many scalar branches read them.
-Medians are exact (mean of the middle two for an even count): the built-in
-``median`` while the column has at most ``small`` values (its one final
-buffer is size-checked), a bracketed exact selection beyond that
-(``functions.median``).
+the fact table is aggregated once though two branches read them.
+Medians are the built-in exact ``median`` (mean of the middle two for an even
+count) at every size.  Its state is a map of distinct values, which is bounded
+by the values, not by the rows: metrics are rounded to two decimals (ratings
+401 values, minutes a few hundred thousand), and restaurants with distinct
+order counts number at most the square root of twice the orders.
+Filling missing values with a column's median leaves that median as it is, so
+the flags compare with the medians of the values before filling.
 """
 
 from __future__ import annotations
@@ -18,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.expr import r2, safe_ratio
-from orderlens.functions.median import SMALL_EXACT, median_row
 from orderlens.plans.materialize import materialize
 
 
@@ -41,32 +43,43 @@ def efficiency_ratio(metrics: DataFrame) -> DataFrame:
         r2(safe_ratio(F.col("total_revenue"), F.col("avg_kpt") * F.col("order_count"))))
 
 
-def _with_medians(df: DataFrame, cols: dict[str, str], small: int) -> DataFrame:
-    """Attach exact medians (a one-row frame, broadcast) to every row."""
-    return df.crossJoin(F.broadcast(median_row(df, cols, small)))
+_MEDIANS = {"_m_rating": "avg_rating", "_m_kpt": "avg_kpt", "_m_wait": "avg_rider_wait", "_m_count": "order_count"}
+_CLEAN = {"avg_rating_clean": ("avg_rating", "_m_rating"), "avg_kpt_clean": ("avg_kpt", "_m_kpt"),
+          "avg_wait_clean": ("avg_rider_wait", "_m_wait")}
 
 
-def median_impute(metrics: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
+def _medians(names) -> list:
+    return [F.median(_MEDIANS[m]).alias(m) for m in names]
+
+
+def _filled(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.coalesce(v, m) for c, (v, m) in _CLEAN.items()})
+
+
+def median_impute(metrics: DataFrame) -> DataFrame:
     """``*_clean`` helper columns: missing rating/KPT/wait -> column median."""
-    m = _with_medians(metrics, {"_m_rating": "avg_rating", "_m_kpt": "avg_kpt",
-                                "_m_wait": "avg_rider_wait"}, small)
-    return (m.withColumn("avg_rating_clean", F.coalesce("avg_rating", "_m_rating"))
-             .withColumn("avg_kpt_clean", F.coalesce("avg_kpt", "_m_kpt"))
-             .withColumn("avg_wait_clean", F.coalesce("avg_rider_wait", "_m_wait"))
-             .drop("_m_rating", "_m_kpt", "_m_wait"))
+    names = [m for _, m in _CLEAN.values()]
+    return _filled(_with_scalars(metrics, *_medians(names))).drop(*names)
+
+
+def _flagged(df: DataFrame) -> DataFrame:
+    """A comparison with a missing value is False, never NULL."""
+    def true(c):
+        return F.coalesce(c, F.lit(False))
+
+    return (df.withColumns({"kpt_flag": true(F.col("avg_kpt_clean") > F.col("_m_kpt")),
+                            "wait_flag": true(F.col("avg_wait_clean") > F.col("_m_wait")),
+                            "growth_opportunity": true((F.col("avg_rating_clean") >= F.col("_m_rating"))
+                                                       & (F.col("order_count") < F.col("_m_count")))})
+            .withColumn("bottleneck", F.col("kpt_flag") & F.col("wait_flag")))
 
 
-def flags(cleaned: DataFrame, small: int = SMALL_EXACT) -> DataFrame:
+def flags(cleaned: DataFrame) -> DataFrame:
     """Bottleneck = KPT and wait strictly above their medians;
     growth = rating at/above median with order count below median."""
-    m = _with_medians(cleaned, {"_m_kpt": "avg_kpt_clean", "_m_wait": "avg_wait_clean",
-                                "_m_rating": "avg_rating_clean", "_m_count": "order_count"}, small)
-    return (m.withColumn("kpt_flag", F.col("avg_kpt_clean") > F.col("_m_kpt"))
-             .withColumn("wait_flag", F.col("avg_wait_clean") > F.col("_m_wait"))
-             .withColumn("bottleneck", F.col("kpt_flag") & F.col("wait_flag"))
-             .withColumn("growth_opportunity", (F.col("avg_rating_clean") >= F.col("_m_rating"))
-                         & (F.col("order_count") < F.col("_m_count")))
-             .drop("_m_kpt", "_m_wait", "_m_rating", "_m_count"))
+    medians = [F.median("avg_kpt_clean").alias("_m_kpt"), F.median("avg_wait_clean").alias("_m_wait"),
+               F.median("avg_rating_clean").alias("_m_rating"), F.median("order_count").alias("_m_count")]
+    return _flagged(_with_scalars(cleaned, *medians)).drop(*_MEDIANS)
 
 
 SCORECARD_COLUMNS = [
@@ -77,15 +90,17 @@ SCORECARD_COLUMNS = [
 ]
 
 
-def scorecard(metrics: DataFrame, small: int = SMALL_EXACT, materialized: bool = False) -> DataFrame:
+def scorecard(metrics: DataFrame, materialized: bool = False) -> DataFrame:
     """The 17-column scorecard (plus ``restaurant_id`` when present).
 
-    The metrics are materialised once: the revenue total and the two median
-    levels each read them, and the fact-table aggregate must run only once.
+    The metrics are materialised once: the rows and the one global aggregate
+    each read them, and the fact-table aggregate must run only once.
     Pass ``materialized=True`` when ``metrics`` already reads a written copy."""
     if not materialized:
         metrics = materialize(metrics, "restaurant_metrics")
-    s = flags(median_impute(efficiency_ratio(revenue_share(metrics)), small), small)
+    s = _with_scalars(metrics, F.sum("total_revenue").alias("_platform_rev"), *_medians(_MEDIANS))
+    s = s.withColumn("revenue_share_pct", r2(safe_ratio(F.col("total_revenue"), F.col("_platform_rev")) * 100))
+    s = _flagged(_filled(efficiency_ratio(s)))
     cols = (["restaurant_id"] if "restaurant_id" in metrics.columns else []) + SCORECARD_COLUMNS
     return s.select(*cols)
 

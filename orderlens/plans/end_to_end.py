@@ -1,28 +1,40 @@
 """The whole workflow as one Spark application.
 
-raw CSV -> reject short records (kept aside) -> clean (31 columns) -> clean
-CSV -> typed columnar table (written: cuts lineage, survives executor loss)
--> twelve query results -> per-restaurant roll-up (TSV) -> scorecard (CSV)
--> validation report and executive summary (JSON).
+raw CSV -> ONE parse into a written columnar staging table that keeps the text
+of irregular records -> rejects, clean CSV and typed table, all from that copy
+-> twelve query results -> per-restaurant roll-up (``key=value`` TSV) and rating
+CSV (Q10) -> both files read back, joined into the scorecard (CSV), compared
+with the validator's own recomputation -> validation report and executive
+summary (JSON).
 
-Everything downstream of the typed table reads the written copy, so the
-raw parse and cleaning run exactly once.
+The report's status is SUCCESS or MISMATCH; SKIPPED_NO_CLEAN_DATA if the clean
+table is empty; ERROR with the reason if the comparison fails.  ``raw`` may be
+any path, or several; ``multiline`` is for line ends inside quotes (one task per file).
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException, ArithmeticException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.operators import clean as cl
 from orderlens.operators import performance as perf
 from orderlens.operators import queries as q
 from orderlens.operators import reconcile as rec
 from orderlens.operators import scorecard as sc
+from orderlens.plans.materialize import materialize
 from orderlens.sources import csv as csvio
 from orderlens.sources import kv_tsv, reports, tables
 
+# Q10 as a titled CSV: title, name, mean rating, number of ratings.
+RATING_SCHEMA = T.StructType([
+    T.StructField("query_title", T.StringType()), T.StructField("restaurant_name", T.StringType()),
+    T.StructField("avg_rating", T.DoubleType()), T.StructField("num_ratings", T.LongType())])
+
 QUERY_PLAN = {
     "q01": q.total_orders, "q02": q.orders_by_restaurant, "q03": q.orders_by_status,
     "q04": q.revenue_by_restaurant, "q05": q.avg_order_value_by_restaurant, "q06": q.top_orders,
@@ -31,32 +43,50 @@ QUERY_PLAN = {
 }
 
 
-def run_end_to_end(spark: SparkSession, raw: str | DataFrame, out_dir: str, fmt: str = "orc",
-                   scorecard_key: str = "restaurant_name", min_fields: int = 26,
-                   tolerance: float | None = None) -> dict[str, str]:
+def parse_once(spark: SparkSession, raw: str | list[str], multiline: bool = False) -> DataFrame:
+    """The raw text parsed by one job into a written staging table with ``_corrupt_record``."""
+    return materialize(csvio.read_raw_csv(spark, raw, multiline=multiline), "raw_staging")
+
+
+def read_artefacts(spark: SparkSession, rollup_tsv: str, ratings_csv: str) -> DataFrame:
+    """Roll-up text LEFT JOIN rating CSV on the restaurant's name, as metrics rows."""
+    ratings = csvio.read_csv(spark, ratings_csv, RATING_SCHEMA, keep_corrupt=False)
+    rollup = kv_tsv.read_kv_tsv(spark, rollup_tsv).withColumn("order_count", F.col("order_count").cast("bigint"))
+    return perf.combine(rollup.drop("restaurant_id"), ratings, "restaurant_name")
+
+
+def validate(spark: SparkSession, metrics: DataFrame, clean: DataFrame, tolerance: float | None = None) -> DataFrame:
+    """The validation report of metrics read from the artefacts against the clean table."""
+    try:
+        if clean.isEmpty():
+            return rec.skipped_report(spark)
+        return materialize(rec.validation_report(
+            rec.reconcile(metrics, rec.expected_metrics(clean), tolerance=tolerance)), "validation")
+    except (AnalysisException, SparkRuntimeException, ArithmeticException) as e:
+        return rec.error_report(spark, e)
+
+
+def run_end_to_end(spark: SparkSession, raw: str | list[str] | DataFrame, out_dir: str, fmt: str = "orc",
+                   min_fields: int = 26, tolerance: float | None = None, multiline: bool = False) -> dict[str, str]:
     """Run every stage; return the output path of each stage."""
     out = {k: os.path.join(out_dir, k) for k in
            ("rejects", "clean_csv", "orders_typed", "queries", "rollup_tsv", "scorecard", "validation", "summary")}
-    if isinstance(raw, str):
-        accepted, rejected = csvio.split_rejects(csvio.read_raw_csv(spark, raw), min_fields)
-        rejected.write.mode("overwrite").json(out["rejects"])
-    else:
+    if isinstance(raw, DataFrame):
         accepted = raw
-    clean = cl.clean_orders(accepted)
-    csvio.write_clean_csv(clean, out["clean_csv"])
-    tables.save_typed(clean, path=out["orders_typed"], fmt=fmt)
+    else:
+        accepted, rejected = csvio.split_rejects(parse_once(spark, raw, multiline), min_fields)
+        rejected.write.mode("overwrite").json(out["rejects"])
+    tables.save_typed(cl.clean_orders(accepted), path=out["orders_typed"], fmt=fmt)
     orders = tables.read_typed(spark, out["orders_typed"], fmt)
+    csvio.write_clean_csv(orders, out["clean_csv"])
 
     for name, fn in QUERY_PLAN.items():
-        result = q.with_title(fn(orders), q.TITLES[name])
-        csvio.write_csv(result.coalesce(1), os.path.join(out["queries"], name))
+        csvio.write_csv(q.with_title(fn(orders), q.TITLES[name]), os.path.join(out["queries"], name))
 
-    rollup = perf.restaurant_performance(orders, "restaurant_id")
-    kv_tsv.write_tsv(rollup, out["rollup_tsv"], style="kv")
-    card = sc.scorecard(perf.restaurant_metrics(orders, scorecard_key))
+    kv_tsv.write_tsv(perf.restaurant_performance(orders, "restaurant_name"), out["rollup_tsv"], style="kv")
+    metrics = read_artefacts(spark, out["rollup_tsv"], os.path.join(out["queries"], "q10"))
+    card = materialize(sc.scorecard(metrics), "scorecard")
     csvio.write_csv(card, out["scorecard"])
-    actual = perf.restaurant_performance(orders, "restaurant_name")
-    report = rec.validation_report(rec.reconcile(actual, rec.expected_metrics(orders), tolerance=tolerance))
-    reports.write_report_json(report, out["validation"])
+    reports.write_report_json(validate(spark, metrics, orders, tolerance), out["validation"])
     reports.write_report_json(sc.executive_summary(card), out["summary"])
     return out

@@ -7,57 +7,45 @@ Parquet under the shared work folder (``spark.checkpoint.dir``), and every
 later query of the same application scans the written copy: the 4-table
 join runs once, not once per query, and the copy survives executor loss.
 
-Inputs are immutable table folders; a landed copy is keyed by the Spark
-application and the input folder, plus each input file's size and
-modification time when the folder is on a local file system.
+A landed copy is keyed by the Spark application, the input folder, and path,
+length and modification time of every input file as Spark's own reader lists
+them (so on any storage): a rewritten input is landed anew.  The write is
+direct; the plan that derives the table runs exactly once.
 """
 
 from __future__ import annotations
 
-import glob
-import os
 import threading
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.session import scratch_path
 from orderlens.sources.fixtures import food_orders, food_orders_raw
+from orderlens.sources.reports import file_usage
 
 _LANDED: dict[tuple, str] = {}
-_LOCK = threading.RLock()  # re-entrant: a landed table may be built from another
+_LOCKS: defaultdict[tuple, threading.Lock] = defaultdict(threading.Lock)
 _INPUTS = ("orders", "customer", "nation", "region")
 
 
-def _fingerprint(sf_dir: str) -> tuple:
-    stats = []
-    for t in _INPUTS:
-        for f in sorted(glob.glob(os.path.join(sf_dir, f"{t}.parquet*"))):
-            st = os.stat(f)
-            stats.append((os.path.basename(f), st.st_size, int(st.st_mtime)))
-    return tuple(stats)
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    files = file_usage(spark, [f"{sf_dir}/{t}.parquet" for t in _INPUTS])
+    return tuple(sorted((r["path"], r["bytes"], str(r["modified"])) for r in files.collect()))
 
 
 def write_table(df: DataFrame, name: str) -> str:
-    """Write ``df`` as Parquet under the shared work folder; return the path.
-
-    A result with fewer partitions than the application has cores (a small
-    input whose join streamed a small side) is spread over all cores first,
-    so later scans are not limited to one file; a cluster-sized result
-    already has more partitions and is written without an extra shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    path = scratch_path(spark, name)
+    """Write ``df`` as Parquet under the shared work folder; return the path."""
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
 def _land(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, name, sf_dir, _fingerprint(sf_dir))
-    with _LOCK:
+    key = (spark.sparkContext.applicationId, name, sf_dir, _fingerprint(spark, sf_dir))
+    with _LOCKS[key]:  # one writer a table; other tables land meanwhile
         path = _LANDED.get(key)
         if path is None:
             path = write_table(build(spark, sf_dir), name)

@@ -55,9 +55,9 @@ def _card_ctes(key: str) -> str:
         "COALESCE(avg_rider_wait, mw) AS avg_wait_clean FROM m CROSS JOIN s1)",
         "s2 AS (SELECT median(avg_kpt_clean) AS mk2, median(avg_wait_clean) AS mw2, "
         "median(avg_rating_clean) AS mr2, median(order_count) AS mc2 FROM c)",
-        "card AS (SELECT c.*, avg_kpt_clean > mk2 AS kpt_flag, avg_wait_clean > mw2 AS wait_flag, "
-        "(avg_kpt_clean > mk2) AND (avg_wait_clean > mw2) AS bottleneck, "
-        "(avg_rating_clean >= mr2) AND (order_count < mc2) AS growth_opportunity FROM c CROSS JOIN s2)",
+        "card AS (SELECT c.*, COALESCE(avg_kpt_clean > mk2, false) AS kpt_flag, COALESCE(avg_wait_clean > mw2, false) AS wait_flag, "
+        "COALESCE(avg_kpt_clean > mk2 AND avg_wait_clean > mw2, false) AS bottleneck, "
+        "COALESCE(avg_rating_clean >= mr2 AND order_count < mc2, false) AS growth_opportunity FROM c CROSS JOIN s2)",
     ])
 
 
@@ -177,7 +177,7 @@ from orderlens.schema import (  # noqa: E402
 
 _TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in MISSING_TOKENS)
 # DuckDB spellings of the timestamp layouts tried by ``to_ts`` (same order).
-_TS_FORMATS = ("['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%d', "
+_TS_FORMATS = ("['%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%d', "
                "'%I:%M %p, %B %d %Y', '%d-%m-%Y %H:%M', '%m/%d/%Y %H:%M']")
 
 
@@ -214,12 +214,6 @@ _CLEAN_SELECT = ", ".join(
 CLEAN = f"clean AS (SELECT {_CLEAN_SELECT} FROM raw)"
 
 ORACLE["shape"] = _with(RAW, f"SELECT COUNT(*) AS rows, {len(RAW_COLUMNS)} AS columns FROM raw")
-ORACLE["schema_check"] = _with(
-    RAW + ',\nexp("column") AS (VALUES ' + ", ".join(f"('{c}')" for c in RAW_COLUMNS) + "),\n"
-    'act AS (SELECT column_name AS "column" FROM (DESCRIBE SELECT * FROM raw))',
-    'SELECT e."column", CASE WHEN a."column" IS NULL THEN \'missing\' ELSE \'ok\' END AS status '
-    'FROM exp e LEFT JOIN act a ON e."column" = a."column" '
-    'UNION ALL SELECT a."column", \'unexpected\' FROM act a WHERE a."column" NOT IN (SELECT "column" FROM exp)')
 ORACLE["missing_report"] = _with(RAW, _union([
     f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {_miss(c)} THEN 1 ELSE 0 END) AS BIGINT) AS missing_count, "
     f"ROUND(CAST(SUM(CASE WHEN {_miss(c)} THEN 1 ELSE 0 END) AS DOUBLE) * 100 / COUNT(*), 2) AS missing_pct, "
@@ -290,17 +284,18 @@ ORACLE["kv_tsv_source"] = _with(",\n".join([FO, _keyed("restaurant_id"), _metric
                                 "SELECT restaurant_id, restaurant_name, CAST(order_count AS DOUBLE) AS order_count, "
                                 "total_revenue, avg_order_value, avg_kpt, avg_rider_wait FROM m")
 ORACLE["plain_tsv_source"] = ORACLE["perf_by_restaurant_id"]
-ORACLE["reject_short_rows"] = _with(RAW, "SELECT COUNT(*) FILTER (WHERE CAST(order_id AS BIGINT) % 37 <> 0) AS accepted_rows, "
-                                         "COUNT(*) FILTER (WHERE CAST(order_id AS BIGINT) % 37 = 0) AS rejected_rows FROM raw")
+ORACLE["reject_short_rows"] = _with(RAW, "SELECT restaurant_id AS first_field, CAST(20 AS INTEGER) AS fields "
+                                         "FROM raw WHERE CAST(order_id AS BIGINT) % 37 = 0")
+ORACLE["scorecard_from_files"] = ORACLE["scorecard_by_name"]
+ORACLE["validation_report"] = ORACLE["reconcile_metrics"].replace(
+    "SELECT *, COALESCE(count_match AND", "SELECT CASE WHEN COUNT(*) FILTER (WHERE side <> 'both' OR NOT ok) OVER () > 0 "
+    "THEN 'MISMATCH' ELSE 'SUCCESS' END AS status, * EXCLUDE (ok) FROM (SELECT *, COALESCE(count_match AND").replace(
+    "AS within_tolerance FROM r", "AS ok FROM r)")
 
 # --- remaining report shapes ----------------------------------------------------
 ORACLE["q01_with_title"] = _with(FO, "SELECT '--- Q1: Total Orders ---' AS query_title, COUNT(*) AS total_orders FROM fo")
 ORACLE["timestamp_samples"] = _with(RAW, f"SELECT order_id, order_placed_at FROM raw WHERE NOT {_miss('order_placed_at')} "
                                          "ORDER BY order_id LIMIT 10")
-_TYPES = {**{c: "string" for c in COLUMNS}, **{c: "double" for c in NUMERIC},
-          "order_placed_at": "timestamp_ntz", "flag_negative_financial": "boolean"}
-ORACLE["column_types_clean"] = ("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{_TYPES[c]}')" for c in COLUMNS)
-                                + ') AS t("column", dtype)')
 ORACLE["top3_volume_share"] = _with(
     _M_ID + ",\ntop AS (SELECT restaurant_id FROM m WHERE avg_rating IS NOT NULL "
             "ORDER BY avg_rating DESC, restaurant_id, restaurant_name LIMIT 3)",

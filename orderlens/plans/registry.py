@@ -121,10 +121,9 @@ register("extremes")(lambda s, d: fnd.extremes(_card(s, d, "restaurant_id")))
 # --- profiling and cleaning of the dirty all-string staging table ------------
 from orderlens.operators import clean as cl  # noqa: E402
 from orderlens.operators import profile as pr  # noqa: E402
-from orderlens.schema import RAW_COLUMNS  # noqa: E402
 from orderlens.sources import csv as csvio  # noqa: E402
 from orderlens.sources import kv_tsv, tables  # noqa: E402
-from orderlens.sources.reports import file_usage  # noqa: E402
+from orderlens.plans.end_to_end import read_artefacts, validate  # noqa: E402
 from orderlens.session import scratch_path  # noqa: E402
 
 
@@ -134,7 +133,6 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("shape")(lambda s, d: pr.shape(_raw(s, d)))
-register("schema_check")(lambda s, d: pr.schema_check(s, _raw(s, d).columns, RAW_COLUMNS))
 register("missing_report")(lambda s, d: pr.missing_report(_raw(s, d)))
 register("missing_rate_by_status")(lambda s, d: pr.missing_rate_by_status(_raw(s, d)))
 register("numeric_audit")(lambda s, d: pr.numeric_audit(_raw(s, d)))
@@ -193,9 +191,9 @@ SHORT_ROW_EVERY = 37  # every 37th order is written with only its first 20 field
 
 @register("reject_short_rows")
 def _reject_short_rows(s: SparkSession, d: str) -> DataFrame:
-    """Raw text with a header line and truncated records -> accepted / rejected."""
+    """Raw text with a header line and truncated records -> every record's fate, in one pass."""
     raw = _raw(s, d)
-    opts = {"quote": '"', "escape": '"'}
+    opts = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     full = F.to_csv(F.struct(*raw.columns), opts)
     short = F.to_csv(F.struct(*raw.columns[:20]), opts)
     cut = (F.col("order_id").cast("bigint") % SHORT_ROW_EVERY) == 0
@@ -204,10 +202,9 @@ def _reject_short_rows(s: SparkSession, d: str) -> DataFrame:
     path = scratch_path(s, "raw_text")
     header.unionByName(lines).write.mode("overwrite").text(path)
     df = csvio.read_csv(s, path, _raw_schema(raw), header=False)
-    df = csvio.skip_header_rows(df, "restaurant_id", "restaurant_id")
-    accepted, rejected = csvio.split_rejects(df, min_fields=26)
-    return (accepted.agg(F.count(F.lit(1)).alias("accepted_rows"))
-            .crossJoin(rejected.agg(F.count(F.lit(1)).alias("rejected_rows"))))
+    df = csvio.skip_header_rows(df, raw.columns)
+    _, rejected = csvio.split_rejects(df, min_fields=26)
+    return rejected.select("first_field", "fields")
 
 
 def _raw_schema(raw: DataFrame):
@@ -215,14 +212,30 @@ def _raw_schema(raw: DataFrame):
     return T.StructType([T.StructField(c, T.StringType(), True) for c in raw.columns])
 
 
-register("input_file_usage")(lambda s, d: file_usage(s, d, glob="*.parquet").select(
-    F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes"))
+@register("scorecard_from_files")
+def _scorecard_from_files(s: SparkSession, d: str) -> DataFrame:
+    """Roll-up TSV and Q10 CSV written, read back, joined and scored."""
+    return sc.scorecard(_artefacts(s, d))
+
+
+@register("validation_report")
+def _validation_report(s: SparkSession, d: str) -> DataFrame:
+    """The report's status and entries for the artefacts against the order table."""
+    report = validate(s, _artefacts(s, d), _orders(s, d), tolerance=0.01)
+    return report.select("status", F.explode("metrics_validation").alias("e")).select("status", "e.*")
+
+
+def _artefacts(s: SparkSession, d: str) -> DataFrame:
+    o = _orders(s, d)
+    tsv, ratings = scratch_path(s, "rollup_tsv"), scratch_path(s, "q10_csv")
+    kv_tsv.write_tsv(perf.restaurant_performance(o, "restaurant_name"), tsv, style="kv")
+    csvio.write_csv(q.with_title(q.rating_by_restaurant(o), q.TITLES["q10"]), ratings)
+    return read_artefacts(s, tsv, ratings)
 
 
 # --- remaining report shapes ----------------------------------------------------
 register("q01_with_title")(lambda s, d: q.with_title(q.total_orders(_orders(s, d)), q.TITLES["q01"]))
 register("timestamp_samples")(lambda s, d: pr.timestamp_samples(_raw(s, d), n=10))
-register("column_types_clean")(lambda s, d: pr.column_types(cl.clean_orders(_raw(s, d))))
 
 
 @register("top3_volume_share")

@@ -66,13 +66,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a fresh local one
-    only where it is unset (tests, local bench)."""
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a
+    single-process session (master ``local[...]``: tests, bench) gets a fresh
+    temporary folder; on a cluster that is an error, since executors could
+    not read each other's files."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         current = sc.getCheckpointDir()
-        d = os.path.dirname(current.rstrip("/")) if current else tempfile.mkdtemp(prefix="orderlens-ckpt-")
+        if current:
+            d = os.path.dirname(current.rstrip("/"))
+        elif sc.master == "local" or sc.master.startswith("local["):
+            d = tempfile.mkdtemp(prefix="orderlens-ckpt-")
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d

@@ -2,9 +2,10 @@
 
 Quote and escape are both ``"`` on read and on write (Spark's default
 escape ``\\`` mis-splits ``"he said ""hi"", ok"``).  The writer keeps
-leading/trailing whitespace (Spark trims it by default).  Raw ingest reads
-with ``multiLine`` so a quoted newline stays inside its record; such files
-are not splittable, so the raw text is converted to a columnar table once.
+leading/trailing whitespace (Spark trims it by default).  Files are split over
+tasks; pass ``multiline=True`` for files with line ends inside quotes, each of which
+then is one task.  An unquoted empty cell is NULL, a quoted one the empty string,
+in both directions.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from orderlens.schema import RAW_29, STAGING_31
 
 CORRUPT = "_corrupt_record"
 DIALECT = {"sep": ",", "quote": '"', "escape": '"'}
+# Reading: the text of a NULL is one that no cell holds, so quoted empty cells stay empty strings.
+READ_DIALECT = {**DIALECT, "nullValue": "\u0000", "emptyValue": ""}
+# A parser that is asked for some columns only does not see that a record is short.
+KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -25,38 +30,40 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-             multiline: bool = True, keep_corrupt: bool = True, **options) -> DataFrame:
+             multiline: bool = False, keep_corrupt: bool = True, **options) -> DataFrame:
     """Read delimited text with a fixed schema (never inferred).
 
     With ``keep_corrupt`` a ``_corrupt_record`` column holds the text of any
     record whose field count differs from the schema (PERMISSIVE mode)."""
-    r = spark.read.options(**DIALECT).option("header", header).option("multiLine", multiline)
+    r = spark.read.options(**READ_DIALECT).option("header", header).option("multiLine", multiline)
     if keep_corrupt:
         schema = _with_corrupt(schema)
-        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        r = r.options(**KEEP_CORRUPT)
     return r.options(**options).schema(schema).csv(path)
 
 
-def read_raw_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Raw order CSV: 29 STRING columns by position, header row skipped."""
     return read_csv(spark, path, RAW_29, header=True, multiline=multiline)
 
 
-def read_staging(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_staging(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Clean CSV as the 31-column all-STRING staging table (SQL names)."""
     return read_csv(spark, path, STAGING_31, header=True, multiline=multiline)
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """The header row's names exactly as written (duplicates kept)."""
-    row = (spark.read.options(**DIALECT).option("header", False).option("multiLine", True)
-           .csv(path).limit(1).collect())
+    row = spark.read.options(**DIALECT).option("header", False).csv(path).limit(1).collect()
     return [x for x in row[0]] if row else []
 
 
 def field_count(text_col) -> "F.Column":
-    """Number of fields of a CSV record: separators outside quoted sections + 1."""
-    unquoted = F.regexp_replace(text_col, r'"(?:[^"]|"")*"', "Q")
+    """Number of fields of a CSV record: separators outside quoted sections + 1.
+
+    The pattern is possessive: it matches without recursion, so a quoted
+    section may have any length."""
+    unquoted = F.regexp_replace(text_col, r'"[^"]*+(?:""[^"]*+)*+"', "Q")
     return F.size(F.split(unquoted, ",", -1))
 
 
@@ -77,17 +84,24 @@ def split_rejects(df: DataFrame, min_fields: int = 26) -> tuple[DataFrame, DataF
     return accepted, rejected
 
 
-def skip_header_rows(df: DataFrame, first_col: str, header_value: str) -> DataFrame:
-    """Drop repeated header lines (e.g. from concatenated files)."""
-    return df.filter(~F.coalesce(F.col(first_col).startswith(header_value), F.lit(False)))
+def skip_header_rows(df: DataFrame, header: list[str]) -> DataFrame:
+    """Drop repeated header lines (e.g. from concatenated files): rows that
+    equal the header in every column, no others."""
+    same = F.lit(True)
+    for c, name in zip([c for c in df.columns if c != CORRUPT], header):
+        same = same & F.col(c).eqNullSafe(name)
+    return df.filter(~same)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     """CSV sink: RFC-4180 quoting, whitespace preserved, NULL as empty,
-    empty string as ``""``, timestamps as ``yyyy-MM-dd HH:mm:ss``."""
+    empty string as ``""``, timestamps as ``yyyy-MM-dd HH:mm:ss`` with a
+    fraction only where there is one."""
+    df = df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
+                     else F.col(f"`{f.name}`") for f in df.schema.fields])
     (df.write.mode(mode).options(**DIALECT).option("header", header)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("timestampFormat", TS_TEXT).option("timestampNTZFormat", TS_TEXT)
+     .option("timestampFormat", TS_TEXT)
      .csv(path))
 
 

@@ -2,8 +2,9 @@
 variant, as sink and source.
 
 Reading is a narrow projection of ``spark.read.text`` (one line = one
-record): blank lines and lines without a prefix cell are skipped; one
-prefix cell is the restaurant name, two are id and name; metric cells are
+record): lines and cells are stripped of white space, tabs included, and
+empty cells before the metrics ignored; blank lines and lines without a
+prefix cell are skipped; one prefix cell is the restaurant name, two are id and name; metric cells are
 ``key=value`` (split once on the first ``=``, the last cell of a key wins).
 Values that do not parse as numbers become NULL (one type per column).
 """
@@ -15,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.functions.expr import finite_or_null, fmt2
+from orderlens.functions.expr import fmt2, strip_ws, to_double
 
 METRIC_KEYS = ("order_count", "total_revenue", "avg_order_value", "avg_kpt", "avg_rider_wait")
 PLAIN_COLUMNS = ("restaurant_id", "restaurant_name", "order_count", "total_revenue",
@@ -27,29 +28,33 @@ def _has_key(key: str):
     return lambda p: p.startswith(prefix)
 
 
-def read_kv_tsv(spark: SparkSession, path: str, keys: Sequence[str] = METRIC_KEYS) -> DataFrame:
-    lines = spark.read.text(path).select(F.trim(F.col("value")).alias("line"))
+def read_kv_tsv(spark: SparkSession, path: str | list[str], keys: Sequence[str] = METRIC_KEYS) -> DataFrame:
+    lines = spark.read.text(path).select(strip_ws("value").alias("line"))
     parts = (lines.filter(F.length("line") > 0)
-             .select(F.split("line", "\t").alias("p")))
+             .select(F.filter(F.transform(F.split("line", "\t", -1), strip_ws), lambda x: F.length(x) > 0).alias("p")))
     parts = parts.select(F.filter("p", lambda x: x.contains("=")).alias("kv"),
                          F.filter("p", lambda x: ~x.contains("=")).alias("prefix"))
     parts = parts.filter(F.size("prefix") > 0)
     two = F.size("prefix") >= 2
-    cols = [F.when(two, F.trim(F.element_at("prefix", 1))).alias("restaurant_id"),
-            F.trim(F.when(two, F.element_at("prefix", 2)).otherwise(F.element_at("prefix", 1))).alias("restaurant_name")]
+    cols = [F.when(two, F.element_at("prefix", 1)).alias("restaurant_id"),
+            F.when(two, F.element_at("prefix", 2)).otherwise(F.element_at("prefix", 1)).alias("restaurant_name")]
     for k in keys:
         hit = F.filter("kv", _has_key(k))
         raw = F.when(F.size(hit) > 0, F.element_at(F.split(F.element_at(hit, -1), "=", 2), 2))
-        cols.append(finite_or_null(raw.try_cast("double")).alias(k))
+        cols.append(to_double(raw).alias(k))
     return parts.select(*cols)
 
 
-def read_plain_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """The plain roll-up text: id, name, count, revenue, AOV, KPT, wait."""
-    p = spark.read.text(path).filter(F.length(F.trim("value")) > 0).select(F.split("value", "\t", -1).alias("p"))
-    num = lambda i: finite_or_null(F.element_at("p", i).try_cast("double"))
-    return p.select(F.element_at("p", 1).alias("restaurant_id"), F.element_at("p", 2).alias("restaurant_name"),
-                    F.element_at("p", 3).try_cast("bigint").alias("order_count"),
+def read_plain_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The plain roll-up text: id, name, count, revenue, AOV, KPT, wait.
+
+    Missing cells at the end are NULL; an empty name is NULL, as it was written."""
+    p = spark.read.text(path).filter(F.length(strip_ws("value")) > 0).select(F.split("value", "\t", -1).alias("p"))
+    cell = lambda i: F.try_element_at("p", F.lit(i))
+    text = lambda i: F.when(F.length(cell(i)) > 0, cell(i))
+    num = lambda i: to_double(cell(i))
+    return p.select(text(1).alias("restaurant_id"), text(2).alias("restaurant_name"),
+                    cell(3).try_cast("bigint").alias("order_count"),
                     num(4).alias("total_revenue"), num(5).alias("avg_order_value"),
                     num(6).alias("avg_kpt"), num(7).alias("avg_rider_wait"))
 
@@ -58,9 +63,9 @@ def to_tsv_lines(perf: DataFrame, style: str = "plain") -> DataFrame:
     """One ``value`` text line per roll-up row; numbers as fixed 2-decimal text.
 
     ``plain``: id, name, count, revenue, AOV, KPT, wait.  ``kv``: id, name,
-    then ``key=value`` cells.  A NULL metric is an empty cell / omitted."""
-    lead = [F.col("restaurant_id"), F.col("restaurant_name")] if "restaurant_id" in perf.columns \
-        else [F.col("restaurant_name")]
+    then ``key=value`` cells.  A NULL metric is an empty cell / omitted; a NULL
+    id or name is an empty cell, so the other cells keep their places."""
+    lead = [F.coalesce(c, F.lit("")) for c in ("restaurant_id", "restaurant_name") if c in perf.columns]
     metrics = [F.col("order_count").cast("string").alias("order_count")] + [
         fmt2(c).alias(c) for c in METRIC_KEYS[1:]]
     if style == "plain":

@@ -20,9 +20,9 @@ def read_report_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.json(path)
 
 
-def file_usage(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(path, bytes, modified) per file under ``path``; file contents are
-    never read (the binary source prunes the content column)."""
+def file_usage(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """(path, bytes, modified) per file under ``path`` (or several); file
+    contents are never read (the binary source prunes the content column)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)

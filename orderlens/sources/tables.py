@@ -70,7 +70,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def create_staging_table(spark: SparkSession, name: str, path: str,
-                         schema: T.StructType = STAGING_31, multiline: bool = True) -> DataFrame:
+                         schema: T.StructType = STAGING_31, multiline: bool = False) -> DataFrame:
     """External all-STRING staging table over a CSV folder, declared in SQL.
 
     The files stay where they are (dropping the table keeps them); the CSV
@@ -78,6 +78,6 @@ def create_staging_table(spark: SparkSession, name: str, path: str,
     cols = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({cols}) USING csv "
-              f"OPTIONS (header 'true', sep ',', quote '\"', escape '\"', multiLine '{str(multiline).lower()}') "
+              f"OPTIONS (header 'true', sep ',', quote '\"', escape '\"', nullValue '\\u0000', multiLine '{str(multiline).lower()}') "
               f"LOCATION '{path}'")
     return spark.table(name)

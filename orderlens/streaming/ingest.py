@@ -13,12 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderlens.operators.clean import clean_orders
 from orderlens.schema import RAW_29
-from orderlens.sources.csv import CORRUPT, DIALECT, _with_corrupt, split_rejects
+from orderlens.sources.csv import KEEP_CORRUPT, READ_DIALECT, _with_corrupt, split_rejects
 
 
 def _raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None):
-    r = (spark.readStream.options(**DIALECT).option("header", True).option("multiLine", True)
-         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+    r = (spark.readStream.options(**READ_DIALECT).option("header", True).options(**KEEP_CORRUPT))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.schema(_with_corrupt(RAW_29)).csv(raw_dir)

@@ -43,7 +43,7 @@ def raw29(tmp_dir):
 
 
 def test_raw_csv_to_clean(spark, raw29):
-    raw = csvio.read_raw_csv(spark, raw29)
+    raw = csvio.read_raw_csv(spark, raw29, multiline=True)
     assert raw.columns[:29] == RAW_HEADERS
     accepted, rejected = csvio.split_rejects(raw)
     assert rejected.count() == 0
@@ -63,11 +63,11 @@ def test_raw_csv_to_clean(spark, raw29):
 
 
 def test_clean_csv_round_trip(spark, raw29, tmp_dir):
-    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29, multiline=True))[0])
     out = os.path.join(tmp_dir, "clean")
     csvio.write_clean_csv(clean, out)
     assert csvio.read_header(spark, out)[-2:] == ["Order Placed At (raw)", "flag_negative_financial"]
-    back = cl.type_orders(csvio.read_staging(spark, out).drop(csvio.CORRUPT))
+    back = cl.type_orders(csvio.read_staging(spark, out, multiline=True).drop(csvio.CORRUPT))
     a = sorted(map(tuple, clean.collect()))
     b = sorted(map(tuple, back.select(*clean.columns).collect()))
     assert a == b
@@ -84,7 +84,7 @@ def test_quoting_and_short_rows(spark, tmp_dir):
     lines = ["a,b,c", '"he said ""hi"", ok",x\\y,"two\nlines"', ',"",NA', "short,row"]
     path = _write(os.path.join(tmp_dir, "quoting.csv"), lines)
     df = csvio.read_csv(spark, path, __import__("pyspark.sql.types", fromlist=["x"]).StructType.fromJson(
-        {"type": "struct", "fields": [{"name": n, "type": "string", "nullable": True, "metadata": {}} for n in "abc"]}))
+        {"type": "struct", "fields": [{"name": n, "type": "string", "nullable": True, "metadata": {}} for n in "abc"]}), multiline=True)
     accepted, rejected = csvio.split_rejects(df, min_fields=3)
     rows = accepted.collect()
     assert rows[0].a == 'he said "hi", ok' and rows[0].b == "x\\y" and rows[0].c == "two\nlines"
@@ -142,7 +142,7 @@ def test_typed_table_and_catalog(spark, tmp_dir):
 
 
 def test_record_before_after_and_types(spark, raw29):
-    raw = cl.rename_headers(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    raw = cl.rename_headers(csvio.split_rejects(csvio.read_raw_csv(spark, raw29, multiline=True))[0])
     clean = cl.clean_orders(raw)
     rows = {r.column: r for r in cl.record_before_after(raw, clean, "order_id", "9").collect()}
     assert rows["restaurant_name"].raw_value == " Swaad\t" and rows["restaurant_name"].clean_value == "Swaad"
@@ -153,7 +153,7 @@ def test_record_before_after_and_types(spark, raw29):
 
 
 def test_distinct_counts_approximate_close_to_exact(spark, raw29):
-    raw = cl.rename_headers(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    raw = cl.rename_headers(csvio.split_rejects(csvio.read_raw_csv(spark, raw29, multiline=True))[0])
     exact = {r.column: r.distinct_values for r in pr.distinct_counts(raw).collect()}
     approx = {r.column: r.distinct_values for r in pr.distinct_counts(raw, approximate=True).collect()}
     assert exact.keys() == approx.keys() and exact["order_id"] == 10
@@ -165,16 +165,16 @@ def test_from_csv_column_and_typed_schema(spark, raw29):
     lines = spark.createDataFrame([(_raw_row(1),)], "line string")
     parsed = csvio.from_csv_column(lines, "line", RAW_29).select("parsed.*")
     assert parsed.columns == RAW_HEADERS and parsed.first()["Instructions"] == 'ring, then say "hi"'
-    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29, multiline=True))[0])
     assert [(f.name, f.dataType) for f in clean.schema.fields] == [(f.name, f.dataType) for f in ORDERS_TYPED.fields]
 
 
 def test_sql_staging_table_equals_reader(spark, raw29, tmp_dir):
-    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29))[0])
+    clean = cl.clean_orders(csvio.split_rejects(csvio.read_raw_csv(spark, raw29, multiline=True))[0])
     out = os.path.join(tmp_dir, "clean_for_sql")
     csvio.write_clean_csv(clean, out)
-    staged = tables.create_staging_table(spark, "orders_raw_text_t", out)
-    via_reader = csvio.read_staging(spark, out).drop(csvio.CORRUPT)
+    staged = tables.create_staging_table(spark, "orders_raw_text_t", out, multiline=True)
+    via_reader = csvio.read_staging(spark, out, multiline=True).drop(csvio.CORRUPT)
     assert staged.columns == via_reader.columns
     assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, via_reader.collect()))
     tables.drop_table(spark, "orders_raw_text_t")

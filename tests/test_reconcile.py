@@ -23,7 +23,11 @@ def test_reconcile_cases(spark):
     assert got["nullkpt"].kpt_diff_minutes == 0.0
     assert got["zero"].revenue_diff_pct == 0.0
     report = rec.validation_report(rec.reconcile(actual, expected, tolerance=0.01)).first()
-    assert report.status == "MISMATCH" and len(report.metrics_validation) == 5
+    assert report.status == "MISMATCH" and len(report.metrics_validation) == 7
+    assert {e.side for e in report.metrics_validation} == {"both", "only_actual", "only_expected"}
+    none = rec.validation_report(rec.reconcile(actual.filter("restaurant_name = 'left'"), expected.filter("restaurant_name = 'right'")))
+    assert none.first().status == "MISMATCH"
     ok = rec.validation_report(rec.reconcile(actual, actual)).first()
     assert ok.status == "SUCCESS"
+    assert rec.error_report(spark, ValueError("x")).first().status == "ERROR: x"
     assert rec.skipped_report(spark).first().status == "SKIPPED_NO_CLEAN_DATA"

