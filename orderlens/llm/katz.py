@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import crc_mod, shuffle_width, table
-from orderlens.plans.materialize import materialize
+from orderlens.plans.materialize import discard, materialize
 
 K = 5
 BLOCK_CHARS = 1 << 23
@@ -124,11 +124,11 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, words, counts in zip(*batch.columns):
             words = zstandard.ZstdDecompressor().decompress(words.as_py()).split(b" ")
             counts = unpack(counts.as_py())
+            order = np.array(sorted(range(len(words)), key=words.__getitem__))  # equal starts compress
             for at in range(0, len(words), 1 << 16):
-                part = words[at:at + (1 << 16)]
-                yield pa.record_batch([pa.array([block.as_py()] * len(part), pa.int64()),
-                                       pa.array(range(at, at + len(part)), pa.int32()),
-                                       pa.array(part, pa.binary()), pa.array(counts[at:at + len(part)], pa.int64())],
+                part = order[at:at + (1 << 16)]
+                yield pa.record_batch([pa.array([block.as_py()] * len(part), pa.int64()), pa.array(part, pa.int32()),
+                                       pa.array([words[i] for i in part], pa.binary()), pa.array(counts[part], pa.int64())],
                                       names=["block", "place", "word", "n"])
 
 
@@ -323,8 +323,7 @@ def _scores(uni: Unigrams, back: Backoff, buckets: int):
 
 
 def _numbered(words: DataFrame) -> DataFrame:
-    """word, n -> word, number: numbered from 0 by falling count."""
-    words = materialize(words.orderBy(F.desc("n"), "word").withColumn("m", F.monotonically_increasing_id()), "katz_words")
+    """A written table of word, n, m (in falling order of n) -> word, n, number from 0."""
     part, row = F.shiftright("m", 33), F.col("m").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = words.groupBy(part.alias("part")).count()  # a row for each partition of the sort
     before = F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -341,7 +340,9 @@ def katz_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     starts = blocks.select(F.explode("held").alias("held")).where(~F.col("held")).count()
     local = materialize(blocks.select("block", "words", "counts")
                         .mapInArrow(_vocabulary, "block bigint, place int, word binary, n bigint"), "katz_local")
-    words = _numbered(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")))
+    sorted_words = materialize(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
+                               .withColumn("m", F.monotonically_increasing_id()), "katz_words")
+    words = _numbered(sorted_words)
     steps = sorted(((r["n"], r["count"]) for r in words.groupBy("n").count().collect()), reverse=True)
     uni = Unigrams(steps, starts)
     buckets = max(shuffle_width(spark), -(-uni.tokens // BUCKET_TOKENS))
@@ -350,8 +351,12 @@ def katz_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     by_block = blocks.select("block", "doc_ids", "held", "lengths", "tokens").groupBy("block")
     requests = materialize(by_block.cogroup(numbers.groupBy("block"))
                            .applyInArrow(_requests(uni, buckets), REQUESTS), "katz_requests")
+    own_numbers = materialize(requests.where("bucket = -1").select("block", "keys"), "katz_numbers")
+    discard(local)
+    discard(sorted_words)
     answers = materialize(requests.where("bucket >= 0").groupBy("bucket")
                           .applyInArrow(_answers(uni, buckets), ANSWERS), "katz_answers")
+    discard(requests)
     totals = answers.where("block = -1")
     seen = totals.select(*[F.sum(F.get("seen", F.lit(r))).alias(f"n{r}") for r in range(K + 1)]).first()
     hot: dict[int, list] = {}
@@ -365,8 +370,9 @@ def katz_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     back = Backoff(Discounts([int(seen[r] or 0) for r in range(K + 1)]), np.array(split, dtype=np.int64),
                    np.array([hot[h][0] for h in split]).reshape(-1, K), np.array([hot[h][1] for h in split]))
     given = (answers.where("block >= 0").select("block", "bucket", "counts", "stats", "sums")
-             .unionByName(requests.where("bucket = -1").select(
-                 "block", "bucket", F.col("keys").alias("counts"), F.lit(b"").alias("stats"), F.lit(b"").alias("sums"))))
+             .unionByName(own_numbers.select(
+                 "block", F.lit(-1).alias("bucket"), F.col("keys").alias("counts"), F.lit(b"").alias("stats"),
+                 F.lit(b"").alias("sums"))))
     return by_block.cogroup(given.groupBy("block")).applyInArrow(_scores(uni, back, buckets), SCORES)
 
 
