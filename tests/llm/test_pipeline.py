@@ -1,0 +1,70 @@
+import corpus_pipeline as cp
+import duckdb
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from orderlens.llm.decontaminate import normalise
+from orderlens.llm.registry import ORACLE, QUERIES
+from orderlens.llm.simhash import fingerprint
+from tests.conftest import SF_ORACLE
+from tests.llm.helpers import awkward, empty, words
+
+
+def test_every_query_is_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert [n for n, _ in cp.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "benchmark_decontamination",
+                                         "sentencepiece"]
+
+
+def test_oracles_agree(spark):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_ORACLE}/{t}.parquet'")
+    for name, sql in ORACLE.items():
+        got = QUERIES[name](spark, SF_ORACLE)
+        columns = sorted(got.columns)
+        want = con.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
+        assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.select(*columns).collect()), name
+
+
+def test_stages_on_planted_rows(spark, tmp_dir):
+    item = " ".join(words(300, 60))
+    text = " ".join(words(301, 300))
+    near = text.split()
+    near[10] = "other"
+    rows = [(1, text, "en"), (2, text.upper(), "en"), (3, " ".join(near), "en"), (4, " ".join(words(302, 200)), "en"),
+            (5, "12 34 !!", "en"), (6, None, "en"), (7, " ".join(words(303, 50)) + " " + item, "en")]
+    extra = "doc_id bigint, text string, lang string, _key string, _place int, hits int"
+    docs = spark.createDataFrame([(*r, "k", 1, 2) for r in rows], extra)
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    ids = lambda d: sorted(r["doc_id"] for r in d.collect())
+    spoken = docs.where(F.col("doc_id").isin(1, 2, 3, 4, 7))
+    exact = cp.exact_stage(spark, spoken.drop("_key", "_place"), tmp_dir)
+    assert ids(exact) == [2, 3, 4, 7]
+    linked = bin(fingerprint(text) ^ fingerprint(" ".join(near))).count("1") <= 2
+    assert ids(cp.near_stage(spark, exact, tmp_dir)) == ([2, 4, 7] if linked else [2, 3, 4, 7])
+    clean = cp.benchmark_stage(spark, docs, tmp_dir)
+    assert ids(clean) == [1, 2, 3, 4, 5, 6] and clean.columns == docs.columns
+    assert normalise(item) in normalise(rows[-1][1])
+    assert {r["doc_id"] for r in cp.encode_stage(spark, clean, tmp_dir).collect()} == {1, 2, 3, 4, 5, 6}
+
+
+def test_awkward_and_empty_tables_pass_every_stage(spark, tmp_dir):
+    spark.createDataFrame([(1, "a b")], "item_id bigint, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for docs in (awkward(spark).select(*columns), empty(spark).select(*columns)):
+        exact = cp.exact_stage(spark, docs, tmp_dir)
+        # nulls and empties are equal texts, repeated rows one
+        assert exact.columns == columns and exact.count() == docs.selectExpr(
+            "lower(coalesce(text, '')) as t").distinct().count()
+        near = cp.near_stage(spark, exact, tmp_dir)
+        assert near.columns == columns and near.count() <= exact.count()
+
+
+def test_run_keeps_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    found = cp.run(spark, SF_ORACLE)
+    kept = {r["doc_id"] for r in found.select("doc_id").distinct().collect()}
+    assert kept < {r["doc_id"] for r in docs.select("doc_id").collect()} and len(kept) > 800
+    assert found.where("not round_trip").count() == 0
