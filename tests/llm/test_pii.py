@@ -65,9 +65,11 @@ def test_long_runs_neither_overflow_nor_stall(spark):
     texts = ["a" * 300_000, "1" * 300_000 + "@", "1-" * 150_000, "+" + "1(" * 100_000, "1." * 100_000, "x@y.z " * 20_000,
              "a@" + "b." * 100_000]
     got = found(documents(spark, [(i, t, None) for i, t in enumerate(texts)]))
-    for i in (0, 2, 4, 5, 6):
-        assert base(got[i]) == brute(texts[i]), i
-    assert len(got[5]) == 20_000
+    # stated, not computed: the plain patterns take quadratic time on these
+    assert base(got[0]) == base(got[2]) == []
+    assert base(got[4]) == [f"ip:{8 * k}:{8 * k + 7}" for k in range(25_000)]
+    assert base(got[5]) == [f"email:{6 * k}:{6 * k + 5}" for k in range(20_000)]
+    assert base(got[6]) == ["email:0:200001"]
 
 
 def test_added_kinds_need_checksum_and_context(spark):
