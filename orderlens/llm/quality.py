@@ -140,12 +140,17 @@ def _sampled_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                               names=["h", "label", "slots"])
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from the columns text and label (0 or 1) of ``rows``."""
-    rows = rows.where("label in (0, 1)").select(F.col("text").cast("string"), F.col("label").cast("int"),
-                                                F.xxhash64("text").alias("h"))
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """A model from docs (doc_id, text) and labels (doc_id, label 0 or 1).
+
+    The counts join all labelled texts, always by merging, so the plan is the
+    same at every size.  The sample is drawn from the labels first, by hash of
+    the id; these few thousand ids, a fixed bound, are broadcast, and no other text moves."""
+    docs = docs.select("doc_id", F.col("text").cast("string"))
+    labels = labels.where("label in (0, 1)").select("doc_id", F.col("label").cast("int"))
     counts = np.zeros((2, DIMS + 1))
-    grouped = rows.mapInArrow(_slot_counts, "slot int, n0 bigint, n1 bigint").groupBy("slot").agg(F.sum("n0"), F.sum("n1"))
+    known = docs.join(labels.hint("merge"), "doc_id").select("text", "label")
+    grouped = known.mapInArrow(_slot_counts, "slot int, n0 bigint, n1 bigint").groupBy("slot").agg(F.sum("n0"), F.sum("n1"))
     for slot, n0, n1 in grouped.collect():  # at most DIMS + 1 rows
         counts[:, slot] = n0, n1
     n0, n1 = counts[:, DIMS]
@@ -155,10 +160,12 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
         return flat
     shares = (counts[:, :DIMS] + SMOOTH) / (counts[:, DIMS:] + 2 * SMOOTH)
     ratios = np.log(shares[1] / shares[0])
-    # thinned per class by hash to about the bound: half the sample each, all of a class that has less
-    spread = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # thinned per class by hash: half the sample each, all of a class that has less
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     keep = F.when(F.col("label") == 1, sample / 2 / n1).otherwise(sample / 2 / n0)
-    drawn = (rows.where(spread < keep).mapInArrow(_sampled_slots, "h bigint, label int, slots binary")
+    picks = labels.where(spread < keep).orderBy(F.xxhash64("doc_id"), "label").limit(2 * sample)
+    drawn = (docs.join(F.broadcast(picks), "doc_id").select("text", "label", F.xxhash64("text").alias("h"))
+             .mapInArrow(_sampled_slots, "h bigint, label int, slots binary")
              .orderBy("h", "slots", "label").limit(2 * sample).collect())
     found = [np.frombuffer(r["slots"], dtype=np.uint16) for r in drawn]
     y = np.array([1.0 if r["label"] else -1.0 for r in drawn])
@@ -193,8 +200,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = crc_mod(F.col("doc_id"), 4) == 2
-    known = (docs.where(~held_out).select("doc_id", "text")
-             .join(labels.select("doc_id", F.col("quality").alias("label")).where("label is not null"), "doc_id"))
-    scored = score(docs, fit(known.select("text", "label")))
+    model = fit(docs.where(~held_out).select("doc_id", "text"),
+                labels.where(~held_out).select("doc_id", F.col("quality").alias("label")))
+    scored = score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -100,8 +100,10 @@ def test_slots_match_brute_force():
 
 
 def test_quality_defined_cases(spark):
-    flat = quality.fit(spark.createDataFrame([("a", 1), ("b", 1), (None, None)], "text string, label int"))
+    texts = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (None, "c")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, None), (9, 0), (None, 0)], "doc_id bigint, label int")
+    flat = quality.fit(texts, labels)
     got = quality.score(awkward(spark), flat).collect()
     assert len(got) == 14 and {round(r["score"], 6) for r in got} == {0.75}
     assert quality.score(empty(spark), flat).count() == 0
-    assert quality.fit(spark.createDataFrame([], "text string, label int")).score("x") == pytest.approx(0.5)
+    assert quality.fit(texts.limit(0), labels.limit(0)).score("x") == pytest.approx(0.5)
