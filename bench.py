@@ -111,10 +111,20 @@ def main() -> None:
         ctx.setJobGroup("", "")
         timings[name] = statistics.median(runs)
 
+    # every other registered query of the order library: one warm-up, one timed run
+    from orderlens.plans.registry import REGISTRY
+    for name, make in REGISTRY.items():
+        if name in timings:
+            continue
+        run(make(spark, sf_dir))
+        t0 = time.perf_counter()
+        run(make(spark, sf_dir))
+        timings[name] = time.perf_counter() - t0
+
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     out = {
         "metric": "total_sec",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(timings[k] for k in ("setup_typed_table", "setup_raw_staging", *plan)), 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in timings.items()},
         "sf": float(m.group(1)) if m else sf_dir,
