@@ -20,7 +20,7 @@ from orderlens.llm.common import ascii_lower, table
 from orderlens.plans.materialize import materialize
 
 #: Below this pooled probability of the best language a text counts as rejected.
-MIN_LANGUAGE_SCORE = 0.35
+MIN_LANGUAGE_SCORE = 0.3
 
 
 def _row_key(text_hash: Column) -> Column:
