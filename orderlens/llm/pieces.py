@@ -50,7 +50,7 @@ MODEL = "piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.5
 SEED = 17
-BATCH_CHARS = 3 << 20
+BATCH_CHARS = 3 << 19
 DENSE = 3  # prefixes shorter than this are looked up in a dense table
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -179,13 +179,13 @@ class Lattice:
 
     def __init__(self, words: list[str], vocab: Vocabulary):
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
         ends = np.cumsum(lengths)
         self.codes, self.start_of = codes, ends - lengths
-        self.end = np.repeat(ends, lengths)  # of the unit of each position
+        self.end = np.repeat(ends.astype(np.int32), lengths)  # of the unit of each position
         columns = vocab.column[codes]
         starts, sizes, pieces, scores = [], [], [], []
-        at, state = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int32)
+        at, state = np.arange(len(codes), dtype=np.int32), np.zeros(len(codes), dtype=np.int32)
         bare = np.ones(len(codes), dtype=bool)
         size = 0
         while len(at):
@@ -196,7 +196,7 @@ class Lattice:
             piece = vocab.piece_of[state]
             has = piece >= 0
             starts.append(at[has])
-            sizes.append(np.full(len(starts[-1]), size, dtype=np.int64))
+            sizes.append(np.full(len(starts[-1]), size, dtype=np.int16))
             pieces.append(piece[has])
             scores.append(vocab.score_of[state[has]])
             if size == 1:
@@ -205,17 +205,18 @@ class Lattice:
             at, state = at[more], state[more]
         alone = np.flatnonzero(bare)
         width = 1 + (codes[alone] > 0x7F) + (codes[alone] > 0x7FF) + (codes[alone] > 0xFFFF)
-        starts.append(alone)
-        sizes.append(np.ones(len(alone), dtype=np.int64))
+        starts.append(alone.astype(np.int32))
+        sizes.append(np.ones(len(alone), dtype=np.int16))
         pieces.append(np.full(len(alone), -1, dtype=np.int32))
         scores.append(vocab.byte_score * width)
         # longest first: the first edge of a position is mostly the one drawn
         start = np.concatenate(starts[::-1])
-        order = np.argsort(start, kind="stable")
+        order = np.argsort(start, kind="stable").astype(np.int32)
         start = start[order]
         self.piece = np.concatenate(pieces[::-1])[order]
         self.target = start + np.concatenate(sizes[::-1])[order]
         score = np.concatenate(scores[::-1])[order]
+        del starts, sizes, pieces, scores, order, at, state
         self.first = np.searchsorted(start, np.arange(len(codes) + 1))
         self.last_piece = self.target == self.end[start]
         self._sums(start, score)
@@ -223,7 +224,7 @@ class Lattice:
     def _sums(self, start: np.ndarray, score: np.ndarray) -> None:
         beta = np.zeros(len(self.codes) + 1)  # log sum of the paths from a position to its unit's end
         away = self.end[start] - start
-        order = np.argsort(away.astype(np.uint16) if len(away) and away.max() < 1 << 16 else away, kind="stable")
+        order = np.argsort(away.astype(np.uint16) if len(away) and away.max() < 1 << 16 else away, kind="stable").astype(np.int32)
         away, by = away[order], start[order]
         fresh = np.r_[True, by[1:] != by[:-1]] if len(by) else np.zeros(0, dtype=bool)
         cuts = np.flatnonzero(np.r_[True, away[1:] != away[:-1]]) if len(by) else np.zeros(0, dtype=np.int64)
@@ -235,11 +236,14 @@ class Lattice:
             widths = np.diff(np.r_[heads, b - a])
             total = np.add.reduceat(np.exp(value - np.repeat(top, widths)), heads)
             beta[by[a:b][heads]] = top + np.log(total)
-        value = score + np.where(self.last_piece, 0.0, beta[self.target])
-        self.log_share = np.minimum(value - beta[start], 0.0)  # of an edge among its position's
-        share = np.cumsum(np.exp(self.log_share))
-        base = np.r_[0.0, share][self.first[:-1]]
-        self.reach = share - base[start] if len(start) else share
+        del order, away, by, fresh
+        score += np.where(self.last_piece, 0.0, beta[self.target])
+        score -= beta[start]
+        self.log_share = np.minimum(score, 0.0, out=score)  # of an edge among its position's
+        self.reach = np.cumsum(np.exp(self.log_share))
+        base = np.r_[0.0, self.reach][self.first[:-1]]
+        if len(start):
+            self.reach -= base[start]
 
     def walk(self, of: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A free draw for each occurrence (``of``: its unit, ``key``: its random
