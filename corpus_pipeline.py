@@ -49,10 +49,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the document with the smallest id."""
-    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # rows that share the smallest id but not the text: the one with the smallest text hash
-    kept = found.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
+    """Of near duplicates the document with the smallest id (nulls last), then text hash."""
+    # a row for each root: ids do not tell components apart where they are null or repeated
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    kept = simhash.near_duplicates(docs).groupBy("root").agg(F.min(place).alias("first"))
+    kept = kept.select("first.doc_id", "first.text_hash")
     return _keep(docs, F.xxhash64("text"), kept.select(_row_key(F.col("text_hash")).alias("_key")))
 
 

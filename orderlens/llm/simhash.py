@@ -128,7 +128,10 @@ def link_edges(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     bucket: int = BUCKET) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id, text_hash (xxhash64 of the text as it is): a row per input row."""
+    """doc_id, fingerprint (hex), component_id, text_hash (xxhash64 of the text as it is), root: a row per input row.
+
+    ``root`` is the component's smallest fingerprint; unlike component_id, which is null for a component without an
+    id and shared where unrelated texts have one id, it names one component only."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct_prints")
     roots = components(link_edges(distinct.select("fp"), bucket)).withColumnRenamed("node", "fp")
@@ -136,10 +139,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialize(members, "print_roots")
     least = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
     least = materialize(least, "component_ids")
-    classes = materialize(members.select("fp", "root").join(least, "root").select("fp", "component_id"), "print_classes")
+    classes = materialize(members.select("fp", "root").join(least, "root").select("fp", "component_id", "root"), "print_classes")
     return prints.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash", "root")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("root")

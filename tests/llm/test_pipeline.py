@@ -62,6 +62,14 @@ def test_awkward_and_empty_tables_pass_every_stage(spark, tmp_dir):
         assert near.columns == columns and near.count() <= exact.count()
 
 
+def test_near_stage_keeps_unrelated_texts_under_null_and_shared_ids(spark, tmp_dir):
+    a, b, c, d, e = (" ".join(words(310 + k, 200)) for k in range(5))
+    rows = [(None, a, "en"), (None, b, "en"), (None, c, "en"), (1, d, "en"), (1, e, "en"), (None, d, "en"), (2, e, "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = [(r["doc_id"], r["text"]) for r in cp.near_stage(spark, docs, tmp_dir).collect()]
+    assert sorted(kept, key=repr) == sorted([(None, a), (None, b), (None, c), (1, d), (1, e)], key=repr)
+
+
 def test_run_keeps_clean_documents(spark):
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     found = cp.run(spark, SF_ORACLE)
