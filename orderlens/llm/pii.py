@@ -8,7 +8,8 @@ a span adjust its score.
   and an attempt starts only where a run starts (or where the last match
   ended), which yields the same leftmost non-overlapping matches as the plain
   patterns without rescanning a long run, or recursing, at every character.
-* Added kinds: ``iban`` (country, two check digits, mod-97 = 1) and ``card13``
+* Added kinds: ``iban`` (country, two check digits, as many characters as the
+  country's IBANs have, mod-97 = 1; other countries the longest run) and ``card13``
   (13 digits passing Luhn, kept only if its score reaches ``keep_at``; so does
   ``ssn``, three-two-four digits, which has no checksum and lives on context).
 * Score: a prior by kind, plus ``CONTEXT_BONUS`` if one of the kind's words is
@@ -16,7 +17,7 @@ a span adjust its score.
   kind's next match), minus ``CONTEXT_MALUS`` if a word that speaks against it is.
 
 Positions come from the texts between matches: split by the pattern, add up the
-lengths.  A pattern runs only on texts that hold its trigger character.
+lengths.  A pattern runs only on texts that hold its trigger.
 Offsets count code points, the end is exclusive.
 
 Defined cases: a null text is an empty one; an empty text has no spans and the
@@ -31,6 +32,17 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.common import LOWER, UPPER, table
 
+# countries by the characters of their IBANs, those that use them without a registry entry included
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FO FK GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA MG ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_LISTED = "|".join(c for countries in IBAN_COUNTRIES.values() for c in countries.split())
+_IBAN = "(?:" + "|".join(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}"
+                         for n, countries in IBAN_COUNTRIES.items()) + ")(?![A-Za-z0-9])"
 # kind -> (trigger, pattern); \G lets a match start where the last one ended
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
@@ -38,10 +50,14 @@ PATTERNS = {
     "ip": (".", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
     "card": ("", r"[0-9](?:[\x20-]?[0-9])++"),
     "phone": ("+", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    "iban": ("", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
+    # four characters before what has the form of an IBAN itself are none's start; a run without a known length ends there
+    "iban": ("", rf"(?<![A-Za-z0-9])(?![A-Z]{{2}}[0-9]{{2}}\x20{_IBAN})(?:{_IBAN}|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}"
+                 rf"(?:(?:\x20(?!{_IBAN}))?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))"),
     "card13": ("", r"(?<![0-9-])[0-9](?:[\x20-]?[0-9]){12}(?![\x20-]?[0-9])"),
     "ssn": ("-", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
+#: Where no single character triggers a kind.
+GUARD = {"card": "[0-9][0-9\\x20-]{11}", "card13": "[0-9][0-9\\x20-]{11}", "iban": "[A-Z]{2}[0-9]{2}"}
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = tuple(PATTERNS)
 PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.8, "iban": 0.95, "card13": 0.4, "ssn": 0.3}
@@ -100,7 +116,7 @@ def _found(kind: str) -> dict[str, Column]:
     """The kind's matches, and the texts before, between and behind them."""
     trigger, pattern = PATTERNS[kind]
     text = F.col("text")
-    has = text.contains(trigger) if trigger else text.rlike("[0-9][0-9\\x20-]{11}")
+    has = text.contains(trigger) if trigger else text.rlike(GUARD[kind])
     return {f"_{kind}_found": F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(
         F.array().cast("array<string>")),
         f"_{kind}_gaps": F.when(has, F.split(text, pattern, -1)).otherwise(F.array(F.lit("")))}

@@ -80,6 +80,17 @@ def test_added_kinds_need_checksum_and_context(spark):
     assert kinds == {0: ["iban"], 1: [], 2: ["iban"], 3: ["ssn"], 4: [], 5: ["card13"], 6: []}
 
 
+def test_ibans_end_where_their_country_says(spark):
+    texts = ["NL91ABNA0417164300", "DE89370400440532013000 BIC COBADEFFXXX", "GB29NWBK60161331926819 EUR 50",
+             "DE89370400440532013000 I paid", "DE89 3704 0044 0532 0130 00 EUR 50", "NO93 8601 1117 947 2024",
+             "AT12 DE89 3704 0044 0532 0130 00", "UK12 NL91ABNA0417164300", "NL91ABNA0417164300 BE68 5390 0754 7034 DE",
+             "MT84MALT011000012345MTLCAST001S", "DE89370400440532013000X", "XNL91ABNA0417164300", "DE8937040044053201300"]
+    got = found(documents(spark, [(i, t, None) for i, t in enumerate(texts)]))
+    ibans = {i: [tuple(map(int, s.split(":")[1:])) for s in v if s.startswith("iban:")] for i, v in got.items()}
+    assert ibans == {0: [(0, 18)], 1: [(0, 22)], 2: [(0, 22)], 3: [(0, 22)], 4: [(0, 27)], 5: [(0, 18)], 6: [(5, 32)],
+                     7: [(5, 23)], 8: [(0, 18), (19, 38)], 9: [(0, 31)], 10: [], 11: [], 12: []}
+
+
 def test_awkward_rows(spark):
     assert all(v == [] for v in found(awkward(spark)).values())
     assert find_pii(awkward(spark)).count() == 14
