@@ -21,7 +21,6 @@ with the two names given.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,6 @@ STEPS = 700
 BATCH = 128
 RATE = 0.02
 SLAB = 2048  # windows run together
-LETTER = re.compile(r"[^\W\d_]")
 _LETTER_BYTE = np.array([chr(b).isalpha() and b < 128 or b >= 128 for b in range(256)])
 
 
@@ -161,7 +159,7 @@ class Network:
         labels, scores = ["und"] * len(texts), np.zeros(len(texts))
         if not self.langs:
             return labels, scores
-        has = [bool(t) and LETTER.search(t) is not None for t in texts]
+        has = [bool(t) and any(map(str.isalpha, t)) for t in texts]
         raw = [t.encode("utf-8", "replace") if ok else b"" for t, ok in zip(texts, has)]
         pooled = np.zeros((len(texts), len(self.langs) + 1))
         docs, held, room = [], [], 0

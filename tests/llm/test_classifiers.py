@@ -51,6 +51,11 @@ def test_whole_texts_are_read_and_pooled():
     assert ((scores >= 0) & (scores <= 1)).all()
 
 
+def test_number_signs_are_not_letters():
+    labels, scores = toy(20).documents(["\u00bd", "2 \u00b2 \u2460", "\u2167 \u2167", "\u00bd a"])
+    assert labels[:3] == ["und"] * 3 and labels[3] != "und" and list(scores[:3]) == [0, 0, 0]
+
+
 def test_awkward_rows_and_empty_tables(spark):
     net = toy(60)
     df = awkward(spark)
