@@ -8,7 +8,7 @@ algebraic sigmoid x / (1 + |x|), which numpy evaluates many times faster than
 exp or tanh and which backpropagates just as well.
 
 Training is numpy backpropagation through time with Adam on a bounded sample:
-at most ``SAMPLE`` rows of each language, one excerpt of ``EXCERPT`` characters of
+at most ``SAMPLE`` distinct texts of each language, one excerpt of ``EXCERPT`` characters of
 each, chosen by hash over the whole training share.  Prediction streams over
 all rows and whole texts; only the weights (tens of kilobytes) are broadcast.
 
@@ -217,17 +217,18 @@ def train(sample: list[tuple[str, str]], steps: int = STEPS, batch: int = BATCH,
 
 
 def training_sample(rows: DataFrame, per_lang: int = SAMPLE, excerpt: int = EXCERPT) -> list[tuple[str, str]]:
-    """(lang, excerpt) of at most ``per_lang`` rows a language, spread by hash.
+    """(lang, excerpt) of at most ``per_lang`` distinct texts a language, spread by hash.
 
-    Rows are thinned by hash to about twice the bound before they are ranked,
-    so ranking sees a bounded number of short excerpts."""
+    Texts are thinned by hash to about twice the bound before they are ranked,
+    so ranking sees a bounded number of short excerpts; copies are counted and ranked once."""
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
-    counts = rows.groupBy("lang").count()
+    counts = rows.select("lang", "h").distinct().groupBy("lang").count()
     spread = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
     start = F.pmod(F.shiftright("h", 32), F.greatest(F.length("text") - excerpt, F.lit(0)) + 1).cast("int")
     thin = (rows.join(F.broadcast(counts), "lang").where(spread < F.lit(2.0 * per_lang) / F.col("count"))
-            .select("lang", "h", F.substring(F.col("text"), start + 1, F.lit(excerpt)).alias("part")))
+            .select("lang", "h", F.substring(F.col("text"), start + 1, F.lit(excerpt)).alias("part"))
+            .distinct())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "part"))
     kept = thin.withColumn("rank", rank).where(F.col("rank") <= per_lang)
     return [(r["lang"], r["part"]) for r in kept.select("lang", "part").collect()]

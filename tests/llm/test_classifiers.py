@@ -51,6 +51,14 @@ def test_whole_texts_are_read_and_pooled():
     assert ((scores >= 0) & (scores <= 1)).all()
 
 
+def test_sample_takes_copies_once(spark):
+    rows = [(k, f"text number {k} of this language", "aa") for k in range(40)]
+    rows += [(100 + k, "one text with very many copies", "aa") for k in range(400)]
+    rows += [(600 + k, "one text with very many copies", "bb") for k in range(3)]
+    got = langid.training_sample(documents(spark, rows).select("lang", "text"), per_lang=50)
+    assert sorted(got) == sorted({(g, t) for _, t, g in rows})
+
+
 def test_number_signs_are_not_letters():
     labels, scores = toy(20).documents(["\u00bd", "2 \u00b2 \u2460", "\u2167 \u2167", "\u00bd a"])
     assert labels[:3] == ["und"] * 3 and labels[3] != "und" and list(scores[:3]) == [0, 0, 0]
