@@ -23,7 +23,8 @@ all units of a batch at once.  All randomness is a function of the row key and t
 in the text: results depend neither on partitions nor on retries.
 
 Defined cases: a null or empty text has one segmentation, without pieces, of
-probability 1; a text with fewer than ``k`` segmentations yields all of them,
+probability 1; ``▁`` in a text is taken as a space, by ``round_trip`` too, and
+decodes to one; a text with fewer than ``k`` segmentations yields all of them,
 with inclusion score 0; equal keys give equal draws; a null key is a key of its
 own; an empty table gives no rows; further columns are ignored.
 """
@@ -433,7 +434,8 @@ def _groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[lis
 def encode_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES,
                    alpha: float = ALPHA, seed: int = SEED, path: str | None = None) -> DataFrame:
     """One row per sampled segmentation: doc_id, sample (0..), ids, log_prob,
-    perturbed, log_inclusion, and whether decoding the ids gave the text back."""
+    perturbed, log_inclusion, and whether decoding the ids gave the text back
+    (``▁`` in it taken as a space)."""
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

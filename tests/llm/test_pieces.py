@@ -87,6 +87,12 @@ def test_round_trip_of_awkward_rows(spark):
     assert nothing["ids"] == [] and nothing["log_prob"] == 0.0 and nothing["log_inclusion"] == 0.0
 
 
+def test_space_sign_is_documented_as_a_space(spark):
+    row = sp.decode(sp.encode_samples(documents(spark, [(1, "a▁b", None)]), k=1)).first()
+    assert row["decoded"] == "a b" and row["round_trip"]
+    assert "``▁`` in a text is taken as a space" in sp.__doc__ and "taken as a space" in sp.encode_samples.__doc__
+
+
 def test_empty_table(spark):
     assert sp.encode_samples(empty(spark)).count() == 0
     assert sp.encode_samples(documents(spark, [(1, "▁ literal", None)])).first()["round_trip"]
