@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from orderlens.llm import (
-    chat, decontaminate, exact_dedup, katz, langid, line_dedup, pieces, pii, quality, simhash,
+    chat, decontaminate, exact_dedup, katz, langid, line_dedup, pieces, pii, quality, simhash, url_filter,
 )
 
 QUERIES = {
@@ -17,10 +17,12 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_pii": pii.op9_pii,
     "op10_lm_scoring": katz.op10_lm_scoring,
+    "op13_url_filters": url_filter.op13_url_filters,
 }
 
 ORACLE = {
     "op2_line_dedup": line_dedup.SQL,
     "op3_chat_formatting": chat.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op13_url_filters": url_filter.SQL,
 }
