@@ -91,6 +91,8 @@ def test_sql_agrees_on_awkward_urls_and_on_the_table(spark, tmp_dir):
         con = duckdb.connect()
         con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_dir}/{folder}/pages.parquet/*.parquet'")
         out = op13_url_filters(spark, f"{tmp_dir}/{folder}")
-        want = con.execute(url_filter.SQL).fetch_arrow_table().select(out.columns).to_pylist()
+        cursor = con.execute(url_filter.SQL)
+        names = [d[0] for d in cursor.description]
+        want = [dict(zip(names, row)) for row in cursor.fetchall()]
         key = lambda r: str(sorted(r.items(), key=str))
         assert sorted(map(key, want)) == sorted(key(r.asDict()) for r in out.collect())
