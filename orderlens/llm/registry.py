@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from orderlens.llm import (
-    chat, conversation_repair, decontaminate, exact_dedup, katz, langid, line_dedup, pieces, pii, quality, simhash, url_filter,
+    chat, conversation_repair, decontaminate, exact_dedup, katz, langid, line_dedup, pieces, pii, quality, simhash, url_filter, whitening,
 )
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_pii": pii.op9_pii,
     "op10_lm_scoring": katz.op10_lm_scoring,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_url_filters": url_filter.op13_url_filters,
 }
