@@ -2,14 +2,14 @@
 
 raw CSV -> ONE parse into a written columnar staging table that keeps the text
 of irregular records -> rejects, clean CSV and typed table, all from that copy
--> twelve query results -> per-restaurant roll-up (``key=value`` TSV) and rating
+-> twelve query results from one grouped scan and a top-k -> per-restaurant roll-up (``key=value`` TSV) and rating
 CSV (Q10) -> both files read back, joined into the scorecard (CSV), compared
 with the validator's own recomputation -> validation report and executive
 summary (JSON).
 
 The report's status is SUCCESS or MISMATCH; SKIPPED_NO_CLEAN_DATA if the clean
 table is empty; ERROR with the reason if the comparison fails.  ``raw`` may be
-any path, or several; ``multiline`` is for line ends inside quotes (one task per file).
+any path, or several; line ends inside quotes are found by file (``sources.csv``).
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from orderlens.operators import clean as cl
 from orderlens.operators import performance as perf
 from orderlens.operators import queries as q
 from orderlens.operators import reconcile as rec
+from orderlens.operators import results as res
 from orderlens.operators import scorecard as sc
-from orderlens.plans.materialize import materialize
+from orderlens.plans.materialize import discard, materialize
 from orderlens.sources import csv as csvio
 from orderlens.sources import kv_tsv, reports, tables
 
@@ -35,15 +36,8 @@ RATING_SCHEMA = T.StructType([
     T.StructField("query_title", T.StringType()), T.StructField("restaurant_name", T.StringType()),
     T.StructField("avg_rating", T.DoubleType()), T.StructField("num_ratings", T.LongType())])
 
-QUERY_PLAN = {
-    "q01": q.total_orders, "q02": q.orders_by_restaurant, "q03": q.orders_by_status,
-    "q04": q.revenue_by_restaurant, "q05": q.avg_order_value_by_restaurant, "q06": q.top_orders,
-    "q07": q.kpt_by_restaurant, "q08": q.rider_wait_by_restaurant, "q09": q.distance_behaviour,
-    "q10": q.rating_by_restaurant, "q11": q.complaint_types, "q12": q.high_performing_restaurants,
-}
 
-
-def parse_once(spark: SparkSession, raw: str | list[str], multiline: bool = False) -> DataFrame:
+def parse_once(spark: SparkSession, raw: str | list[str], multiline: bool | None = None) -> DataFrame:
     """The raw text parsed by one job into a written staging table with ``_corrupt_record``."""
     return materialize(csvio.read_raw_csv(spark, raw, multiline=multiline), "raw_staging")
 
@@ -67,7 +61,7 @@ def validate(spark: SparkSession, metrics: DataFrame, clean: DataFrame, toleranc
 
 
 def run_end_to_end(spark: SparkSession, raw: str | list[str] | DataFrame, out_dir: str, fmt: str = "orc",
-                   min_fields: int = 26, tolerance: float | None = None, multiline: bool = False) -> dict[str, str]:
+                   min_fields: int = 26, tolerance: float | None = None, multiline: bool | None = None) -> dict[str, str]:
     """Run every stage; return the output path of each stage."""
     out = {k: os.path.join(out_dir, k) for k in
            ("rejects", "clean_csv", "orders_typed", "queries", "rollup_tsv", "scorecard", "validation", "summary")}
@@ -80,8 +74,10 @@ def run_end_to_end(spark: SparkSession, raw: str | list[str] | DataFrame, out_di
     orders = tables.read_typed(spark, out["orders_typed"], fmt)
     csvio.write_clean_csv(orders, out["clean_csv"])
 
-    for name, fn in QUERY_PLAN.items():
-        csvio.write_csv(q.with_title(fn(orders), q.TITLES[name]), os.path.join(out["queries"], name))
+    results = materialize(res.all_results(orders), "results")
+    for name, title in q.TITLES.items():
+        csvio.write_csv(q.with_title(res.result_of(results, name), title), os.path.join(out["queries"], name))
+    discard(results)
 
     kv_tsv.write_tsv(perf.restaurant_performance(orders, "restaurant_name"), out["rollup_tsv"], style="kv")
     metrics = read_artefacts(spark, out["rollup_tsv"], os.path.join(out["queries"], "q10"))

@@ -279,6 +279,9 @@ ORACLE["before_after_diff"] = _with(RAW, _union([
 ORACLE["preview_top_n"] = _with(RAW, "SELECT * FROM raw ORDER BY order_id LIMIT 5")
 ORACLE["reject_empty_keys"] = _with(RAW + ",\n" + CLEAN, f"SELECT COUNT(*) AS rows FROM clean WHERE length({strip('restaurant_id')}) > 0")
 ORACLE["csv_round_trip"] = ORACLE["clean_orders"]
+ORACLE["csv_line_ends_round_trip"] = _with(
+    RAW + ",\n" + CLEAN, "SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN coalesce(instructions, '') || chr(10) "
+    "|| 'ring \"twice\",' || chr(13) || chr(10) || chr(10) || 'then wait' ELSE instructions END AS instructions) FROM clean")
 ORACLE["typed_orders_orc"] = ORACLE["clean_orders"]
 ORACLE["kv_tsv_source"] = _with(",\n".join([FO, _keyed("restaurant_id"), _metrics("restaurant_id", False)]),
                                 "SELECT restaurant_id, restaurant_name, CAST(order_count AS DOUBLE) AS order_count, "
@@ -292,6 +295,43 @@ ORACLE["validation_report"] = ORACLE["reconcile_metrics"].replace(
     "THEN 'MISMATCH' ELSE 'SUCCESS' END AS status, * EXCLUDE (ok) FROM (SELECT *, COALESCE(count_match AND").replace(
     "AS within_tolerance FROM r", "AS ok FROM r)")
 
+_MEASURES = {
+    "order_count": "BIGINT", "total_revenue": "DOUBLE", "avg_order_value": "DOUBLE", "avg_kpt": "DOUBLE", "max_kpt": "DOUBLE",
+    "min_kpt": "DOUBLE", "avg_rider_wait": "DOUBLE", "avg_rating": "DOUBLE", "num_ratings": "BIGINT",
+    "restaurant_name": "VARCHAR", "total": "DOUBLE",
+}
+
+
+def _result(title: str, query: str, key: str, **measures: str) -> str:
+    """One result as a row of the common shape: the title, the key as text, its measures, NULL for the others."""
+    cols = ", ".join(f"CAST({measures.get(m, 'NULL')} AS {t}) AS {m}" for m, t in _MEASURES.items())
+    number = title.split(":")[0].removeprefix("--- Q").zfill(2)
+    body = ORACLE[query].removeprefix(f"WITH {FO}\n")
+    return f"SELECT 'q{number}' AS query, '{title}' AS query_title, CAST({key} AS VARCHAR) AS group_key, {cols} FROM ({body}) AS r{number}"
+
+
+ORACLE["all_results"] = _with(FO, _union([
+    _result("--- Q1: Total Orders ---", "q01_total_orders", "NULL", order_count="total_orders"),
+    _result("--- Q2: Orders by Restaurant ---", "q02_orders_by_restaurant", "restaurant_name", order_count="order_count"),
+    _result("--- Q3: Orders by Status ---", "q03_orders_by_status", "order_status", order_count="cnt"),
+    _result("--- Q4: Revenue by Restaurant ---", "q04_revenue_by_restaurant", "restaurant_name", total_revenue="total_revenue"),
+    _result("--- Q5: Average Order Value by Restaurant ---", "q05_avg_order_value", "restaurant_name",
+            avg_order_value="avg_order_value"),
+    _result("--- Q6: Top 10 Highest-Value Orders ---", "q06_top_orders", "order_id", restaurant_name="restaurant_name", total="total"),
+    _result("--- Q7: Kitchen Prep Time (KPT) by Restaurant ---", "q07_kpt_by_restaurant", "restaurant_name", avg_kpt="avg_kpt",
+            max_kpt="max_kpt", min_kpt="min_kpt"),
+    _result("--- Q8: Rider Wait Time by Restaurant ---", "q08_rider_wait_by_restaurant", "restaurant_name",
+            avg_rider_wait="avg_rider_wait"),
+    _result("--- Q9: Distance-based Order Behaviour ---", "q09_distance_behaviour", "distance", order_count="order_count",
+            avg_order_value="avg_order_value"),
+    _result("--- Q10: Customer Rating and Review Count by Restaurant ---", "q10_rating_by_restaurant", "restaurant_name",
+            avg_rating="avg_rating", num_ratings="num_ratings"),
+    _result("--- Q11: Most Frequent Customer Complaints ---", "q11_complaint_types", "customer_complaint_tag",
+            order_count="complaint_count"),
+    _result("--- Q12: High-Performing Restaurants (Volume > 500 & Rating >= 4.0) ---", "q12_high_performing", "restaurant_name",
+            order_count="order_count", avg_rating="avg_rating", avg_kpt="avg_kpt"),
+]))
+
 # --- remaining report shapes ----------------------------------------------------
 ORACLE["q01_with_title"] = _with(FO, "SELECT '--- Q1: Total Orders ---' AS query_title, COUNT(*) AS total_orders FROM fo")
 ORACLE["timestamp_samples"] = _with(RAW, f"SELECT order_id, order_placed_at FROM raw WHERE NOT {_miss('order_placed_at')} "

@@ -165,6 +165,21 @@ def _csv_round_trip(s: SparkSession, d: str) -> DataFrame:
     return cl.type_orders(back)
 
 
+def _with_line_ends(clean: DataFrame) -> DataFrame:
+    """Every third order's instructions with line ends of both kinds, a quote and a comma."""
+    noted = F.concat(F.coalesce("instructions", F.lit("")), F.lit('\nring "twice",\r\n\nthen wait'))
+    third = F.col("order_id").cast("bigint") % 3 == 0
+    return clean.withColumn("instructions", F.when(third, noted).otherwise(F.col("instructions")))
+
+
+@register("csv_line_ends_round_trip")
+def _csv_line_ends(s: SparkSession, d: str) -> DataFrame:
+    """Clean table with line ends inside cells -> CSV -> default reader -> typed projection."""
+    path = scratch_path(s, "line_ends_csv")
+    csvio.write_clean_csv(_with_line_ends(cl.clean_orders(_raw(s, d))), path)
+    return cl.type_orders(csvio.read_staging(s, path).drop(csvio.CORRUPT))
+
+
 @register("typed_orders_orc")
 def _typed_orc(s: SparkSession, d: str) -> DataFrame:
     path = scratch_path(s, "orders_orc")
@@ -233,6 +248,11 @@ def _artefacts(s: SparkSession, d: str) -> DataFrame:
     return read_artefacts(s, tsv, ratings)
 
 
+from orderlens.operators import results as res  # noqa: E402
+
+register("all_results")(lambda s, d: res.all_results(_orders(s, d), digits=2))
+
+
 # --- remaining report shapes ----------------------------------------------------
 register("q01_with_title")(lambda s, d: q.with_title(q.total_orders(_orders(s, d)), q.TITLES["q01"]))
 register("timestamp_samples")(lambda s, d: pr.timestamp_samples(_raw(s, d), n=10))

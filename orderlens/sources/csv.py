@@ -3,9 +3,12 @@
 Quote and escape are both ``"`` on read and on write (Spark's default
 escape ``\\`` mis-splits ``"he said ""hi"", ok"``).  The writer keeps
 leading/trailing whitespace (Spark trims it by default).  Files are split over
-tasks; pass ``multiline=True`` for files with line ends inside quotes, each of which
-then is one task.  An unquoted empty cell is NULL, a quoted one the empty string,
-in both directions.
+tasks.  Which files have line ends inside quotes is found by one scan of the
+text; the records of those are put together from their splits
+(``sources.csv_records``), the others go to Spark's split reader.  Callers that
+know can pass ``multiline``: False for no such line end (no scan), True for
+Spark's whole-file reader (one task a file).  An unquoted empty cell is NULL, a
+quoted one the empty string, in both directions.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.schema import RAW_29, STAGING_31
+from orderlens.sources.csv_records import files_with_line_ends, records
 
 CORRUPT = "_corrupt_record"
 DIALECT = {"sep": ",", "quote": '"', "escape": '"'}
@@ -29,25 +33,31 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-             multiline: bool = False, keep_corrupt: bool = True, **options) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True,
+             multiline: bool | None = None, keep_corrupt: bool = True, **options) -> DataFrame:
     """Read delimited text with a fixed schema (never inferred).
 
     With ``keep_corrupt`` a ``_corrupt_record`` column holds the text of any
     record whose field count differs from the schema (PERMISSIVE mode)."""
-    r = spark.read.options(**READ_DIALECT).option("header", header).option("multiLine", multiline)
     if keep_corrupt:
-        schema = _with_corrupt(schema)
-        r = r.options(**KEEP_CORRUPT)
-    return r.options(**options).schema(schema).csv(path)
-
-
-def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+        schema, options = _with_corrupt(schema), {**KEEP_CORRUPT, **options}
+    options = {**READ_DIALECT, **options}
+    broken, plain = files_with_line_ends(spark, path) if multiline is None else ([], [])
+    reader = spark.read.options(**options).option("header", header).option("multiLine", bool(multiline)).schema(schema)
+    if not broken:
+        return reader.csv(path)
+    parsed = F.from_csv("record", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields),
+                        {k: str(v) for k, v in {**options, "multiLine": True}.items()})
+    whole = records(spark, broken, header).select(parsed.alias("r")).select("r.*")
+    return reader.csv(plain).unionByName(whole) if plain else whole
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], multiline: bool | None = None) -> DataFrame:
     """Raw order CSV: 29 STRING columns by position, header row skipped."""
     return read_csv(spark, path, RAW_29, header=True, multiline=multiline)
 
 
-def read_staging(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_staging(spark: SparkSession, path: str | list[str], multiline: bool | None = None) -> DataFrame:
     """Clean CSV as the 31-column all-STRING staging table (SQL names)."""
     return read_csv(spark, path, STAGING_31, header=True, multiline=multiline)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.schema import STAGING_31
+from orderlens.sources.csv_records import files_with_line_ends
 
 
 def save_typed(df: DataFrame, table: str | None = None, path: str | None = None,
@@ -70,11 +71,15 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def create_staging_table(spark: SparkSession, name: str, path: str,
-                         schema: T.StructType = STAGING_31, multiline: bool = False) -> DataFrame:
+                         schema: T.StructType = STAGING_31, multiline: bool | None = None) -> DataFrame:
     """External all-STRING staging table over a CSV folder, declared in SQL.
 
     The files stay where they are (dropping the table keeps them); the CSV
-    dialect is the same RFC-4180 one the DataFrame reader uses."""
+    dialect is the same RFC-4180 one the DataFrame reader uses.  A table
+    declared over files with line ends inside quotes reads each file as a whole
+    (found by a scan of the text unless ``multiline`` says so)."""
+    if multiline is None:
+        multiline = bool(files_with_line_ends(spark, path)[0])
     cols = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({cols}) USING csv "

@@ -16,8 +16,9 @@ from orderlens.schema import RAW_29
 from orderlens.sources.csv import KEEP_CORRUPT, READ_DIALECT, _with_corrupt, split_rejects
 
 
-def _raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None):
-    r = (spark.readStream.options(**READ_DIALECT).option("header", True).options(**KEEP_CORRUPT))
+def _raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None, multiline: bool):
+    r = (spark.readStream.options(**READ_DIALECT).option("header", True).option("multiLine", multiline)
+         .options(**KEEP_CORRUPT))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.schema(_with_corrupt(RAW_29)).csv(raw_dir)
@@ -32,17 +33,19 @@ def _start(df, fmt: str, out_dir: str, checkpoint_dir: str, available_now: bool)
 
 def start_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint_dir: str,
                  fmt: str = "parquet", available_now: bool = True, min_fields: int = 26,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, multiline: bool = True) -> StreamingQuery:
     """Start the clean-rows stream; with ``available_now`` it processes every
-    file present at start (in bounded batches) and stops."""
-    accepted, _ = split_rejects(_raw_stream(spark, raw_dir, max_files_per_trigger), min_fields)
+    file present at start (in bounded batches) and stops.  A landed file is read as
+    a whole, so that line ends inside quotes stay; ``multiline=False`` splits
+    large files that have none."""
+    accepted, _ = split_rejects(_raw_stream(spark, raw_dir, max_files_per_trigger, multiline), min_fields)
     return _start(clean_orders(accepted), fmt, out_dir, checkpoint_dir, available_now)
 
 
 def start_reject_ingest(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint_dir: str,
                         available_now: bool = True, min_fields: int = 26,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None, multiline: bool = True) -> StreamingQuery:
     """Companion stream keeping records with fewer than ``min_fields`` fields
     (JSON, own checkpoint), as the batch path keeps its reject table."""
-    _, rejected = split_rejects(_raw_stream(spark, raw_dir, max_files_per_trigger), min_fields)
+    _, rejected = split_rejects(_raw_stream(spark, raw_dir, max_files_per_trigger, multiline), min_fields)
     return _start(rejected, "json", out_dir, checkpoint_dir, available_now)
