@@ -8,6 +8,8 @@ restaurant holding a third of all orders costs no more than any other.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,14 +23,16 @@ def _check_key(key: str) -> None:
         raise ValueError(f"key must be one of {KEYS}, got {key!r}")
 
 
-def _rollup(orders: DataFrame, key: str, digits: int | None, with_ratings: bool) -> DataFrame:
+def _rollup(orders: DataFrame, key: str, digits: int | None, with_ratings: bool, within: Sequence[str] = ()) -> DataFrame:
     """Two-level aggregation that trims keys per distinct key, not per order.
 
     Level 1 groups the fact table by the raw key text (and raw name when
     keyed by id) with sums and counts: no string work per row, and map-side
     combine leaves each task one row per distinct raw key.  Level 2 trims
     those few keys, drops empty ones and merges the partial sums, so padded
-    spellings of one key (' 2 ' and '2') end in the same group.
+    spellings of one key (' 2 ' and '2') end in the same group.  ``within`` names
+    further columns of level 1: with the bucket columns of a bucketed table it
+    needs no exchange.
     """
     _check_key(key)
     raw_keys = [key] + (["restaurant_name"] if key == "restaurant_id" else [])
@@ -41,7 +45,7 @@ def _rollup(orders: DataFrame, key: str, digits: int | None, with_ratings: bool)
     if with_ratings:
         rating = finite_or_null(F.col("rating"))
         parts += [F.sum(rating).alias("_r_s"), F.count(rating).alias("_r_n")]
-    l1 = orders.groupBy(*raw_keys).agg(*parts)
+    l1 = orders.groupBy(*raw_keys, *within).agg(*parts)
     l1 = l1.select(*[strip_ws(k).alias(k) for k in raw_keys], *[c for c in l1.columns if c.startswith("_")])
     l1 = l1.filter(F.length(F.col(key)) > 0)
     merged = [F.sum(c).alias(c) for c in l1.columns if c.startswith("_")]
@@ -65,7 +69,7 @@ def _rollup(orders: DataFrame, key: str, digits: int | None, with_ratings: bool)
 
 
 def restaurant_performance(orders: DataFrame, key: str = "restaurant_id",
-                           digits: int | None = 2) -> DataFrame:
+                           digits: int | None = 2, within: Sequence[str] = ()) -> DataFrame:
     """Count, revenue, all-order AOV, mean valid KPT and wait per restaurant.
 
     * keys (and, keyed by id, names) are trimmed; rows without a key belong
@@ -76,7 +80,7 @@ def restaurant_performance(orders: DataFrame, key: str = "restaurant_id",
     * keyed by id, the name is ``max(name)`` (deterministic representative).
     Values are rounded half-up to ``digits`` like the two-decimal text output.
     """
-    return _rollup(orders, key, digits, with_ratings=False).orderBy(key)
+    return _rollup(orders, key, digits, with_ratings=False, within=within).orderBy(key)
 
 
 def rating_metrics(orders: DataFrame, key: str = "restaurant_name") -> DataFrame:

@@ -8,6 +8,8 @@ only one side are reported instead of skipped silently.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,17 +18,17 @@ from orderlens.functions.expr import abs_diff_or_zero, finite_or_null, pct_diff,
 METRIC_COLUMNS = ("order_count", "total_revenue", "avg_kpt", "avg_rider_wait")
 
 
-def expected_metrics(orders: DataFrame, key: str = "restaurant_name") -> DataFrame:
+def expected_metrics(orders: DataFrame, key: str = "restaurant_name", within: Sequence[str] = ()) -> DataFrame:
     """The validator's recomputation: every row counts, revenue sums finite
     totals (0 if none), KPT and wait average all present values — negative
     minutes included, unlike the roll-up.
 
     Aggregated on the raw key text first, then trimmed and merged per
-    distinct key (no string work per order)."""
+    distinct key (no string work per order); ``within`` as for the roll-up."""
     total = finite_or_null(F.col("total"))
     kpt = finite_or_null(F.col("kpt_duration_minutes"))
     wait = finite_or_null(F.col("rider_wait_time_minutes"))
-    l1 = orders.groupBy(key).agg(
+    l1 = orders.groupBy(key, *within).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(total).alias("_rev"),
         F.sum(kpt).alias("_ks"), F.count(kpt).alias("_kn"),
         F.sum(wait).alias("_ws"), F.count(wait).alias("_wn"))

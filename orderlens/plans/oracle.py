@@ -332,6 +332,10 @@ ORACLE["all_results"] = _with(FO, _union([
             order_count="order_count", avg_rating="avg_rating", avg_kpt="avg_kpt"),
 ]))
 
+ORACLE["perf_from_buckets"] = ORACLE["perf_by_restaurant_id"]
+ORACLE["orders_by_day"] = _with(FO, "SELECT CAST(order_placed_at AS DATE) AS order_day, COUNT(*) AS order_count, "
+                                    "ROUND(SUM(total), 2) AS total_revenue FROM fo GROUP BY 1")
+
 # --- remaining report shapes ----------------------------------------------------
 ORACLE["q01_with_title"] = _with(FO, "SELECT '--- Q1: Total Orders ---' AS query_title, COUNT(*) AS total_orders FROM fo")
 ORACLE["timestamp_samples"] = _with(RAW, f"SELECT order_id, order_placed_at FROM raw WHERE NOT {_miss('order_placed_at')} "

@@ -249,6 +249,27 @@ def _artefacts(s: SparkSession, d: str) -> DataFrame:
 
 
 from orderlens.operators import results as res  # noqa: E402
+from orderlens.sources import store  # noqa: E402
+
+@register("perf_from_buckets")
+def _perf_from_buckets(s: SparkSession, d: str) -> DataFrame:
+    """Typed table -> bucketed table -> roll-up that exchanges partial rows only."""
+    path = scratch_path(s, "orders_bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    store.save_bucketed(_orders(s, d), name, path=path, buckets=16)
+    return perf.restaurant_performance(s.table(name), "restaurant_id", within=(store.SALT,))
+
+
+@register("orders_by_day")
+def _orders_by_day(s: SparkSession, d: str) -> DataFrame:
+    """Table by day, its first quarter ingested twice more -> orders and revenue of each day."""
+    path, orders = scratch_path(s, "orders_by_day"), _orders(s, d)
+    store.ingest_days(orders, path)
+    for _ in range(2):
+        store.ingest_days(orders.where("order_placed_at < TIMESTAMP_NTZ '1992-04-01'"), path)
+    return (store.read_days(s, path).groupBy(store.DAY)
+            .agg(F.count(F.lit(1)).alias("order_count"), F.round(F.sum("total"), 2).alias("total_revenue")))
+
 
 register("all_results")(lambda s, d: res.all_results(_orders(s, d), digits=2))
 
