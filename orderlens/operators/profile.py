@@ -52,6 +52,20 @@ def schema_check(spark: SparkSession, actual: Sequence[str], expected: Sequence[
     return spark.createDataFrame(rows, "column string, status string")
 
 
+def schema_check_by_file(headers: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """(file, header) rows -> (file, column, status) as ``schema_check`` has it, and ``misplaced`` for a name that is
+    there once but not where it is expected (columns are read by position)."""
+    want, have = F.array(*map(F.lit, expected)), F.col("header")
+    times = lambda c: F.size(F.filter(have, lambda h: h == c))
+    entry = lambda c, status: F.struct(c.alias("column"), status.alias("status"))
+    placed = lambda c, i: F.coalesce(F.get(have, i) == c, F.lit(False))
+    known = F.transform(want, lambda c, i: entry(c, F.when(times(c) == 0, "missing").when((times(c) == 1) & ~placed(c, i), "misplaced")
+                                                 .otherwise("ok")))
+    other = F.transform(F.array_except(have, want), lambda c: entry(c, F.lit("unexpected")))
+    twice = F.transform(F.filter(F.array_distinct(have), lambda c: times(c) > 1), lambda c: entry(c, F.lit("duplicate")))
+    return headers.select("file", F.inline(F.concat(known, other, twice)))
+
+
 def column_types(df: DataFrame) -> DataFrame:
     """(column, dtype) as Spark reports them."""
     return df.sparkSession.createDataFrame(df.dtypes, "column string, dtype string")

@@ -8,7 +8,7 @@ with the validator's own recomputation -> validation report and executive
 summary (JSON).
 
 The report's status is SUCCESS or MISMATCH; SKIPPED_NO_CLEAN_DATA if the clean
-table is empty; ERROR with the reason if the comparison fails.  ``raw`` may be
+table is empty or not there; ERROR with the reason if the comparison fails.  ``raw`` may be
 any path, or several; line ends inside quotes are found by file (``sources.csv``).
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, ArithmeticException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from orderlens.operators import results as res
 from orderlens.operators import scorecard as sc
 from orderlens.plans.materialize import discard, materialize
 from orderlens.sources import csv as csvio
-from orderlens.sources import kv_tsv, reports, tables
+from orderlens.sources import kv_tsv, paths, reports, tables
 
 # Q10 as a titled CSV: title, name, mean rating, number of ratings.
 RATING_SCHEMA = T.StructType([
@@ -60,6 +61,26 @@ def validate(spark: SparkSession, metrics: DataFrame, clean: DataFrame, toleranc
         return rec.error_report(spark, e)
 
 
+def validate_paths(spark: SparkSession, rollup_tsv: str | list[str], ratings_csv: str | list[str], clean: str | list[str],
+                   fmt: str = "orc", tolerance: float | None = None) -> DataFrame:
+    """The validation report of artefacts where they lie; each may be a path or several, the first that exists is read.
+
+    SKIPPED_NO_CLEAN_DATA if no clean table is there (or it is empty), ERROR with the reason if the artefacts or the
+    table cannot be read or compared, else SUCCESS or MISMATCH."""
+    listed = lambda p: [p] if isinstance(p, str) else list(p)
+    table = paths.first_existing(spark, *listed(clean))
+    if table is None:
+        return rec.skipped_report(spark)
+    try:
+        metrics = read_artefacts(spark, paths.resolve(spark, *listed(rollup_tsv)), paths.resolve(spark, *listed(ratings_csv)))
+        orders = csvio.read_staging(spark, table).drop(csvio.CORRUPT) if fmt == "csv" else tables.read_typed(spark, table, fmt)
+        return validate(spark, metrics, cl.type_orders(orders) if fmt == "csv" else orders, tolerance)
+    except (FileNotFoundError, AnalysisException) as e:
+        return rec.error_report(spark, e)
+    except Py4JJavaError as e:  # a file that is not what its name says
+        return rec.error_report(spark, RuntimeError(e.java_exception.getMessage()))
+
+
 def run_end_to_end(spark: SparkSession, raw: str | list[str] | DataFrame, out_dir: str, fmt: str = "orc",
                    min_fields: int = 26, tolerance: float | None = None, multiline: bool | None = None) -> dict[str, str]:
     """Run every stage; return the output path of each stage."""

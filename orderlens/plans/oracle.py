@@ -333,8 +333,19 @@ ORACLE["all_results"] = _with(FO, _union([
 ]))
 
 ORACLE["perf_from_buckets"] = ORACLE["perf_by_restaurant_id"]
-ORACLE["orders_by_day"] = _with(FO, "SELECT CAST(order_placed_at AS DATE) AS order_day, COUNT(*) AS order_count, "
-                                    "ROUND(SUM(total), 2) AS total_revenue FROM fo GROUP BY 1")
+ORACLE["orders_by_month"] = _with(FO, "SELECT CAST(date_trunc('month', order_placed_at) AS DATE) AS order_day, COUNT(*) AS order_count, "
+                                      "ROUND(SUM(total), 2) AS total_revenue FROM fo GROUP BY 1")
+ORACLE["profile_merged"] = _with(RAW, f"""SELECT m."column", (SELECT COUNT(*) FROM raw) AS rows, m.missing_count AS missing,
+  n.non_numeric, n.negatives, t.with_comma, t.with_quote, n.min, n.max, m.missing_pct, TRUE AS distinct_within
+FROM ({ORACLE["missing_report"]}) m LEFT JOIN ({ORACLE["numeric_audit"]}) n ON m."column" = n."column"
+LEFT JOIN ({ORACLE["text_audit"]}) t ON m."column" = t."column" """)
+ORACLE["categorical_top_merged"] = ORACLE["categorical_top15"]
+ORACLE["reconcile_rows"] = _with(FO + """, n AS (SELECT order_id, CAST(order_id AS BIGINT) AS number FROM fo)""", """SELECT order_id, CASE WHEN number % 97 = 0 THEN 'only_left' WHEN number % 101 = 0 THEN 'copies' ELSE 'changed' END AS difference,
+  CAST(1 AS BIGINT) AS left_rows, CAST(CASE WHEN number % 97 = 0 THEN 0 WHEN number % 101 = 0 THEN 2 ELSE 1 END AS BIGINT) AS right_rows,
+  CASE WHEN number % 97 <> 0 AND number % 101 <> 0 THEN 'total' END AS changed_columns
+FROM n WHERE number % 97 = 0 OR number % 101 = 0 OR number % 89 = 0""")
+ORACLE["schema_check"] = _with(FO, "SELECT * FROM (VALUES ('bad', 'Gold discount', 'missing'), ('bad', 'Gold rebate', 'unexpected'), "
+                                   "('bad', 'Extra', 'unexpected')) AS found(folder, \"column\", status) WHERE EXISTS (SELECT 1 FROM fo)")
 
 # --- remaining report shapes ----------------------------------------------------
 ORACLE["q01_with_title"] = _with(FO, "SELECT '--- Q1: Total Orders ---' AS query_title, COUNT(*) AS total_orders FROM fo")

@@ -249,6 +249,9 @@ def _artefacts(s: SparkSession, d: str) -> DataFrame:
 
 
 from orderlens.operators import results as res  # noqa: E402
+from orderlens.operators import profile_state as ps  # noqa: E402
+from orderlens.operators import reconcile_rows as rr  # noqa: E402
+from orderlens.schema import CLEAN_EXTRA_HEADERS, RAW_HEADERS  # noqa: E402
 from orderlens.sources import store  # noqa: E402
 
 @register("perf_from_buckets")
@@ -260,17 +263,57 @@ def _perf_from_buckets(s: SparkSession, d: str) -> DataFrame:
     return perf.restaurant_performance(s.table(name), "restaurant_id", within=(store.SALT,))
 
 
-@register("orders_by_day")
-def _orders_by_day(s: SparkSession, d: str) -> DataFrame:
-    """Table by day, its first quarter ingested twice more -> orders and revenue of each day."""
-    path, orders = scratch_path(s, "orders_by_day"), _orders(s, d)
-    store.ingest_days(orders, path)
+@register("orders_by_month")
+def _orders_by_month(s: SparkSession, d: str) -> DataFrame:
+    """Table by month, its first half year ingested twice more -> orders and revenue of each month."""
+    path, orders = scratch_path(s, "orders_by_month"), _orders(s, d)
+    store.ingest_days(orders, path, grain="month")
     for _ in range(2):
-        store.ingest_days(orders.where("order_placed_at < TIMESTAMP_NTZ '1992-04-01'"), path)
+        store.ingest_days(orders.where("order_placed_at < TIMESTAMP_NTZ '1992-07-01'"), path, grain="month")
     return (store.read_days(s, path).groupBy(store.DAY)
             .agg(F.count(F.lit(1)).alias("order_count"), F.round(F.sum("total"), 2).alias("total_revenue")))
 
 
+@register("profile_merged")
+def _profile_merged(s: SparkSession, d: str) -> DataFrame:
+    """States by year, kept and read back, merged; the estimate of distinct values tested against the exact number."""
+    raw, path = _raw(s, d), scratch_path(s, "profile_states")
+    ps.save_states(ps.column_states(raw, grain="year"), path)
+    merged = ps.merged_profile(ps.read_states(s, path)).join(
+        pr.distinct_counts(raw).withColumnRenamed("distinct_values", "exact"), "column")
+    off = F.abs(F.col("distinct_values") - F.col("exact"))
+    return merged.withColumn("distinct_within", off <= F.lit(5 * ps.standard_error()) * F.col("exact")).drop("distinct_values", "exact")
+
+
+@register("categorical_top_merged")
+def _categorical_top_merged(s: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(s, "value_states")
+    ps.save_states(ps.value_states(_raw(s, d), grain="year"), path)
+    return ps.merged_top(ps.read_states(s, path), k=15)
+
+
+@register("reconcile_rows")
+def _reconcile_rows(s: SparkSession, d: str) -> DataFrame:
+    """The order table against a copy from which orders are missing, changed and repeated."""
+    left = _orders(s, d)
+    number = F.col("order_id").cast("bigint")
+    changed = F.when(number % 89 == 0, F.coalesce("total", F.lit(0.0)) + 1).otherwise(F.col("total"))
+    right = left.where(number % 97 != 0).withColumn("total", changed)
+    return rr.reconcile_rows(left, right.unionByName(right.where(number % 101 == 0)))
+
+
+@register("schema_check")
+def _schema_check(s: SparkSession, d: str) -> DataFrame:
+    """Clean CSV in two folders, one with a renamed and a further column; every file's header checked."""
+    path, clean = scratch_path(s, "headers_csv"), cl.clean_orders(_raw(s, d))
+    csvio.write_clean_csv(clean, f"{path}/good")
+    bad = cl.to_headers(clean).withColumnRenamed("Gold discount", "Gold rebate").withColumn("Extra", F.lit("x"))
+    csvio.write_csv(bad, f"{path}/bad")
+    found = pr.schema_check_by_file(csvio.file_headers(s, [f"{path}/good", f"{path}/bad"]), RAW_HEADERS + CLEAN_EXTRA_HEADERS)
+    folder = F.regexp_extract("file", "/([^/]+)/[^/]+$", 1)
+    return found.where("status <> 'ok'").select(folder.alias("folder"), "column", "status").distinct()
+
+
 register("all_results")(lambda s, d: res.all_results(_orders(s, d), digits=2))
 
 

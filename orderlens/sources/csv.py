@@ -13,6 +13,8 @@ quoted one the empty string, in both directions.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,6 +70,35 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return [x for x in row[0]] if row else []
 
 
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header): the names in the first line of each file that is not blank, duplicates kept.
+
+    The lines of each file's first split are scanned, one row a file is shuffled."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("id"))
+    first = (lines.where((F.col("block") == 0) & (F.length(F.trim("value")) > 0))
+             .groupBy("file").agg(F.min_by("value", "id").alias("line")))
+    # each cell with the comma behind it; a quoted one may hold commas and doubled quotes
+    cells = F.regexp_extract_all(F.concat("line", F.lit(",")), F.lit(r'("[^"]*+(?:""[^"]*+)*+"|[^,"][^,]*+|),'), 1)
+    name = lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+    return first.select("file", F.transform(cells, name).alias("header"))
+
+
+def read_csv_with_headers(spark: SparkSession, path: str | list[str], schema: T.StructType, header: list[str],
+                          **options) -> DataFrame:
+    """``read_csv`` over files of which some begin with ``header`` and some do not.
+
+    The header is left out where it is a file's first record, and only there: a file without one keeps its
+    first record, and a record further down that equals the header stays."""
+    files = {unquote(r["file"]): list(r["header"]) == list(header) for r in file_headers(spark, path).collect()}
+    parts = [read_csv(spark, sorted(f for f, has in files.items() if has == with_header), schema, with_header, **options)
+             for with_header in (True, False) if with_header in files.values()]
+    if not parts:
+        return read_csv(spark, path, schema, **options)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def field_count(text_col) -> "F.Column":
     """Number of fields of a CSV record: separators outside quoted sections + 1.
 

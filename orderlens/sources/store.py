@@ -46,16 +46,16 @@ def save_bucketed(df: DataFrame, table: str, key: str = "restaurant_id", buckets
     (w.option("path", path) if path else w).saveAsTable(table)
 
 
-def with_day(orders: DataFrame, at: str = "order_placed_at") -> DataFrame:
-    """``order_day``: the date of the order, NULL where its time is."""
-    return orders.withColumn(DAY, F.col(at).cast("date"))
+def with_day(orders: DataFrame, at: str = "order_placed_at", grain: str = "day") -> DataFrame:
+    """``order_day``: the date of the order (of a coarser ``grain``, as month: its first day), NULL where its time is."""
+    return orders.withColumn(DAY, F.date_trunc(grain, F.col(at)).cast("date"))
 
 
-def ingest_days(orders: DataFrame, path: str, fmt: str = "parquet", at: str = "order_placed_at") -> None:
-    """Replace the days that ``orders`` has rows of by these rows; other days stay.
+def ingest_days(orders: DataFrame, path: str, fmt: str = "parquet", at: str = "order_placed_at", grain: str = "day") -> None:
+    """Replace the days (months, ...) that ``orders`` has rows of by these rows; others stay.
 
     A day is brought as a whole: rows of a day that are not in ``orders`` go."""
-    rows = with_day(orders, at)
+    rows = with_day(orders, at, grain)
     (_dealt_by(rows, F.col(DAY)).write.format(fmt).mode("overwrite").partitionBy(DAY)
      .option("partitionOverwriteMode", "dynamic").save(path))
 
