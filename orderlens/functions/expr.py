@@ -7,6 +7,7 @@ NULL-faithful rule of the original pipeline (missing stays missing).
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -26,16 +27,25 @@ WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 # format is not fixed, so the list is a parameter of ``to_ts``.
 # Single pattern letters take one or two digits; brackets are optional parts.
 DEFAULT_TS_FORMATS = (
-    "yyyy-M-d H:mm:ss[.SSSSSS]",
-    "yyyy-M-d'T'H:mm:ss[.SSSSSS]",
+    "yyyy-M-d H:mm:ss[.SSSSSSSSS]",
+    "yyyy-M-d'T'H:mm:ss[.SSSSSSSSS]",
     "yyyy-M-d H:mm",
     "yyyy-M-d",
     "h:mm a, MMMM d yyyy",
     "d-M-yyyy H:mm",
     "M/d/yyyy H:mm",
+    "d-M-yyyy h:mm a",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "MMM d[,] yyyy[ H:mm[:ss]]",
+    "MMMM d[,] yyyy[ H:mm[:ss]]",
+    "yyyyMMdd",
 )
 # Layouts with an offset of their own: the instant, as UTC wall time.
-OFFSET_TS_FORMATS = ("yyyy-M-d'T'H:mm:ss[.SSSSSS]XXX", "yyyy-M-d H:mm:ss[.SSSSSS]XXX")
+OFFSET_TS_FORMATS = tuple(f"yyyy-M-d{gap}H:mm:ss[.SSSSSSSSS]{offset}" for gap in ("'T'", " ") for offset in ("XXX", "XX"))
+# What the letters of a layout stand for in a text.
+_SHAPES = {"yyyy": r"\d{4}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]{3}", "MM": r"\d{2}", "dd": r"\d{2}", "M": r"\d{1,2}",
+           "d": r"\d{1,2}", "H": r"\d{1,2}", "h": r"\d{1,2}", "mm": r"\d{2}", "ss": r"\d{2}", "a": "[AaPp][Mm]",
+           "SSSSSSSSS": r"\d{1,9}", "SSSSSS": r"\d{1,6}", "XXX": r"(?:Z|[+-]\d{2}:\d{2})", "XX": r"(?:Z|[+-]\d{4})"}
 
 
 def col_(c: ColumnOrName) -> Column:
@@ -73,14 +83,36 @@ def to_double(c: ColumnOrName) -> Column:
     return finite_or_null(parse_number(strip_ws(col_(c).cast("string"))))
 
 
+def layout_shape(fmt: str) -> str | None:
+    """A regular expression that every text of a layout matches; None for layouts with other letters than above."""
+    out = ""
+    for m in re.finditer(r"'([^']*)'|([A-Za-z])\2*|(.)", fmt):
+        literal, letter, other = m.groups()
+        if letter:
+            if m[0] not in _SHAPES:
+                return None
+            out += _SHAPES[m[0]]
+        else:
+            out += {"[": "(?:", "]": ")?"}.get(other) or re.escape(literal if other is None else other)
+    return rf"\A{out}\z"
+
+
 def to_ts(c: ColumnOrName, formats: Iterable[str] = DEFAULT_TS_FORMATS) -> Column:
     """Parse a timestamp trying several layouts; unparseable -> NULL.
 
     Text is read as UTC and turned into wall time from the count of
-    microseconds, so the session's time zone and its clock changes play no part."""
+    microseconds, so the session's time zone and its clock changes play no part.
+    A layout is tried only on text of its shape: a failed parse costs an
+    exception, a look at the shape does not."""
     c = col_(c)
-    parsed = [F.try_to_timestamp(F.concat(c, F.lit(" Z")), F.lit(f"{fmt} XXX")) for fmt in formats]
-    parsed += [F.try_to_timestamp(c, F.lit(fmt)) for fmt in OFFSET_TS_FORMATS]
+    c = F.when(c.startswith("Sept "), F.concat(F.lit("Sep "), F.substr(c, F.lit(6)))).otherwise(c)
+
+    def shaped(parsed: Column, fmt: str) -> Column:
+        shape = layout_shape(fmt)
+        return parsed if shape is None else F.when(c.rlike(shape), parsed)
+
+    parsed = [shaped(F.try_to_timestamp(F.concat(c, F.lit(" Z")), F.lit(f"{fmt} XXX")), fmt) for fmt in formats]
+    parsed += [shaped(F.try_to_timestamp(c, F.lit(fmt)), fmt) for fmt in OFFSET_TS_FORMATS]
     seconds = F.unix_micros(F.coalesce(*parsed)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))

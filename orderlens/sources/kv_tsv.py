@@ -7,13 +7,17 @@ empty cells before the metrics ignored; blank lines and lines without a
 prefix cell are skipped; one prefix cell is the restaurant name, two are id and name; metric cells are
 ``key=value`` (split once on the first ``=``, the last cell of a key wins).
 Values that do not parse as numbers become NULL (one type per column).
+
+Ids and names may hold any character: a tab, a line end, an equals sign and a
+backslash are written as ``\\t``, ``\\n``, ``\\r``, ``\\e`` and two backslashes, and
+read back; other backslashes are read as they stand.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions.expr import fmt2, strip_ws, to_double
@@ -23,6 +27,24 @@ PLAIN_COLUMNS = ("restaurant_id", "restaurant_name", "order_count", "total_reven
                  "avg_order_value", "avg_kpt", "avg_rider_wait")
 
 
+# a character and how it is written in an id or a name; the backslash first
+ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("=", "\\e"))
+
+
+def escaped(c: Column) -> Column:
+    for char, written in ESCAPES:
+        c = F.replace(c, F.lit(char), F.lit(written))
+    return c
+
+
+def unescaped(c: Column) -> Column:
+    """Two backslashes are set aside first, so that what stands behind them is not taken for an escape."""
+    c = F.replace(c, F.lit(ESCAPES[0][1]), F.lit("\0"))
+    for char, written in ESCAPES[1:]:
+        c = F.replace(c, F.lit(written), F.lit(char))
+    return F.replace(c, F.lit("\0"), F.lit("\\"))
+
+
 def _has_key(key: str):
     prefix = key + "="
     return lambda p: p.startswith(prefix)
@@ -36,8 +58,8 @@ def read_kv_tsv(spark: SparkSession, path: str | list[str], keys: Sequence[str]
                          F.filter("p", lambda x: ~x.contains("=")).alias("prefix"))
     parts = parts.filter(F.size("prefix") > 0)
     two = F.size("prefix") >= 2
-    cols = [F.when(two, F.element_at("prefix", 1)).alias("restaurant_id"),
-            F.when(two, F.element_at("prefix", 2)).otherwise(F.element_at("prefix", 1)).alias("restaurant_name")]
+    cols = [unescaped(F.when(two, F.element_at("prefix", 1))).alias("restaurant_id"),
+            unescaped(F.when(two, F.element_at("prefix", 2)).otherwise(F.element_at("prefix", 1))).alias("restaurant_name")]
     for k in keys:
         hit = F.filter("kv", _has_key(k))
         raw = F.when(F.size(hit) > 0, F.element_at(F.split(F.element_at(hit, -1), "=", 2), 2))
@@ -51,7 +73,7 @@ def read_plain_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Missing cells at the end are NULL; an empty name is NULL, as it was written."""
     p = spark.read.text(path).filter(F.length(strip_ws("value")) > 0).select(F.split("value", "\t", -1).alias("p"))
     cell = lambda i: F.try_element_at("p", F.lit(i))
-    text = lambda i: F.when(F.length(cell(i)) > 0, cell(i))
+    text = lambda i: unescaped(F.when(F.length(cell(i)) > 0, cell(i)))
     num = lambda i: to_double(cell(i))
     return p.select(text(1).alias("restaurant_id"), text(2).alias("restaurant_name"),
                     cell(3).try_cast("bigint").alias("order_count"),
@@ -65,7 +87,7 @@ def to_tsv_lines(perf: DataFrame, style: str = "plain") -> DataFrame:
     ``plain``: id, name, count, revenue, AOV, KPT, wait.  ``kv``: id, name,
     then ``key=value`` cells.  A NULL metric is an empty cell / omitted; a NULL
     id or name is an empty cell, so the other cells keep their places."""
-    lead = [F.coalesce(c, F.lit("")) for c in ("restaurant_id", "restaurant_name") if c in perf.columns]
+    lead = [F.coalesce(escaped(F.col(c)), F.lit("")) for c in ("restaurant_id", "restaurant_name") if c in perf.columns]
     metrics = [F.col("order_count").cast("string").alias("order_count")] + [
         fmt2(c).alias(c) for c in METRIC_KEYS[1:]]
     if style == "plain":
