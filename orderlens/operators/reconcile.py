@@ -94,6 +94,15 @@ def validation_report(rec: DataFrame, key: str = "restaurant_name") -> DataFrame
                    F.sort_array(F.collect_list(entry)).alias("metrics_validation"))
 
 
+def validation_status(rec: DataFrame) -> DataFrame:
+    """The report's status with the number of keys compared and of those that fail; the entries stay the rows of ``rec``."""
+    bad = F.col("side") != "both"
+    if "within_tolerance" in rec.columns:
+        bad = bad | ~F.col("within_tolerance")
+    return rec.agg(F.when(F.count_if(bad) > 0, "MISMATCH").otherwise("SUCCESS").alias("status"),
+                   F.count(F.lit(1)).alias("compared"), F.count_if(bad).alias("failed"))
+
+
 def _status_report(spark: SparkSession, status: str) -> DataFrame:
     return spark.createDataFrame([(status, [])], REPORT_SCHEMA)
 

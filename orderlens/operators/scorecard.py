@@ -123,11 +123,27 @@ def growth_opportunities(card: DataFrame) -> DataFrame:
                     "avg_order_value"))
 
 
+def summary_totals(card: DataFrame) -> DataFrame:
+    """The executive summary's one row of figures, without the names."""
+    rev, cnt = F.sum("total_revenue"), F.sum("order_count")
+    return card.agg(
+        F.count(F.lit(1)).alias("total_restaurants"), cnt.cast("bigint").alias("total_orders"),
+        rev.alias("total_platform_revenue"), r2(safe_ratio(rev, cnt)).alias("avg_platform_order_value"),
+        F.count_if("bottleneck").alias("bottlenecks"), F.count_if("growth_opportunity").alias("growth_opportunities"))
+
+
+def summary_names(card: DataFrame) -> DataFrame:
+    """(section, restaurant_name): the summary's flagged restaurants as rows, for any number of them."""
+    flags = [F.when(F.col(flag), F.lit(flag)) for flag in ("bottleneck", "growth_opportunity")]
+    return card.select(F.explode(F.array_compact(F.array(*flags))).alias("section"), "restaurant_name")
+
+
 def executive_summary(card: DataFrame) -> DataFrame:
     """One row: restaurants, orders, revenue, weighted AOV, flagged names.
 
     The weighted AOV is a ratio of sums, not a mean of per-restaurant AOVs.
-    Name lists are sorted; they hold one entry per flagged restaurant."""
+    Name lists are sorted; they hold one entry per flagged restaurant
+    (``summary_totals`` and ``summary_names`` give the same as rows)."""
     rev, cnt = F.sum("total_revenue"), F.sum("order_count")
     name = F.col("restaurant_name")
     return card.agg(

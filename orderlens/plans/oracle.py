@@ -347,6 +347,13 @@ FROM n WHERE number % 97 = 0 OR number % 101 = 0 OR number % 89 = 0""")
 ORACLE["schema_check"] = _with(FO, "SELECT * FROM (VALUES ('bad', 'Gold discount', 'missing'), ('bad', 'Gold rebate', 'unexpected'), "
                                    "('bad', 'Extra', 'unexpected')) AS found(folder, \"column\", status) WHERE EXISTS (SELECT 1 FROM fo)")
 
+ORACLE["summary_names"] = _with(_card_ctes("restaurant_name"), _union([
+    f"SELECT '{flag}' AS section, restaurant_name FROM card WHERE {flag}" for flag in ("bottleneck", "growth_opportunity")]))
+ORACLE["validation_status"] = ("SELECT CASE WHEN COUNT(*) FILTER (WHERE bad) > 0 THEN 'MISMATCH' ELSE 'SUCCESS' END AS status, "
+                               "COUNT(*) AS compared, COUNT(*) FILTER (WHERE bad) AS failed FROM "
+                               f"(SELECT side <> 'both' OR NOT within_tolerance AS bad FROM ({ORACLE['reconcile_metrics']}) AS r) AS b")
+ORACLE["end_to_end_scorecard"] = ORACLE["scorecard_by_name"].replace(FO, RAW + ",\n" + CLEAN).replace("FROM fo", "FROM clean")
+
 # --- remaining report shapes ----------------------------------------------------
 ORACLE["q01_with_title"] = _with(FO, "SELECT '--- Q1: Total Orders ---' AS query_title, COUNT(*) AS total_orders FROM fo")
 ORACLE["timestamp_samples"] = _with(RAW, f"SELECT order_id, order_placed_at FROM raw WHERE NOT {_miss('order_placed_at')} "

@@ -123,7 +123,7 @@ from orderlens.operators import clean as cl  # noqa: E402
 from orderlens.operators import profile as pr  # noqa: E402
 from orderlens.sources import csv as csvio  # noqa: E402
 from orderlens.sources import kv_tsv, tables  # noqa: E402
-from orderlens.plans.end_to_end import read_artefacts, validate  # noqa: E402
+from orderlens.plans.end_to_end import read_artefacts, run_end_to_end, validate  # noqa: E402
 from orderlens.session import scratch_path  # noqa: E402
 
 
@@ -317,6 +317,17 @@ def _schema_check(s: SparkSession, d: str) -> DataFrame:
 register("all_results")(lambda s, d: res.all_results(_orders(s, d), digits=2))
 
 
+register("summary_names")(lambda s, d: sc.summary_names(_card(s, d, "restaurant_name")))
+register("validation_status")(lambda s, d: rec.validation_status(_reconcile(s, d)))
+
+
+@register("end_to_end_scorecard")
+def _end_to_end(s: SparkSession, d: str) -> DataFrame:
+    """Every stage on the dirty table, all artefacts written; the scorecard file read back."""
+    out = run_end_to_end(s, _raw(s, d), scratch_path(s, "end_to_end"), tolerance=0.01, reports_as_rows=True)
+    return csvio.read_csv(s, out["scorecard"], _card(s, d, "restaurant_name").schema, keep_corrupt=False, multiline=False)
+
+
 # --- remaining report shapes ----------------------------------------------------
 register("q01_with_title")(lambda s, d: q.with_title(q.total_orders(_orders(s, d)), q.TITLES["q01"]))
 register("timestamp_samples")(lambda s, d: pr.timestamp_samples(_raw(s, d), n=10))

@@ -65,3 +65,16 @@ def test_streaming_rejects(spark, tmp_dir):
     rows = spark.read.json(os.path.join(tmp_dir, "rej")).collect()
     assert len(rows) == 1 and rows[0].fields == 4 and rows[0].first_field == "2"
     assert spark.read.parquet(os.path.join(tmp_dir, "ok")).count() == 2
+
+
+def test_reports_as_rows(spark, tmp_dir):
+    out = run_end_to_end(spark, food_orders_raw(spark, SF_SMALL), os.path.join(tmp_dir, "out"), tolerance=0.01, reports_as_rows=True)
+    status, totals = spark.read.json(out["validation"]).first(), spark.read.json(out["summary"]).first()
+    entries, names = spark.read.json(out["validation_entries"]), spark.read.json(out["summary_names"])
+    assert (status.status, status.compared, status.failed) == ("MISMATCH", 5, entries.where("NOT within_tolerance").count())
+    assert entries.count() == 5 and totals.total_restaurants == 5
+    flagged = {(r.section, r.restaurant_name) for r in names.collect()}
+    card = spark.read.option("header", True).csv(out["scorecard"]).collect()
+    assert flagged == {(f, r.restaurant_name) for r in card for f in ("bottleneck", "growth_opportunity") if r[f] == "true"}
+    assert (totals.bottlenecks, totals.growth_opportunities) == tuple(
+        sum(r[f] == "true" for r in card) for f in ("bottleneck", "growth_opportunity"))
