@@ -12,14 +12,14 @@ from tests.llm.helpers import awkward, empty, words
 
 def test_every_query_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert [n for n, _ in cp.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "benchmark_decontamination",
                                          "sentencepiece"]
 
 
 def test_oracles_agree(spark):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_ORACLE}/{t}.parquet'")
     for name, sql in ORACLE.items():
         got = QUERIES[name](spark, SF_ORACLE)
