@@ -14,9 +14,10 @@ with its neighbour byte by byte.
   Hot texts are found first by counting hashes (partially aggregated: eight
   bytes a row and no text moves), there can be at most ``4 x shuffle
   partitions`` of them (the proven bound of the only broadcast), and their rows
-  are salted by id into parts below that share.  Each part is deduplicated like
-  any other text; the parts' leaders, a bounded number per text, are then
-  compared again, in full, and merged.
+  are dealt in turn into parts below that share, whatever their ids; the deal is
+  fixed in a written copy, so that a lost task cannot deal them anew.  Each part is
+  deduplicated like any other text; the parts' leaders, a bounded number per text,
+  are then compared again, in full, and merged.
 
 Defined cases: a null text counts as empty; empty texts are equal to each
 other; a null id is smaller than any other when the largest stays and larger
@@ -36,6 +37,18 @@ PREFIX = 64
 MIN_HOT_ROWS = 64
 
 
+def _salted(base: DataFrame, limit: int) -> DataFrame:
+    """``base`` (doc_id, norm, h) with ``salt``: -1, or for rows of a text with more than ``limit`` rows the part it is in."""
+    hot = materialize(base.groupBy("h").count().where(F.col("count") > limit)
+                      .select("h", F.ceil(F.col("count") / limit).alias("salts")), "dedup_hot")
+    if hot.isEmpty():
+        return base.withColumn("salt", F.lit(-1).cast("bigint"))
+    marked = base.join(F.broadcast(hot), "h", "left")
+    dealt = F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("bigint")
+    warm = materialize(marked.where("salts IS NOT NULL").select("doc_id", "norm", "h", dealt.alias("salt")), "dedup_hot_rows")
+    return marked.where("salts IS NULL").select("doc_id", "norm", "h", F.lit(-1).cast("bigint").alias("salt")).unionByName(warm)
+
+
 def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        keep: str = "smallest") -> DataFrame:
     """One row per input row: its id, the id that stays of its group of equal
@@ -46,12 +59,7 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
     base = base.withColumn("h", F.xxhash64("norm"))
     limit = max(MIN_HOT_ROWS, docs.count() // (4 * shuffle_width(spark)))
-    hot = materialize(base.groupBy("h").count().where(F.col("count") > limit)
-                      .select("h", F.ceil(F.col("count") / limit).alias("salts")), "dedup_hot")
-    rows = (base.join(F.broadcast(hot), "h", "left")
-            .withColumn("prefix", F.substring("norm", 1, PREFIX))
-            .withColumn("salt", F.when(F.col("salts").isNull(), F.lit(-1))
-                        .otherwise(F.pmod(F.xxhash64("doc_id"), F.col("salts")))))
+    rows = _salted(base, limit).withColumn("prefix", F.substring("norm", 1, PREFIX))
 
     def best(c: str):
         return F.col(c).desc_nulls_last() if keep == "largest" else F.col(c).asc_nulls_last()

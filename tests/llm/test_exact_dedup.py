@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.llm import exact_dedup
 from orderlens.llm.exact_dedup import content_sort_dedup
@@ -45,6 +46,18 @@ def test_hot_text_is_salted_and_merged(spark, monkeypatch):
     assert result(df, "largest") == brute(rows, True)
 
 
+def test_a_hot_text_with_null_or_one_id_is_dealt_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MIN_HOT_ROWS", 20)
+    rows = [(None, "hot") if i % 3 == 0 else (7, "warm") if i % 3 == 1 else (i, f"text {i % 150}") for i in range(1500)]
+    df = documents(spark, [(i, t, None) for i, t in rows]).repartition(7)
+    for keep in ("largest", "smallest"):
+        assert result(df, keep) == brute(rows, keep == "largest")
+    base = df.select("doc_id", df.text.alias("norm"), F.xxhash64("text").alias("h"))
+    parts = exact_dedup._salted(base, 50).where("salt >= 0").groupBy("norm", "salt").count().collect()
+    assert {r["norm"] for r in parts} == {"hot", "warm"} and sum(r["count"] for r in parts) == 1000
+    assert max(r["count"] for r in parts) <= 100
+
+
 def test_texts_that_share_a_long_start_stay_apart(spark):
     rows = [(i, "z" * 500 + str(i % 4)) for i in range(40)]
     assert result(documents(spark, [(i, t, None) for i, t in rows]), "smallest") == brute(rows, False)

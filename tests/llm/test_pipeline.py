@@ -40,7 +40,8 @@ def test_stages_on_planted_rows(spark, tmp_dir):
     spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
     ids = lambda d: sorted(r["doc_id"] for r in d.collect())
     spoken = docs.where(F.col("doc_id").isin(1, 2, 3, 4, 7))
-    exact = cp.exact_stage(spark, spoken.drop("_key", "_place"), tmp_dir)
+    exact = cp.exact_stage(spark, spoken, tmp_dir)
+    assert exact.columns == docs.columns and {tuple(r)[3:] for r in exact.collect()} == {("k", 1, 2)}
     assert ids(exact) == [2, 3, 4, 7]
     linked = bin(fingerprint(text) ^ fingerprint(" ".join(near))).count("1") <= 2
     assert ids(cp.near_stage(spark, exact, tmp_dir)) == ([2, 4, 7] if linked else [2, 3, 4, 7])
@@ -70,6 +71,31 @@ def test_near_stage_keeps_unrelated_texts_under_null_and_shared_ids(spark, tmp_d
     assert sorted(kept, key=repr) == sorted([(None, a), (None, b), (None, c), (1, d), (1, e)], key=repr)
 
 
+def test_columns_of_any_name_come_back_unchanged(spark, tmp_dir, monkeypatch):
+    spark.createDataFrame([(1, "nothing here")], "item_id bigint, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    own = ["key", "doc", "one", "_key", "_place", "_lang", "_score", "_hits", "hits", "found_lang", "found_score", "h", "norm", "fp"]
+    rows = [(k, " ".join(words(320 + k, 60)), *(f"{c}{k}" for c in own)) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in own))
+
+    def said(docs, model, names):  # a network that knows one language
+        return docs.withColumn(names[0], F.lit("en")).withColumn(names[1], F.lit(1.0))
+
+    monkeypatch.setattr(cp.langid, "learned", lambda docs: None)
+    monkeypatch.setattr(cp.langid, "identify", said)
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, tmp_dir)
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == rows
+
+
+def test_copies_with_one_id_are_one_row_before_the_shuffle(spark):
+    docs = spark.range(3000).selectExpr("IF(id % 3 = 0, NULL, id) AS doc_id", "IF(id % 3 = 0, 'same', CAST(id AS STRING)) AS text")
+    kept = docs.select(cp._row_key(F.xxhash64("text")).alias("key")).distinct()
+    one = cp._keep(docs, F.xxhash64("text"), kept)
+    assert one.count() == 2001 and one.where("doc_id IS NULL").count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_max_by" in plan
+
+
 def test_run_keeps_clean_documents(spark):
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     found = cp.run(spark, SF_ORACLE)
