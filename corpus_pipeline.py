@@ -7,12 +7,15 @@ stage's result as Parquet to the shared folder and rereads it.
 Defined cases: those of the operators.  Rows with one id and different texts
 are different documents in every stage; of rows equal in id and text one stays
 behind the exact stage.  A document that the exact or near stage keeps is found
-again by id and text hash, nulls included, never by id alone.
+again by id and text hash, nulls included, never by id alone.  Copies with one id
+and text are brought to one row by each task before they are shuffled.  Columns of
+any name pass through: what a stage adds has a name that the documents have not.
+Very long texts are read whole; an empty table stays empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import decontaminate, exact_dedup, langid, pieces, simhash
@@ -28,16 +31,25 @@ def _row_key(text_hash: Column) -> Column:
 
 
 def _keep(docs: DataFrame, text_hash: Column, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose key is in ``kept``, one of each key."""
-    rows = docs.withColumn("_key", _row_key(text_hash)).join(kept, "_key", "left_semi")
-    first = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
-    return rows.withColumn("_place", first).where("_place = 1").select(*docs.columns)
+    """The rows of ``docs`` whose key is in ``kept``, one of each key.
+
+    Partial aggregation leaves a task one row a key, so a key that a third of all rows share is no large group."""
+    rows = docs.select(_row_key(text_hash).alias("key"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    single = rows.groupBy("key").agg(F.max_by("doc", F.coalesce("doc.text", F.lit(""))).alias("doc"))
+    return single.join(kept, "key", "left_semi").select("doc.*")
+
+
+def _new(docs: DataFrame, stem: str) -> str:
+    """A column name that the documents have not."""
+    taken = {c.lower() for c in docs.columns}
+    return next(n for n in (f"{stem}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter and a language that the network recognises."""
-    found = langid.identify(docs, langid.learned(docs), names=("_lang", "_score"))
-    return found.where((F.col("_lang") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score = _new(docs, "found_lang"), _new(docs, "found_score")
+    found = langid.identify(docs, langid.learned(docs), names=(lang, score))
+    return found.where((F.col(lang) != "und") & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +57,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = exact_dedup.content_sort_dedup(docs, keep="largest").where("kept")
     norm = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     return _keep(docs, F.sha2(F.encode(norm, "UTF-8"), 256),
-                 kept.select(_row_key(F.col("text_sha256")).alias("_key")))
+                 kept.select(_row_key(F.col("text_sha256")).alias("key")))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,13 +66,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     kept = simhash.near_duplicates(docs).groupBy("root").agg(F.min(place).alias("first"))
     kept = kept.select("first.doc_id", "first.text_hash")
-    return _keep(docs, F.xxhash64("text"), kept.select(_row_key(F.col("text_hash")).alias("_key")))
+    return _keep(docs, F.xxhash64("text"), kept.select(_row_key(F.col("text_hash")).alias("key")))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"), name="_hits")
-    return found.where(F.size("_hits") == 0).select(*docs.columns)
+    hits = _new(docs, "hits")
+    found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"), name=hits)
+    return found.where(F.size(hits) == 0).select(*docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
