@@ -17,7 +17,7 @@ part is bounded; concatenated in order, the parts are the whole rendering.
 Defined cases: a null id is a conversation of its own, before all others; a null role is
 "unknown", a null text is empty (and equals an empty one); turns are ordered
 by (turn, role, text), null turns first, so ties have a fixed order and
-repeated rows stay as repeated turns; an empty table gives no rows; further
+repeated rows stay as repeated turns; very long texts are rendered whole; an empty table gives no rows; further
 columns are ignored.
 """
 

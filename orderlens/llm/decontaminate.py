@@ -18,7 +18,7 @@ so a hot source or passage changes nothing.
 Defined cases: a null text counts as empty and matches nothing; an item that is
 null or has no characters beyond white space matches nothing; items with one
 and the same text are all reported; a null item id is reported as null;
-repeated rows give repeated results; empty tables give no rows, or rows without
+repeated rows give repeated results; very long texts are searched whole; empty tables give no rows, or rows without
 hits; further columns of the documents pass through (the hits win a clash).
 """
 

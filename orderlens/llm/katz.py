@@ -31,7 +31,7 @@ Defined cases: a null text counts as empty and has the end token only; without
 training rows every token is <unk> with probability one; a d_r outside (0, 1]
 (sparse counts of counts) is one; a history whose discounts free no mass, and
 unigrams likewise, count one more unseen token in the denominator; repeated
-rows count and are scored as often as they occur; a null id counts as the empty
+rows count and are scored as often as they occur; very long texts are counted and scored whole; a null id counts as the empty
 text when rows are dealt to training; an empty table gives no rows; further
 columns are ignored.
 """

@@ -17,7 +17,8 @@ split by AQE's skew join when the first occurrence is joined to them.
 Defined cases: a null text stays null and has no chunks; an empty text is one
 empty line; chunks without a non-blank character are never removed; digests
 shared by different bytes are not removed; repeated rows with one id and one
-text are one document, all of them changed alike; a null id sorts first; an
+text are one document, all of them changed alike; a null id sorts first; very
+long texts are cut as a whole (the cost of the removal is lines times removed chunks); an
 empty table gives no rows; further columns pass through unless they clash with
 the added ones, which win.
 """

@@ -26,7 +26,9 @@ Defined cases: a null or empty text has one segmentation, without pieces, of
 probability 1; ``▁`` in a text is taken as a space, by ``round_trip`` too, and
 decodes to one; a text with fewer than ``k`` segmentations yields all of them,
 with inclusion score 0; equal keys give equal draws; a null key is a key of its
-own; an empty table gives no rows; further columns are ignored.
+own; a very long text comes alone in its batch and is read whole (a long stretch
+without a space is one unit, solved level by level, and slow); an empty table
+gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,8 +14,9 @@ rows with the weight vector (half a megabyte) broadcast.
 Defined cases: a null text counts as empty; an empty text has no features and
 scores by the bias alone; rows whose label is null are not learned from; without
 rows of both classes the score is the share of class 1, smoothed, for all;
-a document labelled twice counts twice; repeated rows give repeated results; an
-empty table gives no rows; further columns are ignored.
+a document labelled twice counts twice; repeated rows give repeated results; very
+long texts are read whole; the fit sees about ``sample`` labelled rows, drawn by hash,
+never more than twice as many; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations

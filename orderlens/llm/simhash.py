@@ -23,7 +23,8 @@ linear and just as complete.  Components come from alternating stars.
 Defined cases: a null text counts as empty; a text without words has
 fingerprint zero and links like any other; fewer words than a shingle give one
 shingle of all; a null id never becomes a component id unless all are null;
-repeated rows give repeated results; an empty table gives no rows; further
+repeated rows give repeated results; very long texts are read whole, their shingles
+counted some thousand at a time; an empty table gives no rows; further
 columns are ignored.
 """
 
