@@ -38,15 +38,16 @@ MIN_HOT_ROWS = 64
 
 
 def _salted(base: DataFrame, limit: int) -> DataFrame:
-    """``base`` (doc_id, norm, h) with ``salt``: -1, or for rows of a text with more than ``limit`` rows the part it is in."""
+    """``base`` (doc_id, norm, h, salt -1) with the part each row is in as ``salt`` for texts of more than ``limit`` rows;
+    ``base`` itself if there is no such text."""
     hot = materialize(base.groupBy("h").count().where(F.col("count") > limit)
                       .select("h", F.ceil(F.col("count") / limit).alias("salts")), "dedup_hot")
     if hot.isEmpty():
-        return base.withColumn("salt", F.lit(-1).cast("bigint"))
+        return base
     marked = base.join(F.broadcast(hot), "h", "left")
     dealt = F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("bigint")
     warm = materialize(marked.where("salts IS NOT NULL").select("doc_id", "norm", "h", dealt.alias("salt")), "dedup_hot_rows")
-    return marked.where("salts IS NULL").select("doc_id", "norm", "h", F.lit(-1).cast("bigint").alias("salt")).unionByName(warm)
+    return marked.where("salts IS NULL").select("doc_id", "norm", "h", "salt").unionByName(warm)
 
 
 def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -57,9 +58,12 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("doc_id"),
                        ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
-    base = base.withColumn("h", F.xxhash64("norm"))
+    base = base.withColumn("h", F.xxhash64("norm")).withColumn("salt", F.lit(-1).cast("bigint"))
     limit = max(MIN_HOT_ROWS, docs.count() // (4 * shuffle_width(spark)))
-    rows = _salted(base, limit).withColumn("prefix", F.substring("norm", 1, PREFIX))
+    salted = _salted(base, limit)
+    rows = salted.withColumn("prefix", F.substring("norm", 1, PREFIX))
+    # a salt that is the same for all would be taken for a constant, and no longer for a part of the windows' key
+    ranges = ["prefix", "h", *(["salt"] if salted is not base else [])]
 
     def best(c: str):
         return F.col(c).desc_nulls_last() if keep == "largest" else F.col(c).asc_nulls_last()
@@ -67,7 +71,7 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     equal = Window.partitionBy("prefix", "h", "salt", "norm")
     ordered = equal.orderBy(best("doc_id"))
     parts = (rows.select("doc_id", "norm", "prefix", "h", "salt")
-             .repartitionByRange("prefix", "h", "salt")
+             .repartitionByRange(*ranges)
              .select("doc_id", "norm", "h", "salt",
                      F.row_number().over(ordered).alias("place"),
                      F.first("doc_id").over(ordered).alias("part_keep"),

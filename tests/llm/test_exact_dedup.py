@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import exact_dedup
 from orderlens.llm.exact_dedup import content_sort_dedup
+from orderlens.plans.materialize import materialize
 from tests.llm.helpers import awkward, documents, empty
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -52,7 +53,7 @@ def test_a_hot_text_with_null_or_one_id_is_dealt_over_parts(spark, monkeypatch):
     df = documents(spark, [(i, t, None) for i, t in rows]).repartition(7)
     for keep in ("largest", "smallest"):
         assert result(df, keep) == brute(rows, keep == "largest")
-    base = df.select("doc_id", df.text.alias("norm"), F.xxhash64("text").alias("h"))
+    base = df.select("doc_id", df.text.alias("norm"), F.xxhash64("text").alias("h"), F.lit(-1).cast("bigint").alias("salt"))
     parts = exact_dedup._salted(base, 50).where("salt >= 0").groupBy("norm", "salt").count().collect()
     assert {r["norm"] for r in parts} == {"hot", "warm"} and sum(r["count"] for r in parts) == 1000
     assert max(r["count"] for r in parts) <= 100
@@ -67,6 +68,17 @@ def test_empty_table(spark):
     assert content_sort_dedup(empty(spark)).count() == 0
 
 
+def test_whole_texts_are_shuffled_once(spark, monkeypatch):
+    """The windows use the range partitioning, with hot texts and without."""
+    plans = []
+    monkeypatch.setattr(exact_dedup, "materialize", lambda df, name: plans.append(df) or materialize(df, name))
+    for hot in (5, 1000):
+        monkeypatch.setattr(exact_dedup, "MIN_HOT_ROWS", hot)
+        content_sort_dedup(documents(spark, [(i, f"text {i % 3}", None) for i in range(60)]))
+        plan = plans[-1]._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" in plan and "hashpartitioning(prefix" not in plan
+
+
 def test_no_python_in_the_plan(spark):
     plan = content_sort_dedup(awkward(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
