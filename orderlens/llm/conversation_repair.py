@@ -20,7 +20,7 @@ the least at a node stays the least whatever follows.
 
 Scale: rows are sorted by a range partitioning on conversation and turn, so that
 a conversation of any length is spread over many tasks.  A task cuts what it has
-of a conversation into segments of bounded rows and bytes and solves each from
+of a conversation into segments of bounded rows and characters and solves each from
 every state it may be entered in: for each pair of states the least weight.  A
 second minimum-weight pass over the segments of a conversation sees four costs
 and four ranks a state pair instead of texts and audits (one number: cost, rank
@@ -68,7 +68,7 @@ NEXT = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (USER, "a
 #: what completes the conversation when the rows have ended in a state
 ENDING = {START: "", SYSTEM: "II", USER: "I", ASSISTANT: ""}
 SEGMENT_ROWS = 256
-SEGMENT_BYTES = 1 << 20
+SEGMENT_CHARS = 1 << 20
 START_CHARS = 64  # of a text, in the order of rows of one turn
 
 
@@ -172,12 +172,12 @@ def _segment_type(conv: str, turn: str) -> str:
             "last_role string, entry array<int>, exit array<int>, cost array<bigint>, place array<int>, audit array<string>")
 
 
-def _segments(rows: Iterable[dict]) -> Iterator[dict]:
+def _segments(rows: Iterable[dict], n_rows: int, n_chars: int) -> Iterator[dict]:
     """Rows of one task in order, copies written out -> segments, each solved from every state."""
     held: list[dict] = []
     size = 0
     for row in rows:
-        if held and (held[0]["conv_id"] != row["conv_id"] or len(held) == SEGMENT_ROWS or size + len(row["text"]) > SEGMENT_BYTES):
+        if held and (held[0]["conv_id"] != row["conv_id"] or len(held) == n_rows or size + len(row["text"]) > n_chars):
             yield _solved(held)
             held, size = [], 0
         held.append(row)
@@ -215,16 +215,16 @@ def _batches(rows: Iterable[dict], schema: pa.Schema, size) -> Iterator[pa.Recor
     for row in rows:
         held.append(row)
         total += size(row)
-        if len(held) == 1024 or total > 4 * SEGMENT_BYTES:
+        if len(held) == 1024 or total > 4 * SEGMENT_CHARS:
             yield pa.RecordBatch.from_pylist(held, schema=schema)
             held, total = [], 0
     if held:
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def segments(rows: DataFrame) -> DataFrame:
+def segments(rows: DataFrame, n_rows: int = SEGMENT_ROWS, n_chars: int = SEGMENT_CHARS) -> DataFrame:
     kinds = dict(rows.dtypes)
-    return _streamed(rows, lambda batches: _segments(_written_out(batches)), _segment_type(kinds["conv_id"], kinds["turn"]),
+    return _streamed(rows, lambda batches: _segments(_written_out(batches), n_rows, n_chars), _segment_type(kinds["conv_id"], kinds["turn"]),
                      lambda segment: sum(map(len, segment["texts"])))
 
 
@@ -306,10 +306,10 @@ def _streamed(frame: DataFrame, step, ddl: str, size=lambda row: 64) -> DataFram
     return frame.mapInArrow(lambda batches: _batches(step(batches), schema, size), ddl)
 
 
-def repair(rows: DataFrame) -> DataFrame:
+def repair(rows: DataFrame, n_rows: int = SEGMENT_ROWS, n_chars: int = SEGMENT_CHARS) -> DataFrame:
     """Rows (conv_id, turn, role, text, copies) -> a row a conversation: conv_id, blank, duplicate, truncated, illegal,
     cost, audit, repaired_sha256.  Conversations without rows are not in the result."""
-    cut = materialize(segments(ordered_rows(rows)), "repair_segments")
+    cut = materialize(segments(ordered_rows(rows), n_rows, n_chars), "repair_segments")
     decided = materialize(_decided(cut.select(*KEY, "first_role", "last_role", "entry", "exit", "cost", "place")), "repair_decided")
     s, d = cut.alias("s"), decided.alias("d")
     both = s.join(d, F.expr(" AND ".join(f"s.{c} <=> d.{c}" for c in KEY)))
@@ -340,13 +340,13 @@ def repair(rows: DataFrame) -> DataFrame:
     return _streamed(_by_conversation(chosen), finish, ddl, lambda row: len(row["audit"]))
 
 
-def repair_damaged(conversations: DataFrame) -> DataFrame:
+def repair_damaged(conversations: DataFrame, n_rows: int = SEGMENT_ROWS, n_chars: int = SEGMENT_CHARS) -> DataFrame:
     """The repair of every conversation of the table after damage, those without rows left included, with their gaps."""
     left = damage(conversations.select("conv_id", "turn", "role", "text"))
     every = materialize(conversations.select("conv_id").distinct(), "repair_ids")
     turns = left.where("turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.lit(1).alias("one"))
     gaps = turns.groupBy("conv_id").agg((F.max("turn") - F.min("turn") + 1 - F.count("turn")).alias("gaps"))
-    result = materialize(repair(left), "repair_result")
+    result = materialize(repair(left, n_rows, n_chars), "repair_result")
     out = every.alias("e")
     for name, side in (("g", materialize(gaps, "repair_gaps")), ("r", result)):
         out = out.join(side.alias(name), F.col("e.conv_id").eqNullSafe(F.col(f"{name}.conv_id")), "left")

@@ -101,14 +101,12 @@ def made(rng, n, conv_id, roles=("user", "assistant", "system", "tool", "", None
             for k in range(n)]
 
 
-@pytest.mark.parametrize("rows, nbytes", [(256, 1 << 20), (3, 1 << 20), (256, 20)])
-def test_repair_matches_search(spark, rows, nbytes, monkeypatch):
-    monkeypatch.setattr(cr, "SEGMENT_ROWS", rows)
-    monkeypatch.setattr(cr, "SEGMENT_BYTES", nbytes)
-    rng = random.Random(rows + nbytes)
+@pytest.mark.parametrize("n_rows, n_chars", [(256, 1 << 20), (1, 1 << 20), (3, 1 << 20), (256, 20)])
+def test_repair_matches_search(spark, n_rows, n_chars):
+    rng = random.Random(n_rows + n_chars)
     table = [r for k in range(60) for r in made(rng, rng.randint(1, 9), k)] + made(rng, 7, None) + made(rng, 40, 1000)
     rng.shuffle(table)
-    assert collected(repair_damaged(frame(spark, table))) == brute(table)
+    assert collected(repair_damaged(frame(spark, table), n_rows, n_chars)) == brute(table)
 
 
 def test_chained_segments_equal_one_path():

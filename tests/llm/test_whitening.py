@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderlens.llm import whitening
@@ -100,13 +101,22 @@ def test_short_and_huge_vectors(spark):
     assert len(out) == 6 and all(r["deviation"] is None and int(r["deviation_digits"]) > 2**63 for r in out if r["vec_id"] < 3)
 
 
-def test_many_tasks_and_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(whitening, "ROWS", 7)
+def test_many_tasks(spark):
     rng = np.random.default_rng(4)
     rows = list(enumerate((rng.normal(size=(300, 40)) * np.geomspace(2, 0.1, 40)).tolist()))
     compare(whiten(frame(spark, rows).repartition(13)), rows)
 
 
+def test_blocks_cover_every_row_once(monkeypatch):
+    vectors = [[float(k), 1.5][:k % 3] for k in range(50)]
+    batch = pa.record_batch([pa.array(range(50)), pa.array(vectors, pa.list_(pa.float64()))], names=["id", "vector"])
+    whole = whitening.whole(batch.column(1), 2)
+    monkeypatch.setattr(whitening, "ROWS", 7)
+    parts = list(whitening.blocks(iter([batch.slice(0, 20), batch.slice(20)]), 2))
+    assert len(parts) == 3 + 5 and (np.concatenate([x for _, x in parts]) == whole).all()
+    assert whole.tolist() == [[100000 + 1024 * k if k % 3 else 100000, 101536 if k % 3 == 2 else 100000] for k in range(50)]
+
+
 def test_query_and_empty_tables(spark, tmp_dir):
     sf_dir = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
