@@ -1,26 +1,37 @@
 r"""Line deduplication by content-defined line chunks (DataFrame operations only).
 
 A text is cut at ``\n``.  Every line has a 28-bit hash; a rolling polynomial
-hash over the last ``WINDOW`` line hashes ends a chunk wherever it is divisible
-by ``DIVISOR`` (and at the last line).  A boundary depends on the lines just
-before it only, so lines inserted further up shift no later boundary.  Chunks
-of two and more lines that occur more than once in the whole corpus are
-removed, all but the occurrence with the smallest (id, text hash, position).
+hash runs over ``WINDOW`` adjacent line hashes, and its remainder by ``CLASSES``
+is the window's class.  A chunk is a longest run of neighbouring windows of one
+class, so it begins and ends where the class changes.  Whether a chunk is cut
+depends on its own lines and on the one window on either side, so lines
+inserted elsewhere shift no boundary.  Neighbouring chunks share ``WINDOW - 1``
+lines: every window of adjacent lines lies in exactly one chunk, so a repeated
+passage is found from its first line to its last, whatever stands around it,
+unless a window that crosses the passage's edge has by chance the class of the
+window inside (one in ``CLASSES`` an edge; a two-line passage has two edges).
+A long stretch of one repeated line is one chunk, as its windows are alike.
+
+Every chunk has at least ``WINDOW`` lines.  Of the chunks that occur more than once in the
+whole corpus, all but the occurrence with the smallest (id, text hash, position) are
+removed.  A removed line always stands in an earlier occurrence of its chunk, or in
+an earlier one still if that was removed with another chunk: no line is lost from the corpus.
 
 Steps: chunk digests without text are written once (one small row a chunk) and
 counted with partial aggregation; the chunks of repeated digests are fetched
 and compared byte by byte (smallest against largest text under each digest);
-confirmed occurrences are grouped per document and their lines dropped.  A hot
-chunk costs one partial row per task when counted, and its occurrences are
-split by AQE's skew join when the first occurrence is joined to them.
+confirmed occurrences are grouped per document and their lines dropped in one
+pass over the positions.  A hot chunk costs one partial row per task when counted, and
+its occurrences are split by AQE's skew join when the first occurrence is joined to them.
 
-Defined cases: a null text stays null and has no chunks; an empty text is one
-empty line; chunks without a non-blank character are never removed; digests
+Defined cases: a null text stays null and has no chunks; a text of fewer lines than
+``WINDOW``, the empty text among them, has no chunks; chunks without a non-blank
+character are never removed; digests
 shared by different bytes are not removed; repeated rows with one id and one
 text are one document, all of them changed alike; a null id sorts first; very
-long texts are cut as a whole (the cost of the removal is lines times removed chunks); an
-empty table gives no rows; further columns pass through unless they clash with
-the added ones, which win.
+long texts are cut as a whole, at a cost linear in their lines; an
+empty table gives no rows; further columns pass through, whatever their names, but for
+those called as the added ones (``ADDED``), which win.
 """
 
 from __future__ import annotations
@@ -34,7 +45,7 @@ from orderlens.plans.materialize import materialize
 WINDOW = 2
 BASE = 1_000_003
 MODULUS = 2_147_483_647
-DIVISOR = 3
+CLASSES = 64
 ADDED = ("n_lines", "n_chunks", "removed_chunks", "removed_lines")
 
 
@@ -42,42 +53,55 @@ def _line_hash(line):
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("bigint")
 
 
-def _with_chunks(rows: DataFrame, window: int, divisor: int) -> DataFrame:
-    """Adds lines (array) and chunks (array of start, n)."""
+def _with_chunks(rows: DataFrame, text: str, p: str, window: int, classes: int) -> DataFrame:
+    """Adds the columns ``p`` + lines (array) and ``p`` + chunks (array of start, end)."""
     # arrays are combined by position with shifted copies of themselves: a lambda
     # that refers to a whole array would have it evaluated anew for every element
-    rows = rows.withColumn("_lines", F.split("_text", "\n", -1))
-    rows = rows.withColumn("_h", F.transform("_lines", _line_hash))
-    rolled = F.col("_h")
-    for back in range(1, window):
+    lines, h, cls, starts = (p + name for name in ("lines", "h", "class", "starts"))
+    rows = rows.withColumn(lines, F.split(text, "\n", -1))
+    rows = rows.withColumn(h, F.transform(lines, _line_hash))
+    rolled = F.col(h)
+    for ahead in range(1, window):
         # every factor is below 2**31, so products stay within 63 bits
-        power = pow(BASE, back, MODULUS)
-        before = F.concat(F.array_repeat(F.lit(0).cast("bigint"), back), F.col("_h"))
-        rolled = F.zip_with(rolled, F.slice(before, F.lit(1), F.size("_h")),
-                            lambda x, p: (x + p * F.lit(power)) % F.lit(MODULUS))
-    marks = F.transform(rolled, lambda r, i: F.when(r % divisor == 0, i).otherwise(F.lit(-1)))
-    rows = rows.withColumn("_ends", F.array_union(
-        F.filter(marks, lambda e: e >= 0), F.array(F.size("_lines") - 1)))
-    starts = F.concat(F.array(F.lit(0)), F.transform("_ends", lambda e: e + 1))
-    return rows.withColumn("_chunks", F.zip_with(
-        F.slice(starts, F.lit(1), F.size("_ends")), "_ends",
-        lambda start, end: F.struct(start.alias("start"), end.alias("end"))))
-
-
-def _chunk_text(start, end):
-    return F.array_join(F.slice(F.col("_lines"), start + 1, end - start + 1), "\n")
+        power = pow(BASE, ahead, MODULUS)
+        rolled = F.zip_with(rolled, F.slice(h, F.lit(ahead + 1), F.size(h)),
+                            lambda x, y: (x + y * F.lit(power)) % F.lit(MODULUS))
+    windows = F.greatest(F.size(h) - (window - 1), F.lit(0))
+    rows = rows.withColumn(cls, F.transform(F.slice(rolled, F.lit(1), windows), lambda r: r % classes))
+    before = F.slice(F.concat(F.array(F.lit(-1).cast("bigint")), F.col(cls)), F.lit(1), F.size(cls))
+    changes = F.zip_with(cls, before, lambda c, b: c != b)
+    rows = rows.withColumn(starts, F.filter(
+        F.transform(changes, lambda new, i: F.when(new, i).otherwise(F.lit(-1))), lambda s: s >= 0))
+    # the next chunk's first window follows this one's last, which reaches window - 1 lines further
+    ends = F.when(F.size(starts) > 0, F.concat(
+        F.transform(F.slice(starts, F.lit(2), F.size(starts)), lambda s: s + (window - 2)),
+        F.array(F.size(lines) - 1))).otherwise(F.array().cast("array<int>"))
+    return rows.withColumn(p + "chunks", F.zip_with(
+        starts, ends, lambda start, end: F.struct(start.alias("start"), end.alias("end"))))
+
+
+def _chunk_text(lines, start, end):
+    return F.array_join(F.slice(F.col(lines), start + 1, end - start + 1), "\n")
+
+
+def _dropped_runs(cut):
+    """For each removed chunk (sorted by position), the lines kept since the one before
+    it and its own lines that the one before it has not dropped already."""
+    last = F.concat(F.array(F.lit(-1)), F.transform(cut, lambda c: c["end"]))
+    return F.zip_with(cut, F.slice(last, F.lit(1), F.size(cut)), lambda c, b: F.struct(
+        F.greatest(c["start"] - b - 1, F.lit(0)).alias("keep"),
+        (c["end"] - F.greatest(c["start"] - 1, b)).alias("drop")))
 
 
 def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = 2) -> DataFrame:
-    """``docs`` with repeated multi-line chunks removed from the text, and the
+                         window: int = WINDOW, classes: int = CLASSES) -> DataFrame:
+    """``docs`` with repeated chunks of ``window`` and more lines removed from the text, and the
     counts in ``ADDED``."""
     key = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
     key = key.withColumn("_row", F.xxhash64("_text"))
-    chunks = (_with_chunks(key, window, divisor)
+    chunks = (_with_chunks(key, "_text", "_", window, classes)
               .select("_id", "_row", "_lines", F.explode("_chunks").alias("c"))
-              .where(F.col("c.end") - F.col("c.start") + 1 >= min_lines)
-              .withColumn("_chunk", _chunk_text(F.col("c.start"), F.col("c.end")))
+              .withColumn("_chunk", _chunk_text("_lines", F.col("c.start"), F.col("c.end")))
               .where(F.col("_chunk").rlike(r"\S"))
               .select("_id", "_row", F.col("c.start").alias("start"), F.col("c.end").alias("end"),
                       F.unhex(F.md5(F.col("_chunk").cast("binary"))).alias("digest")))
@@ -96,26 +120,36 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
                         F.col("_id").eqNullSafe(F.col("_fid")) & (F.col("_row") == F.col("_frow")))
                .withColumn("_lines", F.split("_text", "\n", -1))
                .select("_lines", F.explode("parts").alias("p"))
-               .select(F.col("p.digest").alias("digest"), _chunk_text(F.col("p.start"), F.col("p.end")).alias("chunk")))
+               .select(F.col("p.digest").alias("digest"),
+                       _chunk_text("_lines", F.col("p.start"), F.col("p.end")).alias("chunk")))
     alike = materialize(fetched.groupBy("digest").agg(F.min("chunk").alias("a"), F.max("chunk").alias("b"))
                         .where("a = b").select("digest"), "line_alike")
-    cut = (found.where(~F.col("stays")).join(alike, "digest")
-           .groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "end")).alias("_cut"))
-           .select(F.col("_id").alias("_cid"), F.col("_row").alias("_crow"), "_cut"))
-    rest = [c for c in docs.columns if c not in ADDED]
-    whole = docs.select(*rest).withColumns({"_id": F.col(id_col), "_text": F.col(text_col)})
-    whole = whole.withColumn("_row", F.xxhash64("_text"))
-    whole = whole.join(cut, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_row") == F.col("_crow")), "left")
-    out = _with_chunks(whole, window, divisor)
-    out = out.withColumn("_dropped", F.coalesce("_cut", F.array().cast("array<struct<start:int,end:int>>")))
-    kept = F.filter("_lines", lambda line, i: ~F.exists("_dropped", lambda c: (i >= c["start"]) & (i <= c["end"])))
+    rest = [c for c in docs.columns if c.lower() not in ADDED]
+    p = "_"  # a prefix that no column of the caller's begins with
+    while any(c.lower().startswith(p) for c in rest):
+        p += "_"
+    cut, kept = p + "cut", p + "kept"
+    # written, so that the rows of one (id, text) may be split by AQE where they are joined to it
+    cuts = materialize(found.where(~F.col("stays")).join(alike, "digest")
+                       .groupBy("_id", "_row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cut"))
+                       .select(F.col("_id").alias(p + "cid"), F.col("_row").alias(p + "crow"), F.col("cut").alias(cut)),
+                       "line_cuts")
+    whole = docs.select(*rest).withColumn(p + "row", F.xxhash64(text_col))
+    whole = whole.join(cuts, F.col(id_col).eqNullSafe(F.col(p + "cid")) & (F.col(p + "row") == F.col(p + "crow")), "left")
+    out = _with_chunks(whole, text_col, p, window, classes)
+    runs, lines = p + "runs", p + "lines"
+    out = out.withColumn(runs, _dropped_runs(F.col(cut)))
+    flags = F.flatten(F.transform(runs, lambda r: F.concat(
+        F.array_repeat(F.lit(False), r["keep"]), F.array_repeat(F.lit(True), r["drop"]))))
+    # beyond the last removed chunk the flags are null; array_join leaves the nulled lines out
+    out = out.withColumn(kept, F.zip_with(lines, flags, lambda line, gone: F.when(~F.coalesce(gone, F.lit(False)), line)))
     return out.withColumns({
-        text_col: F.when(F.size("_dropped") == 0, F.col("_text")).otherwise(F.array_join(kept, "\n")),
-        "n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
-        "n_chunks": F.coalesce(F.size("_chunks"), F.lit(0)).cast("long"),
-        "removed_chunks": F.size("_dropped").cast("long"),
-        "removed_lines": F.aggregate("_dropped", F.lit(0).cast("bigint"),
-                                     lambda a, c: a + (c["end"] - c["start"] + 1).cast("bigint"))}).select(*rest, *ADDED)
+        text_col: F.when(F.col(cut).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")),
+        "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
+        "n_chunks": F.coalesce(F.size(p + "chunks"), F.lit(0)).cast("long"),
+        "removed_chunks": F.coalesce(F.size(cut), F.lit(0)).cast("long"),
+        "removed_lines": F.coalesce(F.aggregate(runs, F.lit(0).cast("bigint"), lambda a, r: a + r["drop"].cast("bigint")),
+                                    F.lit(0).cast("bigint"))}).select(*rest, *ADDED)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,33 +160,37 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = f"""
 WITH lines AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
-         unnest(range(len(string_split(text, chr(10))))) AS i, len(string_split(text, chr(10))) AS n
+         unnest(range(len(string_split(text, chr(10))))) AS i
   FROM documents WHERE text IS NOT NULL),
 hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM lines),
-rolled AS (
-  SELECT *, (h + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * {pow(BASE, 1, MODULUS)}) % {MODULUS} AS r
+paired AS (
+  SELECT *, lead(h) OVER (PARTITION BY doc_id ORDER BY i) AS h2, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS line2
   FROM hashed),
-cuts AS (SELECT *, r % {DIVISOR} = 0 OR i = n - 1 AS ends FROM rolled),
+windows AS (
+  SELECT *, (h + h2 * {pow(BASE, 1, MODULUS)}) % {MODULUS} % {CLASSES} AS class FROM paired WHERE h2 IS NOT NULL),
+changes AS (
+  SELECT *, class IS DISTINCT FROM lag(class) OVER (PARTITION BY doc_id ORDER BY i) AS begins FROM windows),
 numbered AS (
-  SELECT *, coalesce(sum(CASE WHEN ends THEN 1 ELSE 0 END) OVER (
-    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
-  FROM cuts),
+  SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k
+  FROM changes),
 chunks AS (
-  SELECT doc_id, k, min(i) AS s, count(*) AS len, string_agg(line, chr(10) ORDER BY i) AS chunk
+  SELECT doc_id, k, min(i) AS s, max(i) + 1 AS e,
+         string_agg(line, chr(10) ORDER BY i) || chr(10) || arg_max(line2, i) AS chunk
   FROM numbered GROUP BY doc_id, k),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, s) AS occurrence
-  FROM chunks WHERE len >= 2 AND regexp_matches(chunk, '[^\\t\\n\\x0B\\f\\r ]')),
-marked AS (
-  SELECT c.doc_id, c.k, c.s, c.len, c.chunk, coalesce(r.occurrence > 1, false) AS gone
-  FROM chunks c LEFT JOIN ranked r ON c.doc_id = r.doc_id AND c.k = r.k),
+  FROM chunks WHERE regexp_matches(chunk, '[^\\t\\n\\x0B\\f\\r ]')),
+gone AS (SELECT doc_id, s, e FROM ranked WHERE occurrence > 1),
+gone_lines AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS i FROM gone),
 rebuilt AS (
-  SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY s) FILTER (WHERE NOT gone), '') AS text,
-         CAST(sum(len) AS BIGINT) AS n_lines, count(*) AS n_chunks,
-         CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS removed_chunks,
-         CAST(sum(CASE WHEN gone THEN len ELSE 0 END) AS BIGINT) AS removed_lines
-  FROM marked GROUP BY doc_id)
-SELECT d.doc_id, r.text, coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n_chunks, 0) AS n_chunks,
-       coalesce(r.removed_chunks, 0) AS removed_chunks, coalesce(r.removed_lines, 0) AS removed_lines
-FROM documents d LEFT JOIN rebuilt r ON d.doc_id = r.doc_id
+  SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') AS text,
+         count(*) AS n_lines, count(g.i) AS removed_lines
+  FROM lines l LEFT JOIN gone_lines g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id),
+cut AS (SELECT doc_id, count(*) AS n_chunks FROM chunks GROUP BY doc_id),
+dropped AS (SELECT doc_id, count(*) AS removed_chunks FROM gone GROUP BY doc_id)
+SELECT d.doc_id, r.text, coalesce(r.n_lines, 0) AS n_lines, coalesce(c.n_chunks, 0) AS n_chunks,
+       coalesce(g.removed_chunks, 0) AS removed_chunks, coalesce(r.removed_lines, 0) AS removed_lines
+FROM documents d LEFT JOIN rebuilt r ON d.doc_id = r.doc_id LEFT JOIN cut c ON d.doc_id = c.doc_id
+LEFT JOIN dropped g ON d.doc_id = g.doc_id
 """
