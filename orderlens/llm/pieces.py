@@ -27,7 +27,8 @@ probability 1; ``▁`` in a text is taken as a space, by ``round_trip`` too, and
 decodes to one; a text with fewer than ``k`` segmentations yields all of them,
 with inclusion score 0; equal keys give equal draws; a null key is a key of its
 own; a very long text comes alone in its batch and is read whole (a long stretch
-without a space is one unit, solved level by level, and slow); an empty table
+without a space is one unit, summed and walked position by
+position in time linear in its length); an empty table
 gives no rows; further columns are ignored.
 """
 
@@ -54,6 +55,10 @@ SAMPLES = 2
 ALPHA = 0.5
 SEED = 17
 BATCH_CHARS = 3 << 19
+LONG_UNIT = 512  # longer units are summed position by position
+BLOCK = 1 << 16  # positions of a long unit at a time
+FEW = 4  # so few draws that go on are walked one by one
+MASK = (1 << 64) - 1
 DENSE = 3  # prefixes shorter than this are looked up in a dense table
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -177,6 +182,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _salt(step: int) -> int:
+    return (step * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & MASK
+
+
 class Lattice:
     """Edges and exact backward sums of many distinct units, laid end to end."""
 
@@ -213,25 +222,54 @@ class Lattice:
         pieces.append(np.full(len(alone), -1, dtype=np.int32))
         scores.append(vocab.byte_score * width)
         # longest first: the first edge of a position is mostly the one drawn
-        start = np.concatenate(starts[::-1])
-        order = np.argsort(start, kind="stable").astype(np.int32)
-        start = start[order]
-        self.piece = np.concatenate(pieces[::-1])[order]
-        self.target = start + np.concatenate(sizes[::-1])[order]
-        score = np.concatenate(scores[::-1])[order]
-        del starts, sizes, pieces, scores, order, at, state
-        self.first = np.searchsorted(start, np.arange(len(codes) + 1))
+        # (a position has one edge of each size: each is put straight into its place)
+        counts = np.zeros(len(codes), dtype=np.int64)
+        for at in starts:
+            counts[at] += 1
+        self.first = np.r_[0, np.cumsum(counts)]
+        free, total = self.first[:-1].copy(), int(self.first[-1])
+        start, self.target = np.empty(total, dtype=np.int32), np.empty(total, dtype=np.int32)
+        self.piece, score = np.empty(total, dtype=np.int32), np.empty(total)
+        while starts:
+            at = starts.pop()
+            place = free[at]
+            free[at] += 1
+            start[place], self.target[place] = at, at + sizes.pop()
+            self.piece[place], score[place] = pieces.pop(), scores.pop()
+        del free, counts, at, state
         self.last_piece = self.target == self.end[start]
-        self._sums(start, score)
-
-    def _sums(self, start: np.ndarray, score: np.ndarray) -> None:
+        self._sums(start, score, np.flatnonzero(lengths > LONG_UNIT))
+
+    def _long_sums(self, unit: int, score: np.ndarray, beta: np.ndarray) -> None:
+        """The sums of one long unit, position by position from its end, in blocks."""
+        start = int(self.start_of[unit])
+        end = int(self.end[start])
+        sums = [0.0] * (end - start + 1)
+        for high in range(end, start, -BLOCK):
+            low = max(start, high - BLOCK)
+            a, b = int(self.first[low]), int(self.first[high])
+            scores, targets = score[a:b].tolist(), (self.target[a:b] - start).tolist()
+            first = (self.first[low:high + 1] - a).tolist()
+            for at in range(high - low - 1, -1, -1):
+                values = [scores[k] + sums[targets[k]] for k in range(first[at], first[at + 1])]
+                top = max(values)
+                sums[low - start + at] = top + math.log(sum([math.exp(v - top) for v in values]))
+        beta[start:end] = sums[:-1]
+
+    def _sums(self, start: np.ndarray, score: np.ndarray, long: np.ndarray) -> None:
         beta = np.zeros(len(self.codes) + 1)  # log sum of the paths from a position to its unit's end
         away = self.end[start] - start
+        for unit in long:  # else a step of the loop below would hold a few edges of it only
+            self._long_sums(int(unit), score, beta)
+            a = int(self.start_of[unit])
+            away[self.first[a]:self.first[self.end[a]]] = 0  # their sums are known
         order = np.argsort(away.astype(np.uint16) if len(away) and away.max() < 1 << 16 else away, kind="stable").astype(np.int32)
         away, by = away[order], start[order]
         fresh = np.r_[True, by[1:] != by[:-1]] if len(by) else np.zeros(0, dtype=bool)
         cuts = np.flatnonzero(np.r_[True, away[1:] != away[:-1]]) if len(by) else np.zeros(0, dtype=np.int64)
         for a, b in zip(cuts, np.r_[cuts[1:], len(by)]):
+            if not away[a]:
+                continue
             edges = order[a:b]
             value = score[edges] + np.where(self.last_piece[edges], 0.0, beta[self.target[edges]])
             heads = np.flatnonzero(fresh[a:b])
@@ -255,8 +293,8 @@ class Lattice:
         alive = np.arange(len(of))
         steps: list[tuple[np.ndarray, np.ndarray]] = []
         count = np.zeros(len(of), dtype=np.int64)
-        while len(alive):
-            salt = np.uint64((len(steps) * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
+        while len(alive) > FEW:
+            salt = np.uint64(_salt(len(steps)))
             u = (_mix(key[alive] + salt) >> np.uint64(11)) * (1.0 / (1 << 53))
             edge, last = self.first[at], self.first[at + 1] - 1
             todo = np.flatnonzero((self.reach[edge] <= u) & (edge < last))
@@ -268,12 +306,36 @@ class Lattice:
             count[alive] += 1
             more = ~self.last_piece[edge]
             at, alive = self.target[edge[more]], alive[more]
+        # the few that go on are walked one by one, to the same edges
+        rest = {int(row): self._walk_on(int(a), int(key[row]), len(steps)) for row, a in zip(alive, at)}
+        for row, edges in rest.items():
+            count[row] += len(edges)
         offset = np.r_[0, np.cumsum(count)]
         path = np.empty(offset[-1], dtype=np.int64)
+        for row, edges in rest.items():
+            path[offset[row + 1] - len(edges):offset[row + 1]] = edges
         for t, (rows, edge) in enumerate(steps):
             path[offset[rows] + t] = edge
         return path, offset
 
+    def _walk_on(self, at: int, key: int, step: int) -> list[int]:
+        """One occurrence's draw from a position to its unit's end, as ``walk`` makes it."""
+        first, reach, target, last_piece = self.first, self.reach, self.target, self.last_piece
+        path = []
+        while True:
+            x = (key + _salt(step)) & MASK
+            x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & MASK
+            x = ((x ^ x >> 27) * 0x94D049BB133111EB) & MASK
+            u = ((x ^ x >> 31) >> 11) * (1.0 / (1 << 53))
+            edge, last = int(first[at]), int(first[at + 1]) - 1
+            while edge < last and reach[edge] <= u:
+                edge += 1
+            path.append(edge)
+            if last_piece[edge]:
+                return path
+            at = int(target[edge])
+            step += 1
+
     def finish(self, at: int, rng: random.Random) -> list[int]:
         """A free draw from a position to the end of its unit."""
         path = []

@@ -1,4 +1,6 @@
 import math
+import random
+import time
 from collections import Counter
 
 import pytest
@@ -96,3 +98,25 @@ def test_space_sign_is_documented_as_a_space(spark):
 def test_empty_table(spark):
     assert sp.encode_samples(empty(spark)).count() == 0
     assert sp.encode_samples(documents(spark, [(1, "▁ literal", None)])).first()["round_trip"]
+
+
+def test_long_unspaced_units_equal_short_ones_method_and_take_linear_time(vocab):
+    """One unit beyond LONG_UNIT: the same draws as by levels, and half a million characters in seconds."""
+    rng = random.Random(3)
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzé漢", k=500_000))
+    texts = [letters[:3_000], letters[:700] + " x", "a b c", "x" * 2_000]
+    kept = sp.LONG_UNIT, sp.FEW, sp.BLOCK
+    try:
+        runs = []
+        for sp.LONG_UNIT, sp.FEW, sp.BLOCK in ((100, 4, 64), (512, 4, 1 << 16), (1 << 30, 0, 1 << 16)):
+            runs.append([(row, sample, list(map(int, ids)), *numbers)
+                         for row, sample, ids, *numbers in sp.sample_batch([1, 2, 3, 4], texts, vocab, 2)])
+    finally:
+        sp.LONG_UNIT, sp.FEW, sp.BLOCK = kept
+    for run in runs[:2]:
+        assert [r[:3] for r in run] == [r[:3] for r in runs[2]]
+        assert all(math.isclose(x, y, abs_tol=1e-6) for a, b in zip(run, runs[2]) for x, y in zip(a[3:], b[3:]))
+    started = time.process_time()
+    (_, _, ids, *_), (_, _, other, *_) = sp.sample_batch([1], [letters], vocab, 2)
+    assert time.process_time() - started < 20
+    assert vocab.decode(ids) == vocab.decode(other) == letters and list(ids) != list(other)
