@@ -380,6 +380,11 @@ def _log1mexp(x: float) -> float:
     return math.log(-math.expm1(x)) if x > -0.693 else math.log1p(-math.exp(x))
 
 
+def _log_inclusion(x: float) -> float:
+    """log(1 - exp(-exp(x))), which is x to double precision where exp(x) is tiny (and may underflow)."""
+    return x if x < -40 else _log1mexp(-math.exp(min(x, 700.0)))
+
+
 def top_samples(lattice: Lattice, free: list[tuple[np.ndarray, np.ndarray]], rng: random.Random) -> list[tuple]:
     """(edges, log p, perturbed, log inclusion) of at most len(free) distinct
     paths; ``free``: independent draws (edges, unit offsets) of the whole text."""
@@ -448,7 +453,7 @@ def top_samples(lattice: Lattice, free: list[tuple[np.ndarray, np.ndarray]], rng
     out = []
     for path, key in found:
         log_p = path.before(len(path.edges))
-        log_inclusion = _log1mexp(-math.exp(min(log_p - kappa, 700.0))) if kappa > -math.inf else 0.0
+        log_inclusion = _log_inclusion(log_p - kappa) if kappa > -math.inf else 0.0
         out.append((path.edges, log_p, key, log_inclusion))
     return out
 

@@ -120,3 +120,13 @@ def test_long_unspaced_units_equal_short_ones_method_and_take_linear_time(vocab)
     (_, _, ids, *_), (_, _, other, *_) = sp.sample_batch([1], [letters], vocab, 2)
     assert time.process_time() - started < 20
     assert vocab.decode(ids) == vocab.decode(other) == letters and list(ids) != list(other)
+
+
+def test_inclusion_scores_of_long_texts_are_finite(vocab):
+    """A long text's segmentations have probabilities below the smallest double."""
+    assert sp._log_inclusion(-2000.0) == -2000.0
+    assert all(math.isclose(sp._log_inclusion(x), math.log(-math.expm1(-math.exp(x))), rel_tol=1e-12)
+               for x in (-60.0, -40.5, -39.5, -20.0, -1.0, 0.5))
+    found = list(sp.sample_batch([1], ["some words of a longer text " * 400], vocab, 3))
+    assert len(found) == 3 and min(f[3] for f in found) < -800
+    assert all(math.isfinite(f[5]) and f[5] <= 0 for f in found)
