@@ -9,10 +9,12 @@ expression for each; functions compose, so
 1. ``files_with_line_ends`` names the files in which a line that begins outside
    ends inside: one scan of the text, one row a file.  Other files go to the
    split reader as they are;
-2. ``records`` composes the functions of a file's lines: within each split for
-   both possible beginnings (a window over one split, which
-   ``spark.sql.files.maxPartitionBytes`` bounds), then over the splits of a file
-   (a row a split), and joins the state each split begins in back to its lines.
+2. ``records`` composes the functions of a file's lines: those of ``CHUNK`` lines
+   at a time, gathered as the bits of two numbers, for both possible beginnings,
+   then over the chunks of a split and over the splits of a file, and joins the
+   states each chunk's lines begin in back to them.  Windows and aggregates hold
+   a row a chunk, never text, and the text is not sorted: the join builds its
+   hash table from the chunks.
 
 Lines that are whole records pass as they are; only the lines of a record that
 has line ends are grouped.  A quote that is never closed makes no record of the
@@ -37,6 +39,8 @@ _OPEN = rf'"{_REST}\z'
 OPENS = rf"\A{_CELLS}{_OPEN}"
 STAYS_INSIDE = rf'\A{_REST}(?:\z|"[^,]*+,{_CELLS}{_OPEN})'
 
+CHUNK = 64  # lines whose states are the bits of one bigint
+
 
 def _matches(line: Column, pattern: str) -> Column:
     return F.coalesce(line.rlike(pattern), F.lit(False))
@@ -72,46 +76,86 @@ def _state_after(outside: Column, inside: Column, window) -> tuple[Column, Colum
     return swaps, fixed, F.array(*(F.coalesce(after, turned(F.lit(begun), F.col("swaps"))) for begun in (False, True)))
 
 
-def records(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
-    """The records of CSV files as text: file, record; without each file's first one if that is a header."""
-    inside = F.col("value").contains('"')
-    lines = _lines(spark, path).withColumns({"outside": inside & _matches(F.col("value"), OPENS),
-                                             "inside": ~inside | _matches(F.col("value"), STAYS_INSIDE)})
-    split = Window.partitionBy("file", "block").orderBy("id")
-    swaps, fixed, after = _state_after(F.col("outside"), F.col("inside"), split)
-    # two values everywhere: for a split that begins outside and one that begins inside a quoted cell
-    state = lines.withColumn("swaps", swaps).withColumn("fixed", fixed).withColumn("after", after)
-    before = [F.coalesce(F.lag("after").over(split)[k], F.lit(bool(k))) for k in (0, 1)]
-    lead = [F.last(F.when(~F.col("before")[k], F.col("id")), ignorenulls=True).over(split) for k in (0, 1)]
-    state = state.withColumn("before", F.array(*before)).withColumn("lead", F.array(*lead))
-    state = materialize(state.select("file", "block", "id", "value", "before", "after", "lead"), "csv_lines")
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+
+def _through(begun: bool) -> Column:
+    """Through a chunk that begins inside or outside: inside (its end is), before (bits of the lines that begin inside)."""
+    def line(s: Column, k: Column) -> Column:
+        return F.struct(F.when(s["inside"], F.getbit("closes", k) == 0).otherwise(F.getbit("opens", k) == 1).alias("inside"),
+                        s["before"].bitwiseOR(F.when(s["inside"], _bit(k)).otherwise(F.lit(0).cast("bigint"))).alias("before"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(CHUNK - 1)),
+                       F.struct(F.lit(begun).alias("inside"), F.lit(0).cast("bigint").alias("before")), line)
+
 
+def _starts(before: Column, among: Column | None = None) -> Column:
+    """How many lines of a chunk, or among some bits of it, begin a record."""
+    begins = F.col("lines").bitwiseAND(F.bitwise_not(before))
+    return F.bit_count(begins if among is None else begins.bitwiseAND(among)).cast("bigint")
+
+
+def _chunk_states(lines: DataFrame) -> DataFrame:
+    """A row a chunk of lines: file, block, chunk, lines and before (bits), number (of the records of the file that begin
+    above the chunk), and of the file: unclosed (number of the record never closed), top, top_number (its first line)."""
+    gather = lambda flag: F.bit_or(F.when(flag, _bit(F.col("place"))).otherwise(F.lit(0).cast("bigint")))
     blank = F.length(F.trim("value")) == 0
-    blocks = state.groupBy("file", "block").agg(
-        F.max_by(F.struct("after", "lead"), "id").alias("end"),
-        F.min(F.when(~blank & (F.col("block") == 0), F.col("id"))).alias("top"))
+    chunks = lines.groupBy("file", "block", "chunk").agg(
+        gather(F.lit(True)).alias("lines"), gather(F.col("opens")).alias("opens"), gather(F.col("closes")).alias("closes"),
+        F.min("id").alias("first"), F.min(F.when(~blank & (F.col("block") == 0), F.col("id"))).alias("top"))
+    split = Window.partitionBy("file", "block").orderBy("chunk")
+    chunks = chunks.withColumn("outside", _through(False)).withColumn("inside", _through(True))
+    swaps, fixed, after = _state_after(F.col("outside.inside"), F.col("inside.inside"), split)
+    chunks = chunks.withColumn("swaps", swaps).withColumn("fixed", fixed).withColumn("after", after)
+    # two values everywhere: for a split that begins outside and one that begins inside a quoted cell
+    begun = [F.coalesce(F.lag("after").over(split)[k], F.lit(bool(k))) for k in (0, 1)]
+    states = F.array(*(F.when(b, F.col("inside.before")).otherwise(F.col("outside.before")) for b in begun))
+    chunks = materialize(chunks.select("file", "block", "chunk", "lines", "first", "top", "after", states.alias("states")), "csv_chunks")
+
+    blocks = chunks.groupBy("file", "block").agg(
+        F.max_by(F.col("after")[0], "chunk").alias("outside"), F.max_by(F.col("after")[1], "chunk").alias("inside"),
+        F.sum(_starts(F.col("states")[0])).alias("started_outside"), F.sum(_starts(F.col("states")[1])).alias("started_inside"),
+        F.min("first").alias("first"), F.min("top").alias("top"))
     in_file = Window.partitionBy("file").orderBy("block")
-    whole = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    swaps, fixed, after = _state_after(F.col("end.after")[0], F.col("end.after")[1], in_file)
+    whole = in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    above = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    swaps, fixed, after = _state_after(F.col("outside"), F.col("inside"), in_file)
     blocks = (blocks.withColumn("swaps", swaps).withColumn("fixed", fixed).withColumn("after", after[0])
               .withColumn("begun", F.coalesce(F.lag("after").over(in_file), F.lit(False)))
-              .withColumn("last", F.col("end.lead")[F.col("begun").cast("int")]))
-    so_far = in_file.rowsBetween(Window.unboundedPreceding, -1)
+              .withColumn("started", F.when(F.col("begun"), F.col("started_inside")).otherwise(F.col("started_outside"))))
     blocks = blocks.select(
-        "file", "block", "begun", F.last("last", ignorenulls=True).over(so_far).alias("carried"),
-        F.when(F.last("after").over(whole), F.last("last", ignorenulls=True).over(whole)).alias("unclosed"),
-        F.first("top", ignorenulls=True).over(whole).alias("top"))
-
-    at = F.col("begun").cast("int")
-    joined = state.join(materialize(blocks, "csv_splits"), ["file", "block"]).select(
-        "file", "id", "value", "top", F.col("before")[at].alias("before"), F.col("after")[at].alias("after"),
-        F.coalesce(F.col("lead")[at], F.col("carried")).alias("key"), "unclosed")
+        "file", "block", "begun", F.coalesce(F.sum("started").over(above), F.lit(0)).alias("above"),
+        F.when(F.last("after").over(whole), F.sum("started").over(whole)).alias("unclosed"),
+        F.first("top", ignorenulls=True).over(whole).alias("top"),
+        # the lines above it are blank, so each is a record of its own
+        F.first(F.col("top") - F.col("first") + 1, ignorenulls=True).over(whole).alias("top_number"))
+
+    chunks = chunks.drop("top").join(blocks, ["file", "block"]).withColumn("before", F.col("states")[F.col("begun").cast("int")])
+    return chunks.select("file", "block", "chunk", "lines", "before", "unclosed", "top", "top_number", (F.col("above") + F.coalesce(
+        F.sum(_starts(F.col("before"))).over(split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("number"))
+
+
+def records(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
+    """The records of CSV files as text: file, record; without each file's first one if that is a header."""
+    quote = F.col("value").contains('"')
+    lines = _lines(spark, path).withColumns({"opens": quote & _matches(F.col("value"), OPENS),
+                                             "closes": quote & ~_matches(F.col("value"), STAYS_INSIDE)})
+    lines = materialize(lines, "csv_lines").withColumns({"chunk": F.shiftright("id", CHUNK.bit_length() - 1),
+                                                         "place": F.pmod("id", F.lit(CHUNK)).cast("int")})
+    chunks = materialize(_chunk_states(lines), "csv_states")
+    joined = lines.join(chunks.hint("shuffle_hash"), ["file", "block", "chunk"])
+    upto = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), CHUNK - 1 - F.col("place"))
+    joined = joined.select(
+        "file", "block", "id", "value", "top", "top_number", "unclosed", "opens",
+        (F.getbit("before", "place") == 1).alias("before"), (F.col("number") + _starts(F.col("before"), upto)).alias("key"))
     loose = F.col("key").eqNullSafe(F.col("unclosed"))
     if header:
-        joined = joined.where(~F.when(loose, F.col("id")).otherwise(F.col("key")).eqNullSafe(F.col("top")))
-    single = loose | ~(F.col("before") | F.col("after"))
-    alone = joined.where(single & ~blank).select("file", F.col("value").alias("record"))
-    parts = F.array_sort(F.collect_list(F.struct("id", "value")))
+        joined = joined.where(~F.when(loose, F.col("id").eqNullSafe(F.col("top"))).otherwise(
+            F.col("key").eqNullSafe(F.col("top_number"))))
+    single = loose | ~F.when(F.col("before"), F.lit(True)).otherwise(F.col("opens"))
+    alone = joined.where(single & (F.length(F.trim("value")) > 0)).select("file", F.col("value").alias("record"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "id", "value")))
     several = joined.where(~single).groupBy("file", "key").agg(parts.alias("parts"))
     several = several.select("file", F.array_join(F.col("parts.value"), "\n").alias("record"))
     return alone.unionByName(several).withColumn("record", F.regexp_replace("record", r"\r\z", ""))

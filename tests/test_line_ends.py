@@ -127,3 +127,36 @@ def test_staging_table_and_stream_keep_line_ends(spark, tmp_dir):
     start_ingest(spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", f"{tmp_dir}/ck").awaitTermination(120)
     got = spark.read.parquet(f"{tmp_dir}/out")
     assert got.count() == 4 and got.where("order_id = '1'").first().instructions == "one\ntwo"
+
+
+@pytest.mark.parametrize("size", ["9000b", "128m"])
+def test_text_is_neither_windowed_nor_sorted(spark, tmp_dir, monkeypatch, size):
+    """Windows see a row for 64 lines, and records over the bounds of chunks and splits are those of the whole-file reader."""
+    from orderlens.sources import csv_records
+    rng = random.Random(7)
+    for k in range(3):
+        put(f"{tmp_dir}/c/{k}.csv", [tuple(rng.choices([*CELLS, "\n" * rng.randint(50, 200)], weights=[9] * len(CELLS) + [1], k=3))
+                                     for _ in range(700)], header="\n" * (70 * k) + "a,b,c")
+    written = {}
+
+    def keep(df, name):
+        written[name] = df._jdf.queryExecution().optimizedPlan().toString(), (copy := materialize(df, name))
+        return copy
+
+    materialize = csv_records.materialize
+    monkeypatch.setattr(csv_records, "materialize", keep)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        found = records(spark, f"{tmp_dir}/c", header=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = rows_of(csvio.read_csv(spark, f"{tmp_dir}/c", schema()))
+        lines = written["csv_lines"][1]
+        assert "Window" not in written["csv_lines"][0] and "Sort" not in plan.replace("SortAggregate", "")
+        assert all("value" not in copy.columns for name, (_, copy) in written.items() if name != "csv_lines")
+        files = lines.select("file", "block").distinct().count()
+        assert max(copy.count() for name, (_, copy) in written.items() if name != "csv_lines") <= lines.count() / 64 + 2 * files
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    whole = csvio.read_csv(spark, f"{tmp_dir}/c", schema(), multiline=True)
+    assert got == rows_of(whole) and len(got) > 2000
