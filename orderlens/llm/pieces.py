@@ -57,6 +57,7 @@ SEED = 17
 BATCH_CHARS = 3 << 19
 LONG_UNIT = 512  # longer units are summed position by position
 BLOCK = 1 << 16  # positions of a long unit at a time
+PART = 1 << 16  # positions of units that are built at a time
 FEW = 4  # so few draws that go on are walked one by one
 MASK = (1 << 64) - 1
 DENSE = 3  # prefixes shorter than this are looked up in a dense table
@@ -105,6 +106,9 @@ class Vocabulary:
             score_of[state] = -alpha * math.log1p(min(max(-model.get_score(i), 0.0), n))
         self._number(child, piece_of, score_of, n, alpha)
         self.control = {i for i in range(n) if model.is_control(i)}
+        # what each piece stands for in a decoded text, in UTF-8
+        self.spelt = np.array([bytes([self.bytes_of[i]]) if i in self.bytes_of else b"" if i in self.control else
+                               piece.replace(SPACE, " ").encode() for i, piece in enumerate(self.pieces)], dtype=object)
 
     def _number(self, child: dict[int, int], piece_of: list, score_of: list, n: int, alpha: float) -> None:
         """Arrays of the trie; states of prefixes shorter than ``DENSE`` come first and have rows of a
@@ -147,22 +151,14 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of piece ids; bytes that are no UTF-8 become U+FFFD."""
-        out, held = [], bytearray()
-        for i in ids:
-            i = int(i)
-            if i in self.bytes_of:
-                held.append(self.bytes_of[i])
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held = bytearray()
-            if i not in self.control:
-                out.append(self.pieces[i])
-        if held:
-            out.append(held.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        # a piece begins and ends with whole characters, so bytes beside it stay as wrong as they were alone
+        text = b"".join([self.spelt[int(i)] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
+    def spells(self, ids: np.ndarray, text: str) -> bool:
+        """Whether the ids decode to a text."""
+        return b"".join(self.spelt[ids].tolist()) == b" " + text.encode() or self.decode(ids) == text
+
 
 @lru_cache(maxsize=4)
 def vocabulary(path: str, alpha: float) -> Vocabulary:
@@ -190,7 +186,100 @@ class Lattice:
     """Edges and exact backward sums of many distinct units, laid end to end."""
 
     def __init__(self, words: list[str], vocab: Vocabulary):
+        """Built for some units at a time, whose arrays stay in the processor's cache."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        cuts = np.searchsorted(np.cumsum(lengths), np.arange(PART, int(lengths.sum()), PART), side="right").tolist()
+        bounds = sorted({0, *cuts, len(words)})
+        parts, codes, edges = [], 0, 0
+        for a, b in zip(bounds, bounds[1:] or [0]):
+            part = _Part(words[a:b], lengths[a:b], vocab)
+            parts.append((part.codes, part.start_of + codes, part.first[:-1] + edges, part.target + codes, part.piece,
+                          part.last_piece, part.log_share, part.reach))
+            codes, edges = codes + len(part.codes), edges + len(part.target)
+        (self.codes, self.start_of, first, self.target, self.piece, self.last_piece, self.log_share,
+         self.reach) = (np.concatenate(arrays) for arrays in zip(*parts))
+        self.first = np.r_[first, edges]
+
+    def walk(self, of: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A free draw for each occurrence (``of``: its unit, ``key``: its random
+        key): the edges of all, end to end, and the offsets of the occurrences."""
+        at = self.start_of[of]
+        alive = np.arange(len(of))
+        steps: list[tuple[np.ndarray, np.ndarray]] = []
+        count = np.zeros(len(of), dtype=np.int64)
+        while len(alive) > FEW:
+            salt = np.uint64(_salt(len(steps)))
+            u = (_mix(key[alive] + salt) >> np.uint64(11)) * (1.0 / (1 << 53))
+            edge, last = self.first[at], self.first[at + 1] - 1
+            todo = np.flatnonzero((self.reach[edge] <= u) & (edge < last))
+            while len(todo):
+                edge[todo] += 1
+                e = edge[todo]
+                todo = todo[(self.reach[e] <= u[todo]) & (e < last[todo])]
+            steps.append((alive, edge))
+            count[alive] += 1
+            more = ~self.last_piece[edge]
+            at, alive = self.target[edge[more]], alive[more]
+        # the few that go on are walked one by one, to the same edges
+        rest = {int(row): self._walk_on(int(a), int(key[row]), len(steps)) for row, a in zip(alive, at)}
+        for row, edges in rest.items():
+            count[row] += len(edges)
+        offset = np.r_[0, np.cumsum(count)]
+        path = np.empty(offset[-1], dtype=np.int64)
+        for row, edges in rest.items():
+            path[offset[row + 1] - len(edges):offset[row + 1]] = edges
+        for t, (rows, edge) in enumerate(steps):
+            path[offset[rows] + t] = edge
+        return path, offset
+
+    def _walk_on(self, at: int, key: int, step: int) -> list[int]:
+        """One occurrence's draw from a position to its unit's end, as ``walk`` makes it."""
+        first, reach, target, last_piece = self.first, self.reach, self.target, self.last_piece
+        path = []
+        while True:
+            x = (key + _salt(step)) & MASK
+            x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & MASK
+            x = ((x ^ x >> 27) * 0x94D049BB133111EB) & MASK
+            u = ((x ^ x >> 31) >> 11) * (1.0 / (1 << 53))
+            edge, last = int(first[at]), int(first[at + 1]) - 1
+            while edge < last and reach[edge] <= u:
+                edge += 1
+            path.append(edge)
+            if last_piece[edge]:
+                return path
+            at = int(target[edge])
+            step += 1
+
+    def finish(self, at: int, rng: random.Random) -> list[int]:
+        """A free draw from a position to the end of its unit."""
+        path = []
+        while True:
+            u, a, b = rng.random(), int(self.first[at]), int(self.first[at + 1])
+            edge = a
+            while edge < b - 1 and self.reach[edge] <= u:
+                edge += 1
+            path.append(edge)
+            if self.last_piece[edge]:
+                return path
+            at = int(self.target[edge])
+
+    def ids(self, path: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+        ids = self.piece[path]
+        bare = np.flatnonzero(ids < 0)
+        if not len(bare):
+            return ids
+        spelt = [vocab.byte_ids[list(chr(self.codes[self.target[e] - 1]).encode("utf-8", "replace"))] for e in path[bare]]
+        widths = np.ones(len(ids), dtype=np.int64)
+        widths[bare] = [len(s) for s in spelt]
+        out = np.repeat(ids, widths)
+        out[out < 0] = np.concatenate(spelt)
+        return out
+
+
+class _Part:
+    """The lattice of some units."""
+
+    def __init__(self, words: list[str], lengths: np.ndarray, vocab: Vocabulary):
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
         ends = np.cumsum(lengths)
         self.codes, self.start_of = codes, ends - lengths
@@ -286,81 +375,6 @@ class Lattice:
         if len(start):
             self.reach -= base[start]
 
-    def walk(self, of: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A free draw for each occurrence (``of``: its unit, ``key``: its random
-        key): the edges of all, end to end, and the offsets of the occurrences."""
-        at = self.start_of[of]
-        alive = np.arange(len(of))
-        steps: list[tuple[np.ndarray, np.ndarray]] = []
-        count = np.zeros(len(of), dtype=np.int64)
-        while len(alive) > FEW:
-            salt = np.uint64(_salt(len(steps)))
-            u = (_mix(key[alive] + salt) >> np.uint64(11)) * (1.0 / (1 << 53))
-            edge, last = self.first[at], self.first[at + 1] - 1
-            todo = np.flatnonzero((self.reach[edge] <= u) & (edge < last))
-            while len(todo):
-                edge[todo] += 1
-                e = edge[todo]
-                todo = todo[(self.reach[e] <= u[todo]) & (e < last[todo])]
-            steps.append((alive, edge))
-            count[alive] += 1
-            more = ~self.last_piece[edge]
-            at, alive = self.target[edge[more]], alive[more]
-        # the few that go on are walked one by one, to the same edges
-        rest = {int(row): self._walk_on(int(a), int(key[row]), len(steps)) for row, a in zip(alive, at)}
-        for row, edges in rest.items():
-            count[row] += len(edges)
-        offset = np.r_[0, np.cumsum(count)]
-        path = np.empty(offset[-1], dtype=np.int64)
-        for row, edges in rest.items():
-            path[offset[row + 1] - len(edges):offset[row + 1]] = edges
-        for t, (rows, edge) in enumerate(steps):
-            path[offset[rows] + t] = edge
-        return path, offset
-
-    def _walk_on(self, at: int, key: int, step: int) -> list[int]:
-        """One occurrence's draw from a position to its unit's end, as ``walk`` makes it."""
-        first, reach, target, last_piece = self.first, self.reach, self.target, self.last_piece
-        path = []
-        while True:
-            x = (key + _salt(step)) & MASK
-            x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & MASK
-            x = ((x ^ x >> 27) * 0x94D049BB133111EB) & MASK
-            u = ((x ^ x >> 31) >> 11) * (1.0 / (1 << 53))
-            edge, last = int(first[at]), int(first[at + 1]) - 1
-            while edge < last and reach[edge] <= u:
-                edge += 1
-            path.append(edge)
-            if last_piece[edge]:
-                return path
-            at = int(target[edge])
-            step += 1
-
-    def finish(self, at: int, rng: random.Random) -> list[int]:
-        """A free draw from a position to the end of its unit."""
-        path = []
-        while True:
-            u, a, b = rng.random(), int(self.first[at]), int(self.first[at + 1])
-            edge = a
-            while edge < b - 1 and self.reach[edge] <= u:
-                edge += 1
-            path.append(edge)
-            if self.last_piece[edge]:
-                return path
-            at = int(self.target[edge])
-
-    def ids(self, path: np.ndarray, vocab: Vocabulary) -> np.ndarray:
-        ids = self.piece[path]
-        bare = np.flatnonzero(ids < 0)
-        if not len(bare):
-            return ids
-        spelt = [vocab.byte_ids[list(chr(self.codes[self.target[e] - 1]).encode("utf-8", "replace"))] for e in path[bare]]
-        widths = np.ones(len(ids), dtype=np.int64)
-        widths[bare] = [len(s) for s in spelt]
-        out = np.repeat(ids, widths)
-        out[out < 0] = np.concatenate(spelt)
-        return out
-
 
 class _Path:
     """An emitted path: edges, offsets of its units, running log probability."""
@@ -509,14 +523,11 @@ def encode_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, alpha)
-        pieces = np.array([p.replace(SPACE, " ") for p in vocab.pieces], dtype=object)
         for keys, texts in _groups(batches, BATCH_CHARS):
             rows = list(sample_batch(keys, texts, vocab, k, seed))
             whole = []
             for row, _, ids, *_ in rows:
-                text = (texts[row] or "").replace(SPACE, " ")
-                spelt = "".join(pieces[ids])
-                whole.append(spelt[1:] == text or vocab.decode(ids) == text)
+                whole.append(vocab.spells(ids, (texts[row] or "").replace(SPACE, " ")))
             sizes = np.r_[0, np.cumsum([len(r[2]) for r in rows])].astype(np.int32)
             flat = np.concatenate([r[2] for r in rows]) if rows else np.zeros(0, dtype=np.int32)
             yield pa.record_batch(

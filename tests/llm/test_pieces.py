@@ -130,3 +130,45 @@ def test_inclusion_scores_of_long_texts_are_finite(vocab):
     found = list(sp.sample_batch([1], ["some words of a longer text " * 400], vocab, 3))
     assert len(found) == 3 and min(f[3] for f in found) < -800
     assert all(math.isfinite(f[5]) and f[5] <= 0 for f in found)
+
+
+def test_byte_pieces_are_compared_and_decoded_at_once(vocab, monkeypatch):
+    """Texts with line ends need no second decoding; bytes that are no UTF-8 decode run by run."""
+    def run_by_run(ids):
+        out, held = [], bytearray()
+        for i in [*ids, None]:
+            if i in vocab.bytes_of:
+                held.append(vocab.bytes_of[i])
+                continue
+            out.append(held.decode("utf-8", "replace"))
+            held = bytearray()
+            if i is not None and i not in vocab.control:
+                out.append(vocab.pieces[i])
+        text = "".join(out).replace(sp.SPACE, " ")
+        return text[1:] if text.startswith(" ") else text
+
+    rng = random.Random(11)
+    some = [i for p, i in zip(vocab.pieces, range(len(vocab.pieces))) if any(c in p for c in "é漢a▁")][:300]
+    for _ in range(3_000):
+        ids = [rng.choice(some) if rng.random() < 0.3 else int(vocab.byte_ids[rng.choice((0x0A, *range(0x80, 0x100)))])
+               for _ in range(rng.randint(0, 12))] + rng.choices([0, *vocab.control], k=rng.randint(0, 1))
+        assert vocab.decode(ids) == run_by_run(ids)
+    texts = ["two\nlines\n", "\n", "🙂 \U00013000\r\n x", " lead"]
+    found = [(texts[row], ids) for row, _, ids, *_ in sp.sample_batch([1, 2, 3, 4], texts, vocab, 2)]
+    monkeypatch.setattr(sp.Vocabulary, "decode", None)
+    assert all(vocab.spells(ids, text) for text, ids in found)
+
+
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_lattices_built_in_parts_are_those_built_at_once(vocab, monkeypatch, size):
+    rng = random.Random(size)
+    words = list({"".join(rng.choices("abcé漢▁", k=rng.randint(1, 40))) for _ in range(200)} | {"x" * 700})
+    made = {}
+    for part in (size, 1 << 30):
+        monkeypatch.setattr(sp, "PART", part)
+        made[part] = sp.Lattice(words, vocab)
+    a, b = made.values()
+    for name in ("codes", "start_of", "first", "target", "piece", "last_piece", "log_share"):
+        assert getattr(a, name).tolist() == getattr(b, name).tolist() and getattr(a, name).dtype == getattr(b, name).dtype
+    assert abs(a.reach - b.reach).max() < 1e-9
+    assert not len(sp.Lattice([], vocab).codes)
